@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAPTURE_KEY = ("captured_at", "ride_id")
@@ -13,11 +13,11 @@ CAPTURE_KEY = ("captured_at", "ride_id")
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one that is last by `order`. NULL keys are equal to each other.
 
-    An aggregate rather than a ranking window: copies are dropped before the shuffle, so a key that a large share of
-    the rows has in common costs one row per task.
+    Spark applies the limit of one row per key before the shuffle too, so a key that a large share of the rows has in
+    common sends one row per task.
     """
-    row = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("row")).select("row.*")
+    latest = Window.partitionBy(*keys).orderBy(*[F.desc(column) for column in order])
+    return df.withColumn("place", F.row_number().over(latest)).filter(F.col("place") == 1).drop("place")
 
 
 def merge_captures(stored: DataFrame, incoming: DataFrame, order: Sequence[str] = ()) -> DataFrame:

@@ -2,17 +2,16 @@
 
 The status of a ride has to be compared with its previous one, over its whole history. One window per ride would put
 all snapshots of a ride into one task, and a single ride may hold a third of all rows. So the history is cut into
-slices of time that are windowed apart, and put together again with one small row per slice:
+slices of time that are windowed apart, and only what touches the edge of a slice is put together afterwards:
 
 1. A slice is a (ride, day). The few (ride, day) pairs that are too big are cut further, into minutes.
-2. Within a slice, runs of equal status are numbered from 1 (`local_group`).
-3. Per slice: how many runs, and the first and last status. A running sum over the slices of a ride gives the number
-   its first run has in the whole history; where a slice begins with the status the one before ended with, the two
-   runs are one.
-4. Runs are collapsed per slice, before the shuffle by outage.
-
-No window sees more than one slice, or one row per slice of a ride. A ride has at most 1,440 slices a day, whatever
-its number of rows.
+2. Within a slice, runs of equal status are numbered from 1 (`local_group`) and collapsed to one row each. This is the
+   one shuffle of the snapshots.
+3. The first and the last run of a slice may go on in the slices next to it. These edge runs, at most two per slice,
+   meet in a window per ride. All other runs are whole already; each is a group of its own in the same shuffle.
+
+No window sees more than one slice, or the edge runs of one ride. A ride has at most 1,440 slices a day, whatever its
+number of rows.
 """
 
 from __future__ import annotations
@@ -23,31 +22,12 @@ from pyspark.sql import functions as F
 from fleetstate.functions.calendar import minute_of_day
 from fleetstate.params import Params
 
-RIDE = ["ride_id", "ride_name", "park_name", "land_name"]
+NAMES = ["ride_name", "park_name", "land_name"]
 SLICE = ["ride_key", "captured_date", "slice_no"]
+# Key of the ride that has no id: beyond any int, so that the key of a ride is never NULL and can be joined on.
+NO_RIDE = 1 << 40
 # Snapshots of one ride at one time may come from two sources; the rest only makes the order of such ties definite.
-IN_ORDER = ["captured_at", "data_source", "is_open", "ride_name", "park_name", "land_name"]
-
-
-def status_groups(staged: DataFrame, p: Params = Params()) -> DataFrame:
-    """Each snapshot with a change flag and the number of the run it belongs to, counted per ride from 1.
-
-    The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0.
-    """
-    rows = _numbered_rows(staged, p)
-    changed = F.when(F.col("slice_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
-    return rows.join(_slice_offsets(rows), SLICE).select(
-        *RIDE,
-        "captured_at",
-        "captured_date",
-        "is_open",
-        changed.alias("is_status_change"),
-        (F.col("groups_before") + F.col("local_group")).alias("status_group"),
-    )
-
-
-def status_changes(staged: DataFrame, p: Params = Params()) -> DataFrame:
-    return status_groups(staged, p).drop("status_group")
+IN_ORDER = ["captured_at", "data_source", "is_open", *NAMES]
 
 
 def downtime_islands(staged: DataFrame, p: Params = Params()) -> DataFrame:
@@ -56,30 +36,89 @@ def downtime_islands(staged: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def slice_runs(staged: DataFrame, p: Params = Params()) -> DataFrame:
-    """Runs of equal status (and equal names) within each slice: the snapshots, collapsed. Needs one shuffle."""
-    rows = _numbered_rows(staged, p)
-    return rows.groupBy(*SLICE, "local_group", "is_open", *RIDE).agg(
-        F.min("captured_at").alias("downtime_started_at"),
-        F.max("captured_at").alias("last_observed_closed_at"),
-        F.count(F.lit(1)).alias("closed_snapshot_count"),
+    """Runs of equal status (and equal names) within each slice: the snapshots, collapsed."""
+    runs = (
+        _numbered_rows(staged, p)
+        .groupBy(*SLICE, "local_group", "is_open", *NAMES)
+        .agg(
+            F.min("captured_at").alias("downtime_started_at"),
+            F.max("captured_at").alias("last_observed_closed_at"),
+            F.count(F.lit(1)).alias("closed_snapshot_count"),
+        )
     )
+    last_group = F.max("local_group").over(Window.partitionBy(*SLICE))
+    return runs.withColumn("at_edge", (F.col("local_group") == 1) | (F.col("local_group") == last_group))
 
 
 def stitch_runs(runs: DataFrame) -> DataFrame:
-    """Put the closed runs that go on from slice to slice together."""
-    closed = runs.filter(~F.col("is_open")).join(_slice_offsets(runs), SLICE)
+    """Whole outages from the runs of all slices."""
+    # Runs within a slice keep a group of their own; those at an edge share one per ride.
+    group = ["ride_key", "own_date", "own_slice", "own_group"]
+    inner = ~F.col("at_edge")
+    grouped = runs.filter(F.col("at_edge") | ~F.col("is_open")).select(
+        "*",
+        F.when(inner, F.col("captured_date")).alias("own_date"),
+        F.when(inner, F.col("slice_no")).alias("own_slice"),
+        F.when(inner, F.col("local_group")).alias("own_group"),
+    )
+    order = Window.partitionBy(*group).orderBy("captured_date", "slice_no", "local_group")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def same_as_before(column: str) -> Column:
+        return F.lag(column).over(order) == F.col(column)
+
+    # Two runs of one slice are one only if they bear the same number (they differ in a name then). Of two slices, the
+    # last run of the earlier and the first of the later are one if the status is the same.
+    same_slice = same_as_before("captured_date") & same_as_before("slice_no")
+    goes_on = F.when(same_slice, same_as_before("local_group")).otherwise(same_as_before("is_open"))
+    numbered = grouped.withColumn("starts", F.when(goes_on, 0).otherwise(1)).withColumn(
+        "run_no", F.sum("starts").over(so_far)
+    )
     return (
-        closed.withColumn("status_group", F.col("groups_before") + F.col("local_group"))
-        .groupBy(*RIDE, "status_group")
+        numbered.filter(~F.col("is_open"))
+        .groupBy(*group, "run_no", *NAMES)
         .agg(
+            F.min("captured_date").alias("downtime_date"),
             F.min("downtime_started_at").alias("downtime_started_at"),
             F.max("last_observed_closed_at").alias("last_observed_closed_at"),
-            F.min("captured_date").alias("downtime_date"),
             F.sum("closed_snapshot_count").alias("closed_snapshot_count"),
         )
+        .select(
+            _ride_id(),
+            *NAMES,
+            "downtime_date",
+            "downtime_started_at",
+            "last_observed_closed_at",
+            "closed_snapshot_count",
+        )
     )
 
 
+def status_groups(staged: DataFrame, p: Params = Params()) -> DataFrame:
+    """Each snapshot with a change flag and the number of the run it belongs to, counted per ride from 1.
+
+    The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0. Numbers are
+    given within each slice first, and moved by the number of runs the ride had before it.
+    """
+    rows = _numbered_rows(staged, p)
+    changed = F.when(F.col("slice_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
+    # A left join, though each row has its slice: an inner one would add null checks to this side only, and the two
+    # sides could no longer share one shuffle of the snapshots.
+    return rows.join(_slice_offsets(rows), SLICE, "left").select(
+        _ride_id(),
+        *NAMES,
+        "captured_at",
+        "captured_date",
+        "is_open",
+        changed.alias("is_status_change"),
+        (F.col("groups_before") + F.col("local_group")).alias("status_group"),
+    )
+
+
+def status_changes(staged: DataFrame, p: Params = Params()) -> DataFrame:
+    return status_groups(staged, p).drop("status_group")
+
+
 def busy_ride_days(staged: DataFrame, p: Params = Params()) -> DataFrame:
     """The (ride, day) pairs to be cut into minutes: the biggest ones above the limit, in a definite order."""
     return (
@@ -93,13 +132,16 @@ def busy_ride_days(staged: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def _ride_key() -> Column:
-    """The ride as a key that is never NULL, so that it can be joined on. No int equals the stand-in."""
-    return F.coalesce(F.col("ride_id").cast("long"), F.lit(1 << 40)).alias("ride_key")
+    return F.coalesce(F.col("ride_id").cast("long"), F.lit(NO_RIDE)).alias("ride_key")
+
+
+def _ride_id() -> Column:
+    return F.nullif(F.col("ride_key"), F.lit(NO_RIDE)).cast("int").alias("ride_id")
 
 
 def _numbered_rows(staged: DataFrame, p: Params) -> DataFrame:
     """Snapshots with their slice, place in it, change flag, and number of the run within the slice."""
-    keyed = staged.select(_ride_key(), *RIDE, "captured_at", "captured_date", "is_open", "data_source")
+    keyed = staged.select(_ride_key(), *NAMES, "captured_at", "captured_date", "is_open", "data_source")
     # At most p.max_busy_days rows, whatever the data.
     busy = F.broadcast(busy_ride_days(staged, p))
     sliced = keyed.join(busy, ["ride_key", "captured_date"], "left").withColumn(
@@ -114,9 +156,9 @@ def _numbered_rows(staged: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _slice_offsets(numbered: DataFrame) -> DataFrame:
+def _slice_offsets(rows: DataFrame) -> DataFrame:
     """Per slice: whether its first run carries on the last one of the slice before, and the runs counted before it."""
-    slices = numbered.groupBy(*SLICE).agg(
+    slices = rows.groupBy(*SLICE).agg(
         F.max("local_group").alias("groups"),
         F.max(F.when(F.col("local_group") == 1, F.col("is_open"))).alias("first_status"),
         F.max_by("is_open", "local_group").alias("last_status"),

@@ -7,18 +7,20 @@ of the rows costs one row per task.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetstate.functions import calendar
 from fleetstate.functions.numeric import ratio, round_half_up
 
+NAMES = ["ride_name", "park_name", "land_name"]
+
 
 def ride_day_totals(staged: DataFrame) -> DataFrame:
-    """Ride x day, kept as sums so that it can be rolled up further. The one pass over the snapshots for all marts."""
+    """Ride x day, kept as sums so that it can be rolled up further. The one pass over the snapshots for all marts.
+
+    A ride has one set of names but for a renaming, so the names are keys in a first step, and the greatest is picked
+    from the few rows that leaves: a `max` of text over the snapshots would make Spark sort all of them.
+    """
     wait, is_open = F.col("wait_time_minutes"), F.col("is_open")
-    return staged.groupBy("captured_date", "ride_id").agg(
-        F.max("ride_name").alias("ride_name"),
-        F.max("park_name").alias("park_name"),
-        F.max("land_name").alias("land_name"),
-        F.max("is_weekend").alias("is_weekend"),
-        F.max("day_name").alias("day_name"),
+    by_name = staged.groupBy("captured_date", "ride_id", *NAMES).agg(
         F.count(F.lit(1)).alias("snapshots"),
         F.sum(F.when(is_open, 1).otherwise(0)).alias("open_snapshots"),
         # An unknown status counts as closed here.
@@ -29,6 +31,14 @@ def ride_day_totals(staged: DataFrame) -> DataFrame:
         F.min("captured_at").alias("first_observed_at"),
         F.max("captured_at").alias("last_observed_at"),
     )
+    sums = ["snapshots", "open_snapshots", "closed_snapshots", "wait_sum", "wait_count"]
+    return by_name.groupBy("captured_date", "ride_id").agg(
+        *[F.max(name).alias(name) for name in NAMES],
+        *[F.sum(column).alias(column) for column in sums],
+        F.max("peak_wait").alias("peak_wait"),
+        F.min("first_observed_at").alias("first_observed_at"),
+        F.max("last_observed_at").alias("last_observed_at"),
+    )
 
 
 def ride_day_base(totals: DataFrame) -> DataFrame:
@@ -39,8 +49,8 @@ def ride_day_base(totals: DataFrame) -> DataFrame:
         "ride_name",
         "park_name",
         "land_name",
-        "is_weekend",
-        "day_name",
+        calendar.is_weekend(F.col("captured_date")).alias("is_weekend"),
+        calendar.day_name(F.col("captured_date")).alias("day_name"),
         "snapshots",
         "open_snapshots",
         "closed_snapshots",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetstate.operators import islands, rollups
+from fleetstate.operators import rollups
 from fleetstate.operators.staging import stage_snapshots
 from fleetstate.params import Params
 from fleetstate.plans import marts, quality
@@ -29,16 +29,14 @@ def build_marts(raw: DataFrame, p: Params = Params(), schema: str = MARTS_SCHEMA
     """Write the four marts as tables, then run the checks over them.
 
     The snapshots are read three times, each time only the columns it takes: for the ride x day totals, for the list
-    of busy days, and for the runs. Totals and runs are written once and shared by all that follows.
+    of busy days, and for the outages. The totals are written once and shared by the two marts built on them.
     """
     spark = raw.sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     staged = stage_snapshots(raw, p)
     with work_folder(spark) as work:
         totals = materialize(rollups.ride_day_totals(staged), f"{work}/ride_day_totals")
-        runs = materialize(islands.slice_runs(staged, p), f"{work}/slice_runs")
-        events = marts.fct_downtime_events(islands.stitch_runs(runs), p)
-        events = save_table(events, f"{schema}.fct_downtime_events", by="downtime_date")
+        events = save_table(marts.downtime_events(staged, p), f"{schema}.fct_downtime_events", by="downtime_date")
         rides = save_table(marts.dim_rides(totals, events), f"{schema}.dim_rides")
         ride_daily = marts.agg_ride_daily(totals, events)
         ride_daily = save_table(ride_daily, f"{schema}.agg_ride_daily", by="captured_date")

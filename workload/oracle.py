@@ -48,10 +48,7 @@ runs AS (
 )
 
 
-def _fct(minimum: int = 15) -> str:
-    return (
-        STG
-        + f""",
+OUTAGES = """
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY captured_at)
             - row_number() OVER (PARTITION BY ride_id, is_open ORDER BY captured_at) AS gap
@@ -62,7 +59,11 @@ outages AS (
          min(captured_at) AS downtime_started_at, max(captured_at) AS last_observed_closed_at,
          count(*) AS closed_snapshot_count, 15 * count(*) AS downtime_minutes
   FROM numbered WHERE NOT is_open GROUP BY ride_id, ride_name, park_name, land_name, gap
-),
+)"""
+
+
+def _fct(minimum: int = 15) -> str:
+    return f"""{STG}, {OUTAGES},
 fct AS (
   SELECT md5(concat(ride_id, '|', downtime_started_at)) AS downtime_event_id, *,
          round(downtime_minutes / 60, 2) AS downtime_hours,
@@ -72,7 +73,6 @@ fct AS (
               WHEN downtime_minutes < 120 THEN 'Significant (1-2h)' ELSE 'Major (2h+)' END AS severity_band
   FROM outages WHERE downtime_minutes >= {minimum}
 )"""
-    )
 
 
 FCT = _fct()
@@ -274,12 +274,8 @@ FROM numbered JOIN runs USING (ride_id, is_open, gap)""",
 SELECT ride_id, ride_name, park_name, land_name, captured_at, captured_date, is_open,
        CAST(captured_at = first_at AS INTEGER) AS is_status_change, run_no AS status_group
 FROM numbered JOIN runs USING (ride_id, is_open, gap)""",
-    "downtime_islands": f"""WITH {RUNS}
-SELECT ride_id, ride_name, park_name, land_name, run_no AS status_group, min(captured_at) AS downtime_started_at,
-       max(captured_at) AS last_observed_closed_at, CAST(min(captured_at) AS DATE) AS downtime_date,
-       count(*) AS closed_snapshot_count
-FROM numbered JOIN runs USING (ride_id, is_open, gap)
-WHERE NOT is_open GROUP BY ride_id, ride_name, park_name, land_name, run_no""",
+    "downtime_islands": f"""WITH {STG}, {OUTAGES}
+SELECT * EXCLUDE (downtime_minutes) FROM outages""",
     "fct_downtime_events": f"WITH {FCT} SELECT * FROM fct",
     "fct_min30": f"WITH {_fct(30)} SELECT * FROM fct",
     "ride_day_base": f"WITH {STG}, {DAY_BASE} SELECT * FROM day_base",
