@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +11,6 @@ from fleetstate import schema
 from fleetstate.functions.calendar import from_epoch_nanos, utc_wall_clock
 from fleetstate.functions.numeric import whole_minutes
 from fleetstate.params import LIVE_SOURCE, SEED_SOURCE
-from fleetstate.session import path_exists
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -30,10 +30,13 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All stored captures under `path`: a folder of days, a folder of day files, or a glob. Empty when missing."""
-    if "*" not in path and not path_exists(spark, path):
-        return spark.createDataFrame([], schema.SNAPSHOT)
-    return conform(spark.read.parquet(path))
+    """All stored captures under `path`: a folder of days, a folder of day files, or a glob. Empty when there are none."""
+    try:
+        return conform(spark.read.parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], schema.SNAPSHOT)
+        raise
 
 
 def prefer_live(live: DataFrame, seed: DataFrame, include_seed: bool = False) -> DataFrame:

@@ -1,0 +1,90 @@
+"""Load, build, gate, end to end on files and tables."""
+
+from __future__ import annotations
+
+import csv
+
+import pytest
+from fixtures import TEN, history, raw, snap
+from pyspark.sql import functions as F
+
+from fleetstate.plans import build, quality, reports
+from fleetstate.session import RECOMMENDED, work_folder
+from fleetstate.sources import daystore
+from fleetstate.sources.snapshots import prefer_live
+from fleetstate.sources.tables import load_table, write_csv
+
+
+def store(spark, path, rows):
+    daystore.write_days(raw(spark, rows).withColumn("wait_time_minutes", F.col("wait_time_minutes").cast("double")), path)
+
+
+@pytest.fixture()
+def folders(spark, tmp_path):
+    live, seed = str(tmp_path / "raw"), str(tmp_path / "seed")
+    store(spark, live, history("O C C O", 1, wait=30))
+    store(spark, seed, history("C C C C", 2, source="synthetic"))
+    return live, seed
+
+
+def test_live_wins(spark):
+    live, seed = raw(spark, history("O O")), raw(spark, history("C", 2, source="synthetic"))
+    assert prefer_live(live, seed).count() == 2
+    assert prefer_live(live, seed, include_seed=True).count() == 3
+    assert prefer_live(live.limit(0), seed).count() == 1
+
+
+def test_build_writes_marts_and_passes_the_gate(spark, folders):
+    tables = build.build(spark, *folders)
+    assert [r.ride_id for r in spark.table("main_marts.dim_rides").collect()] == [1]
+    event = spark.table("main_marts.fct_downtime_events").first()
+    assert (event.ride_id, event.downtime_minutes) == (1, 30)
+    assert spark.table("raw.wait_time_snapshots").count() == spark.table("stg_snapshots").count() == 4
+    assert tables["agg_park_daily"].first().park_uptime_pct == 50.0
+    # Again, now with the seed: a full refresh.
+    build.build(spark, *folders, include_seed=True)
+    assert spark.table("main_marts.dim_rides").count() == 2
+    assert spark.table("main_marts.agg_ride_daily").columns[-1] == "captured_date"
+    assert load_table(spark, "main_marts.agg_ride_daily").count() == 2
+
+
+def test_nothing_to_load_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        build.load_raw(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+
+
+def test_gate_fails_the_build(spark):
+    rows = history("O C", 1) + [snap(TEN, None, 2)]
+    with pytest.raises(quality.QualityError, match="K3 .*K6 "):
+        build.build_marts(raw(spark, rows), schema="bad_marts")
+
+
+def test_missing_table_is_an_empty_frame(spark):
+    missing = load_table(spark, "main_marts.no_such_table")
+    assert missing.columns == [] and missing.isEmpty()
+
+
+def test_csv_download(spark, tmp_path, folders):
+    rides = build.build(spark, *folders, include_seed=True)["dim_rides"]
+    path = tmp_path / "detail"
+    write_csv(reports.ride_detail(rides, ["Park A"]), str(path))
+    rows = []
+    for file in sorted(path.glob("part-*.csv")):
+        with open(file) as handle:
+            rows += list(csv.DictReader(handle))
+    assert [r["ride_name"] for r in rows] == ["Ride 1", "Ride 2"]
+    assert list(rows[0])[-1] == "guest_impact_score"
+
+
+def test_work_folder_is_in_the_shared_folder_and_goes_away(spark, tmp_path):
+    with work_folder(spark) as work:
+        assert work.startswith(spark.conf.get("spark.checkpoint.dir"))
+        spark.range(3).write.parquet(f"{work}/x")
+        assert spark.read.parquet(f"{work}/x").count() == 3
+    from fleetstate.session import path_exists
+
+    assert not path_exists(spark, work)
+
+
+def test_recommended_settings_are_on(spark):
+    assert all(spark.conf.get(key) == value for key, value in RECOMMENDED.items())
