@@ -30,15 +30,18 @@ NO_RIDE = 1 << 40
 IN_ORDER = ["captured_at", "data_source", "is_open", *NAMES]
 
 
-def downtime_islands(staged: DataFrame, p: Params = Params()) -> DataFrame:
-    """One row per unbroken run of closed snapshots of a ride. A run also ends where a name changes."""
-    return stitch_runs(slice_runs(staged, p))
+def downtime_islands(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
+    """One row per unbroken run of closed snapshots of a ride. A run also ends where a name changes.
+
+    `counts` has `snapshots` by `ride_id` and `captured_date`, for a caller that has counted them already.
+    """
+    return stitch_runs(slice_runs(staged, p, counts))
 
 
-def slice_runs(staged: DataFrame, p: Params = Params()) -> DataFrame:
+def slice_runs(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
     """Runs of equal status (and equal names) within each slice: the snapshots, collapsed."""
     runs = (
-        _numbered_rows(staged, p)
+        _numbered_rows(staged, p, count_ride_days(staged) if counts is None else counts)
         .groupBy(*SLICE, "local_group", "is_open", *NAMES)
         .agg(
             F.min("captured_at").alias("downtime_started_at"),
@@ -100,7 +103,7 @@ def status_groups(staged: DataFrame, p: Params = Params()) -> DataFrame:
     The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0. Numbers are
     given within each slice first, and moved by the number of runs the ride had before it.
     """
-    rows = _numbered_rows(staged, p)
+    rows = _numbered_rows(staged, p, count_ride_days(staged))
     changed = F.when(F.col("slice_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
     # A left join, though each row has its slice: an inner one would add null checks to this side only, and the two
     # sides could no longer share one shuffle of the snapshots.
@@ -119,15 +122,18 @@ def status_changes(staged: DataFrame, p: Params = Params()) -> DataFrame:
     return status_groups(staged, p).drop("status_group")
 
 
-def busy_ride_days(staged: DataFrame, p: Params = Params()) -> DataFrame:
+def count_ride_days(staged: DataFrame) -> DataFrame:
+    return staged.groupBy("ride_id", "captured_date").agg(F.count(F.lit(1)).alias("snapshots"))
+
+
+def busy_ride_days(counts: DataFrame, p: Params = Params()) -> DataFrame:
     """The (ride, day) pairs to be cut into minutes: the biggest ones above the limit, in a definite order."""
     return (
-        staged.groupBy(_ride_key(), "captured_date")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > p.max_rows_per_ride_day)
-        .orderBy(F.desc("n"), "ride_key", "captured_date")
+        counts.filter(F.col("snapshots") > p.max_rows_per_ride_day)
+        .select(_ride_key(), "captured_date", "snapshots", F.lit(True).alias("busy"))
+        .orderBy(F.desc("snapshots"), "ride_key", "captured_date")
         .limit(p.max_busy_days)
-        .select("ride_key", "captured_date", F.lit(True).alias("busy"))
+        .drop("snapshots")
     )
 
 
@@ -139,11 +145,11 @@ def _ride_id() -> Column:
     return F.nullif(F.col("ride_key"), F.lit(NO_RIDE)).cast("int").alias("ride_id")
 
 
-def _numbered_rows(staged: DataFrame, p: Params) -> DataFrame:
+def _numbered_rows(staged: DataFrame, p: Params, counts: DataFrame) -> DataFrame:
     """Snapshots with their slice, place in it, change flag, and number of the run within the slice."""
     keyed = staged.select(_ride_key(), *NAMES, "captured_at", "captured_date", "is_open", "data_source")
     # At most p.max_busy_days rows, whatever the data.
-    busy = F.broadcast(busy_ride_days(staged, p))
+    busy = F.broadcast(busy_ride_days(counts, p))
     sliced = keyed.join(busy, ["ride_key", "captured_date"], "left").withColumn(
         "slice_no", F.when(F.col("busy"), minute_of_day(F.col("captured_at"))).otherwise(0)
     )

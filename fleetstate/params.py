@@ -40,9 +40,9 @@ class Params:
 
 @dataclass(frozen=True)
 class Scope:
-    """What a report looks at: some parks and an inclusive range of dates."""
+    """What a report looks at: some parks, or None for all of them, and an inclusive range of dates."""
 
-    parks: tuple[str, ...]
+    parks: tuple[str, ...] | None
     start: dt.date
     end: dt.date
 

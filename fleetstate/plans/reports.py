@@ -23,19 +23,19 @@ def default_range(park_daily: DataFrame, p: Params = Params()) -> DataFrame:
     )
 
 
-def default_scope(park_daily: DataFrame, rides: DataFrame, p: Params = Params()) -> Scope:
+def default_scope(park_daily: DataFrame, p: Params = Params()) -> Scope:
     """All parks over the default range."""
     dates = default_range(park_daily, p).first()
-    parks = tuple(row.park_name for row in park_list(rides).collect())
-    return Scope(parks, dates.default_start, dates.max_date)
+    return Scope(None, dates.default_start, dates.max_date)
 
 
 def park_list(rides: DataFrame) -> DataFrame:
     return rides.select("park_name").distinct().orderBy("park_name")
 
 
-def in_parks(df: DataFrame, parks: Sequence[str]) -> DataFrame:
-    return df.filter(F.col("park_name").isin(list(parks)))
+def in_parks(df: DataFrame, parks: Sequence[str] | None) -> DataFrame:
+    park = F.col("park_name")
+    return df.filter(park.isNotNull() if parks is None else park.isin(list(parks)))
 
 
 def in_scope(df: DataFrame, scope: Scope, date: str = "captured_date") -> DataFrame:
@@ -151,7 +151,7 @@ def outage_heatmap(events: DataFrame, scope: Scope, p: Params = Params()) -> Dat
     return filled.orderBy("position").drop("position")
 
 
-def top_impact_rides(rides: DataFrame, parks: Sequence[str], p: Params = Params()) -> DataFrame:
+def top_impact_rides(rides: DataFrame, parks: Sequence[str] | None, p: Params = Params()) -> DataFrame:
     """The rides whose outages cost the most, in ascending order as the chart draws them. Ties go by ride."""
     top = in_parks(rides, parks).orderBy(F.desc("guest_impact_score"), "ride_id").limit(p.top_rides)
     return top.orderBy("guest_impact_score", F.desc("ride_id")).select(
@@ -159,7 +159,7 @@ def top_impact_rides(rides: DataFrame, parks: Sequence[str], p: Params = Params(
     )
 
 
-def ride_detail(rides: DataFrame, parks: Sequence[str]) -> DataFrame:
+def ride_detail(rides: DataFrame, parks: Sequence[str] | None) -> DataFrame:
     """The table behind the ranking, the costliest ride first."""
     return (
         in_parks(rides, parks)

@@ -30,6 +30,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def list_files(spark: SparkSession, glob: str) -> list[str]:
+    """Paths that match `glob`, in order."""
+    fs, jpath = hadoop_path(spark, glob)
+    return sorted(str(status.getPath().toString()) for status in fs.globStatus(jpath) or [])
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

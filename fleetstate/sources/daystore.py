@@ -18,25 +18,35 @@ def write_days(captures: DataFrame, path: str) -> None:
     _save(_with_day(captures), path, "static")
 
 
-def merge_days(captures: DataFrame, path: str, label: str, order: tuple[str, ...] = ()) -> None:
+def merge_days(captures: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
     """Add captures to the store; a (captured_at, ride_id) already there is replaced. Only touched days are rewritten.
 
     `order` names columns of `captures` that say which of two incoming rows for one key comes last.
 
-    The merged days are written next to the store first and moved in from there, so a run that dies half-way is
-    finished by running it again with the same `label`. Running a finished merge again changes nothing.
+    The merged days are written next to the store first and moved in from there. A run that dies on the way is made
+    good by the next one, which starts by moving in what it finds complete. Merging the same captures again changes
+    nothing. The store takes one writer at a time.
     """
     spark = captures.sparkSession
+    pending = f"{path.rstrip('/')}/_pending"
+    _publish(spark, pending, path)
     if captures.isEmpty():
         return
-    pending = f"{path.rstrip('/')}/_pending/{label}"
-    if not path_exists(spark, f"{pending}/_SUCCESS"):
-        incoming = _with_day(captures, order)
-        # One row per calendar day, and the semi join on the partition column reads only those days.
-        touched = F.broadcast(incoming.select(DAY).distinct())
-        stored = _stored_days(spark, path).join(touched, DAY, "left_semi")
-        _save(merge_captures(stored, incoming, order).withColumn(DAY, F.to_date("captured_at")), pending, "static")
-    _save(spark.read.schema(_STORED).parquet(pending), path, "dynamic")
+    incoming = _with_day(captures, order)
+    # One row per calendar day, and the semi join on the partition column reads only those days.
+    touched = F.broadcast(incoming.select(DAY).distinct())
+    stored = _stored_days(spark, path).join(touched, DAY, "left_semi")
+    _save(merge_captures(stored, incoming, order), pending, "static")
+    _publish(spark, pending, path)
+
+
+def _publish(spark: SparkSession, pending: str, path: str) -> None:
+    """Move complete pending days into the store. The mark of completeness goes first, so that a half-deleted folder
+    is never taken for a complete one."""
+    mark = f"{pending}/_SUCCESS"
+    if path_exists(spark, mark):
+        _save(spark.read.schema(_STORED).parquet(pending), path, "dynamic")
+        delete_path(spark, mark)
     delete_path(spark, pending)
 
 

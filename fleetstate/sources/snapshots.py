@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from fleetstate import schema
 from fleetstate.functions.calendar import from_epoch_nanos, utc_wall_clock
 from fleetstate.functions.numeric import whole_minutes
 from fleetstate.params import LIVE_SOURCE, SEED_SOURCE
+from fleetstate.session import list_files
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -30,7 +34,11 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All stored captures under `path`: a folder of days, a folder of day files, or a glob. Empty when there are none."""
+    """All captures under `path`: the folder of a day store, a folder of `snapshots_<date>.parquet` files, or a glob of
+    files. Empty when there are none."""
+    files = list_files(spark, path if "*" in path else f"{path.rstrip('/')}/snapshots_*.parquet")
+    if files:
+        return _read_day_files(spark, files)
     try:
         return conform(spark.read.parquet(path))
     except AnalysisException as error:
@@ -39,6 +47,22 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def _read_day_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Files that were each typed by their own content: waits are whole on a day that has them all, else fractional.
+
+    Files of one schema are read together. The loop sees one footer per day file, and only when schemas differ.
+    """
+    try:
+        return conform(spark.read.option("mergeSchema", True).parquet(*files))
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+            raise
+    by_schema: dict[str, list[str]] = {}
+    for file in files:
+        by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    return reduce(DataFrame.unionByName, [conform(spark.read.parquet(*same)) for same in by_schema.values()])
+
+
 def prefer_live(live: DataFrame, seed: DataFrame, include_seed: bool = False) -> DataFrame:
     """Simulated rows never join real ones unless asked for: with any live row present the seed is dropped.
 

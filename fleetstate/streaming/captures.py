@@ -13,16 +13,21 @@ from fleetstate.sources.daystore import merge_days
 from fleetstate.sources.payloads import flatten_rides
 
 
-def land_captures(spark: SparkSession, landing: str, store: str, checkpoint: str) -> StreamingQuery:
+def land_captures(
+    spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int | None = None
+) -> StreamingQuery:
     """Merge every payload file not seen before into the store, then stop.
 
-    `landing` holds JSON lines of schema.LANDED. A batch that is replayed after a failure has the same number, and so
-    finishes or repeats the same merge.
+    `landing` holds JSON lines of schema.LANDED. A merge may be repeated, so a batch that is replayed after a failure
+    does no harm. `files_per_batch` splits a big backlog.
     """
-    landed = spark.readStream.schema(schema.LANDED).json(landing)
+    reader = spark.readStream.schema(schema.LANDED)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    landed = reader.json(landing)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_days(flatten_rides(batch), store, label=f"batch-{batch_id}", order=("payload_pos",))
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        merge_days(flatten_rides(batch), store, order=("payload_pos",))
 
     return (
         landed.writeStream.foreachBatch(merge)

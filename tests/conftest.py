@@ -25,6 +25,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "checkpoint"))
         .config("spark.local.dir", str(base / "local"))
+        .config("spark.sql.debug.maxToStringFields", "500")
+        .config("spark.sql.maxMetadataStringLength", "2000")
     )
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 import pytest
-from fixtures import TEN, at, snap
+from fixtures import TEN, at, raw, snap
 from pyspark.sql import functions as F
 
 from fleetstate import schema
@@ -107,30 +107,31 @@ def stored(spark, path):
 def test_day_store(spark, tmp_path):
     path = str(tmp_path / "raw")
     next_day = TEN + dt.timedelta(days=1)
-    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(next_day, True, 1, 6)]), path, "one")
+    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(next_day, True, 1, 6)]), path)
     day_one = path + "/captured_date=2024-01-03"
     files = sorted(p.name for p in (tmp_path / "raw" / "captured_date=2024-01-03").glob("*.parquet"))
     assert files and path_exists(spark, day_one)
 
     again = [snap(next_day, False, 1, 7), snap(next_day, True, 2, None)]
-    for label in ("two", "two", "three"):
-        daystore.merge_days(captures(spark, again), path, label)
+    for _ in range(2):
+        daystore.merge_days(captures(spark, again), path)
         assert stored(spark, path) == [(TEN, 1, True, 5), (next_day, 1, False, 7), (next_day, 2, True, None)]
     # The day that was not touched was not rewritten, and nothing is left pending.
     assert files == sorted(p.name for p in (tmp_path / "raw" / "captured_date=2024-01-03").glob("*.parquet"))
-    assert list((tmp_path / "raw" / "_pending").glob("*")) == []
+    assert not (tmp_path / "raw" / "_pending").exists()
 
 
 def test_nothing_captured_writes_nothing(spark, tmp_path):
     path = str(tmp_path / "raw")
-    daystore.merge_days(captures(spark, []), path, "none")
+    daystore.merge_days(captures(spark, []), path)
     assert not path_exists(spark, path)
     assert read_snapshots(spark, path).collect() == []
 
 
-def test_interrupted_merge_is_finished_by_its_label(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("next_capture", [[snap(TEN, False, 1, 9)], [snap(TEN, True, 3, 1)], []])
+def test_interrupted_merge_is_made_good_by_the_next(spark, tmp_path, monkeypatch, next_capture):
     path = str(tmp_path / "raw")
-    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(TEN, True, 2, 5)]), path, "one")
+    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(TEN, True, 2, 5)]), path)
     real = daystore._save
 
     def dies_before_publishing(days, target, overwrite):
@@ -142,11 +143,21 @@ def test_interrupted_merge_is_finished_by_its_label(spark, tmp_path, monkeypatch
 
     monkeypatch.setattr(daystore, "_save", dies_before_publishing)
     with pytest.raises(RuntimeError, match="lost driver"):
-        daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path, "two")
+        daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path)
     monkeypatch.setattr(daystore, "_save", real)
     assert stored(spark, path) == []
-    daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path, "two")
-    assert stored(spark, path) == [(TEN, 1, False, 9), (TEN, 2, True, 5)]
+    daystore.merge_days(captures(spark, next_capture), path)
+    extra = [(TEN, 3, True, 1)] if next_capture and next_capture[0][4] == 3 else []
+    assert stored(spark, path) == [(TEN, 1, False, 9), (TEN, 2, True, 5), *extra]
+
+
+def test_incomplete_pending_days_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5)]), path)
+    daystore.write_days(captures(spark, [snap(TEN, False, 1, 9)]), path + "/_pending")
+    (tmp_path / "raw" / "_pending" / "_SUCCESS").unlink()
+    daystore.merge_days(captures(spark, [snap(TEN, True, 2, 5)]), path)
+    assert stored(spark, path) == [(TEN, 1, True, 5), (TEN, 2, True, 5)]
 
 
 def test_write_days_clears_the_store(spark, tmp_path):
@@ -165,8 +176,8 @@ def land(folder, name, when, payload):
 def test_stream_replays_and_late_captures(spark, tmp_path):
     landing, store, checkpoint = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
 
-    def run(checkpoint=checkpoint):
-        land_captures(spark, str(landing), store, checkpoint).awaitTermination()
+    def run(checkpoint=checkpoint, **options):
+        land_captures(spark, str(landing), store, checkpoint, **options).awaitTermination()
         return stored(spark, store)
 
     one_ride = lambda is_open, wait: {"rides": [{"id": 1, "name": "R", "is_open": is_open, "wait_time": wait}]}
@@ -180,13 +191,13 @@ def test_stream_replays_and_late_captures(spark, tmp_path):
     everything = [(late, 1, True, 20), (TEN, 1, True, 10), (TEN + dt.timedelta(minutes=15), 1, False, 0)]
     assert run() == everything
     # A stream that has lost its checkpoint lands everything again, to the same end.
-    assert run(str(tmp_path / "other")) == everything
+    assert run(str(tmp_path / "other"), files_per_batch=1) == everything
 
 
 def test_ride_listed_twice_keeps_its_last_place(spark, tmp_path):
     payload = {"rides": [{"id": 1, "is_open": True}], "lands": [{"name": "L", "rides": [{"id": 1, "is_open": False}]}]}
     rides = payloads.flatten_rides(landed(spark, json.dumps(payload)))
-    daystore.merge_days(rides, str(tmp_path / "raw"), "x", order=("payload_pos",))
+    daystore.merge_days(rides, str(tmp_path / "raw"), order=("payload_pos",))
     (row,) = read_snapshots(spark, str(tmp_path / "raw")).collect()
     assert (row.land_name, row.is_open) == ("L", False)
 
@@ -224,3 +235,18 @@ def test_reads_zoned_and_nanosecond_captures(spark, tmp_path):
         got = read_snapshots(spark, f"{tmp_path}/{name}/snapshots_*.parquet").orderBy("captured_at").collect()
         assert [r.captured_at for r in got] == [TEN, TEN + dt.timedelta(minutes=15)]
         assert [r.wait_time_minutes for r in got] == [2, None]
+
+
+def test_day_files_may_differ_in_type(spark, tmp_path):
+    """Waits are integers on a day that has them all, and floats on a day that misses one."""
+    whole = raw(spark, [snap(TEN, True, 1, 5)]).withColumn("wait_time_minutes", F.col("wait_time_minutes").cast("long"))
+    gaps = captures(spark, [snap(TEN + dt.timedelta(days=i), True, 1, 2.5) for i in (1, 2)])
+    paths = []
+    for i, df in enumerate([whole, gaps.limit(1), gaps.filter("captured_at > '2024-01-05'")]):
+        df.coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        (file,) = (tmp_path / f"w{i}").glob("*.parquet")
+        paths.append(tmp_path / "raw" / f"snapshots_2024-01-0{3 + i}.parquet")
+        paths[0].parent.mkdir(exist_ok=True)
+        paths[-1].write_bytes(file.read_bytes())
+    folder = str(tmp_path / "raw")
+    assert [r[3] for r in stored(spark, folder)] == [r[3] for r in stored(spark, folder + "/snap*.parquet")] == [5, 2, 2]

@@ -168,6 +168,8 @@ def test_ties_of_two_sources_are_ordered(spark):
 def test_busy_days_are_few_and_definite(spark):
     staged = stage_snapshots(raw(spark, random_rows(7)))
     p = Params(max_rows_per_ride_day=1, max_busy_days=3)
-    first, second = (islands.busy_ride_days(staged.repartition(n), p).collect() for n in (2, 7))
+    first, second = (
+        islands.busy_ride_days(islands.count_ride_days(staged.repartition(n)), p).collect() for n in (2, 7)
+    )
     assert first == second and len(first) == 3
     assert first[0].ride_key == 1

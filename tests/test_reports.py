@@ -32,7 +32,9 @@ def test_default_range_looks_back_no_further_than_the_data(spark, marts_):
     row = reports.default_range(parks).first()
     assert (row.default_start, row.max_date) == (dt.date(2024, 1, 1), DAY)
     assert reports.default_range(parks, Params(lookback_days=2)).first().default_start == dt.date(2024, 1, 8)
-    assert reports.default_scope(parks, marts_[2]) == scope(1, 10)
+    everything = reports.default_scope(parks)
+    assert everything == scope(1, 10, None)
+    assert reports.in_scope(parks, everything).count() == parks.count()
 
 
 def test_scope_is_inclusive_and_by_park(marts_):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,234 +16,115 @@ from fleetstate.sources.snapshots import conform, prefer_live, split_by_source
 from workload import mapping
 from workload.mapping import SCOPE, WANTED_PARKS
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
 
-
-def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
-
-
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(mapping.captures(spark, sf_dir))
-
-
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_snapshots(_raw(spark, sf_dir))
-
-
-def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.ride_day_totals(_staged(spark, sf_dir))
-
-
-# Loading
-
-
-@query
-def raw_snapshots(spark, sf_dir):
-    return _raw(spark, sf_dir)
-
-
-@query
-def raw_live_wins(spark, sf_dir):
-    return prefer_live(*split_by_source(_raw(spark, sf_dir)))
-
-
-@query
-def raw_include_seed(spark, sf_dir):
-    return prefer_live(*split_by_source(_raw(spark, sf_dir)), include_seed=True)
-
-
-@query
-def load_audit_span(spark, sf_dir):
-    return audit.load_span(_raw(spark, sf_dir))
-
-
-@query
-def load_audit_sources(spark, sf_dir):
-    return audit.load_sources(_raw(spark, sf_dir))
-
-
-@query
-def dataset_profile(spark, sf_dir):
-    return audit.dataset_profile(_raw(spark, sf_dir))
-
-
-# Capture
-
-
-@query
-def flatten_rides(spark, sf_dir):
-    return payloads.flatten_rides(mapping.landed_payloads(spark, sf_dir)).drop("payload_pos")
-
-
-@query
-def capture_summary(spark, sf_dir):
-    return audit.capture_summary(flatten_rides(spark, sf_dir))
-
-
-@query
-def resolve_parks(spark, sf_dir):
-    return payloads.resolve_parks(mapping.park_catalogues(spark, sf_dir), WANTED_PARKS)
-
-
-@query
-def unresolved_parks(spark, sf_dir):
-    return payloads.unresolved_parks(mapping.park_catalogues(spark, sf_dir), WANTED_PARKS)
-
-
-@query
-def ingest_merge(spark, sf_dir):
-    stored, incoming = mapping.hourly_captures(spark, sf_dir)
-    return conform(dedupe.merge_captures(stored, incoming, order=["event_id"]))
-
-
-# Staging and outages
-
-
-@query
-def stg_snapshots(spark, sf_dir):
-    return _staged(spark, sf_dir)
-
-
-@query
-def status_changes(spark, sf_dir):
-    return islands.status_changes(_staged(spark, sf_dir))
-
-
-@query
-def status_groups(spark, sf_dir):
-    return islands.status_groups(_staged(spark, sf_dir))
-
-
-@query
-def downtime_islands(spark, sf_dir):
-    return islands.downtime_islands(_staged(spark, sf_dir))
-
-
-@query
-def fct_downtime_events(spark, sf_dir):
-    return marts.downtime_events(_staged(spark, sf_dir))
-
-
-@query
-def fct_min30(spark, sf_dir):
-    return marts.downtime_events(_staged(spark, sf_dir), Params(min_downtime_minutes=30))
-
-
-# Rollups
-
-
-@query
-def ride_day_base(spark, sf_dir):
-    return rollups.ride_day_base(_totals(spark, sf_dir))
-
-
-@query
-def ride_day_outages(spark, sf_dir):
-    return rollups.ride_day_outages(fct_downtime_events(spark, sf_dir))
-
-
-@query
-def agg_ride_daily(spark, sf_dir):
-    return marts.agg_ride_daily(_totals(spark, sf_dir), fct_downtime_events(spark, sf_dir))
-
-
-@query
-def ride_base(spark, sf_dir):
-    return rollups.ride_base(_totals(spark, sf_dir))
-
-
-@query
-def ride_downtime_profile(spark, sf_dir):
-    return rollups.ride_downtime_profile(fct_downtime_events(spark, sf_dir))
-
-
-@query
-def dim_rides(spark, sf_dir):
-    return marts.dim_rides(_totals(spark, sf_dir), fct_downtime_events(spark, sf_dir))
-
-
-@query
-def agg_park_daily(spark, sf_dir):
-    return marts.agg_park_daily(agg_ride_daily(spark, sf_dir))
-
-
-# Reports
-
-
-@query
-def dash_default_range(spark, sf_dir):
-    return reports.default_range(agg_park_daily(spark, sf_dir))
-
-
-@query
-def dash_filtered_parks(spark, sf_dir):
-    return reports.in_scope(agg_park_daily(spark, sf_dir), SCOPE)
-
-
-@query
-def dash_filtered_rides(spark, sf_dir):
-    return reports.in_scope(agg_ride_daily(spark, sf_dir), SCOPE)
-
-
-@query
-def dash_filtered_events(spark, sf_dir):
-    return reports.in_scope(fct_downtime_events(spark, sf_dir), SCOPE, "downtime_date")
-
-
-@query
-def kpi_fleet(spark, sf_dir):
-    return reports.kpi_fleet(agg_ride_daily(spark, sf_dir), fct_downtime_events(spark, sf_dir), SCOPE)
-
-
-@query
-def kpi_prior_delta(spark, sf_dir):
-    return reports.kpi_prior_delta(agg_ride_daily(spark, sf_dir), SCOPE)
-
-
-@query
-def uptime_trend(spark, sf_dir):
-    return reports.uptime_trend(agg_park_daily(spark, sf_dir), SCOPE)
-
-
-@query
-def park_scorecard(spark, sf_dir):
-    return reports.park_scorecard(agg_park_daily(spark, sf_dir), SCOPE)
-
-
-@query
-def severity_mix(spark, sf_dir):
-    return reports.severity_mix(fct_downtime_events(spark, sf_dir), SCOPE)
-
-
-@query
-def outage_day_hour(spark, sf_dir):
-    return reports.outage_day_hour(fct_downtime_events(spark, sf_dir), SCOPE)
-
-
-@query
-def outage_heatmap(spark, sf_dir):
-    return reports.outage_heatmap(fct_downtime_events(spark, sf_dir), SCOPE)
-
-
-@query
-def park_list(spark, sf_dir):
-    return reports.park_list(dim_rides(spark, sf_dir))
-
-
-@query
-def top_impact_rides(spark, sf_dir):
-    return reports.top_impact_rides(dim_rides(spark, sf_dir), SCOPE.parks)
-
-
-@query
-def ride_detail(spark, sf_dir):
-    return reports.ride_detail(dim_rides(spark, sf_dir), SCOPE.parks)
-
-
-@query
-def dq_summary(spark, sf_dir):
-    names = {check.table for check in quality.CHECKS}
-    return quality.summary({name: REGISTRY[name](spark, sf_dir) for name in names})
+class Frames:
+    """The frames a query is made of, each defined once per query. All are lazy: only what is used is run."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return conform(mapping.captures(self.spark, self.sf_dir))
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        return stage_snapshots(self.raw)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return rollups.ride_day_totals(self.staged)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return marts.downtime_events(self.staged)
+
+    @cached_property
+    def rides(self) -> DataFrame:
+        return marts.dim_rides(self.totals, self.events)
+
+    @cached_property
+    def ride_daily(self) -> DataFrame:
+        return marts.agg_ride_daily(self.totals, self.events)
+
+    @cached_property
+    def park_daily(self) -> DataFrame:
+        return marts.agg_park_daily(self.ride_daily)
+
+    @cached_property
+    def flat_rides(self) -> DataFrame:
+        return payloads.flatten_rides(mapping.landed_payloads(self.spark, self.sf_dir)).drop("payload_pos")
+
+    @cached_property
+    def catalogues(self) -> DataFrame:
+        return mapping.park_catalogues(self.spark, self.sf_dir)
+
+    def merged_captures(self) -> DataFrame:
+        stored, incoming = mapping.hourly_captures(self.spark, self.sf_dir)
+        return conform(dedupe.merge_captures(stored, incoming, order=["event_id"]))
+
+    def by_table(self) -> dict[str, DataFrame]:
+        return {
+            "raw_snapshots": self.raw,
+            "stg_snapshots": self.staged,
+            "fct_downtime_events": self.events,
+            "dim_rides": self.rides,
+            "agg_ride_daily": self.ride_daily,
+            "agg_park_daily": self.park_daily,
+        }
+
+
+QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
+    # Loading
+    "raw_snapshots": lambda f: f.raw,
+    "raw_live_wins": lambda f: prefer_live(*split_by_source(f.raw)),
+    "raw_include_seed": lambda f: prefer_live(*split_by_source(f.raw), include_seed=True),
+    "load_audit_span": lambda f: audit.load_span(f.raw),
+    "load_audit_sources": lambda f: audit.load_sources(f.raw),
+    "dataset_profile": lambda f: audit.dataset_profile(f.raw),
+    # Capture
+    "flatten_rides": lambda f: f.flat_rides,
+    "capture_summary": lambda f: audit.capture_summary(f.flat_rides),
+    "resolve_parks": lambda f: payloads.resolve_parks(f.catalogues, WANTED_PARKS),
+    "unresolved_parks": lambda f: payloads.unresolved_parks(f.catalogues, WANTED_PARKS),
+    "ingest_merge": lambda f: f.merged_captures(),
+    # Staging and outages
+    "stg_snapshots": lambda f: f.staged,
+    "status_changes": lambda f: islands.status_changes(f.staged),
+    "status_groups": lambda f: islands.status_groups(f.staged),
+    "downtime_islands": lambda f: islands.downtime_islands(f.staged),
+    "fct_downtime_events": lambda f: f.events,
+    "fct_min30": lambda f: marts.downtime_events(f.staged, Params(min_downtime_minutes=30)),
+    # Rollups
+    "ride_day_base": lambda f: rollups.ride_day_base(f.totals),
+    "ride_day_outages": lambda f: rollups.ride_day_outages(f.events),
+    "agg_ride_daily": lambda f: f.ride_daily,
+    "ride_base": lambda f: rollups.ride_base(f.totals),
+    "ride_downtime_profile": lambda f: rollups.ride_downtime_profile(f.events),
+    "dim_rides": lambda f: f.rides,
+    "agg_park_daily": lambda f: f.park_daily,
+    # Reports
+    "dash_default_range": lambda f: reports.default_range(f.park_daily),
+    "dash_filtered_parks": lambda f: reports.in_scope(f.park_daily, SCOPE),
+    "dash_filtered_rides": lambda f: reports.in_scope(f.ride_daily, SCOPE),
+    "dash_filtered_events": lambda f: reports.in_scope(f.events, SCOPE, "downtime_date"),
+    "kpi_fleet": lambda f: reports.kpi_fleet(f.ride_daily, f.events, SCOPE),
+    "kpi_prior_delta": lambda f: reports.kpi_prior_delta(f.ride_daily, SCOPE),
+    "uptime_trend": lambda f: reports.uptime_trend(f.park_daily, SCOPE),
+    "park_scorecard": lambda f: reports.park_scorecard(f.park_daily, SCOPE),
+    "severity_mix": lambda f: reports.severity_mix(f.events, SCOPE),
+    "outage_day_hour": lambda f: reports.outage_day_hour(f.events, SCOPE),
+    "outage_heatmap": lambda f: reports.outage_heatmap(f.events, SCOPE),
+    "park_list": lambda f: reports.park_list(f.rides),
+    "top_impact_rides": lambda f: reports.top_impact_rides(f.rides, SCOPE.parks),
+    "ride_detail": lambda f: reports.ride_detail(f.rides, SCOPE.parks),
+    # Checks
+    "dq_summary": lambda f: quality.summary(f.by_table()),
+}
+
+
+def _over(query: Callable[[Frames], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(Frames(spark, sf_dir))
+
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _over(q) for name, q in QUERIES.items()}
