@@ -20,8 +20,8 @@ def round_half_even(value: Column, places: int) -> Column:
     return F.bround(value * F.lit(scale), 0) / F.lit(scale)
 
 
-def whole_minutes(value: Column) -> Column:
-    """Double to int with half-even rounding (a plain Spark cast would truncate)."""
+def to_whole(value: Column) -> Column:
+    """Fraction to int with half-even rounding (a plain Spark cast would truncate)."""
     return F.bround(value.cast("double"), 0).cast("int")
 
 

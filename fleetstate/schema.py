@@ -22,7 +22,7 @@ CAPTURE = T.StructType(
     [T.StructField(f.name, T.DoubleType() if f.name == "wait_time_minutes" else f.dataType) for f in SNAPSHOT]
 )
 
-# A landed API answer: the payload as text, next to what the request was for.
+# A landed API answer: the payload as text, next to what the request was for. Times are UTC, written without a zone.
 LANDED = T.StructType(
     [
         T.StructField("captured_at", T.TimestampNTZType()),

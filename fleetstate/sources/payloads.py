@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetstate import schema
+from fleetstate.functions.calendar import floor_second
 from fleetstate.params import LIVE_SOURCE
 
 # Fixed value: the land of a ride that has none.
@@ -20,9 +21,12 @@ def flatten_rides(landed: DataFrame) -> DataFrame:
     """One capture row per ride, from the top level and from under the lands.
 
     Each payload is parsed and exploded once. `payload_pos` is the place of the ride in its payload, so that a ride
-    listed twice can be told apart later. A payload that cannot be parsed gives no rows, see `bad_payloads`.
+    listed twice can be told apart later. Capture times are kept to the second. An answer without a capture time, or
+    whose payload cannot be parsed, gives no rows, see `bad_payloads`.
     """
-    parsed = landed.withColumn("queue", _parse())
+    parsed = landed.filter(F.col("captured_at").isNotNull()).select(
+        floor_second(F.col("captured_at")).alias("captured_at"), "park_id", "park_name", _parse().alias("queue")
+    )
     no_rides = F.from_json(F.lit('{"rides": []}'), schema.QUEUE_PAYLOAD).getField("rides")
     no_lands = F.from_json(F.lit('{"lands": []}'), schema.QUEUE_PAYLOAD).getField("lands")
 
@@ -57,11 +61,11 @@ def flatten_rides(landed: DataFrame) -> DataFrame:
 
 
 def bad_payloads(landed: DataFrame) -> DataFrame:
-    """The answers that could not be parsed: they cost their own rows, not the capture."""
+    """The answers that could not be used: they cost their own rows, not the capture."""
     corrupt = F.col("queue").getField(schema.CORRUPT)
     return (
         landed.withColumn("queue", _parse())
-        .filter(F.col("payload").isNull() | corrupt.isNotNull())
+        .filter(F.col("captured_at").isNull() | F.col("payload").isNull() | corrupt.isNotNull())
         .select("captured_at", "park_id", "park_name", "payload")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetstate import schema
 from fleetstate.functions.calendar import from_epoch_nanos, utc_wall_clock
-from fleetstate.functions.numeric import whole_minutes
+from fleetstate.functions.numeric import to_whole
 from fleetstate.params import LIVE_SOURCE, SEED_SOURCE
 from fleetstate.session import list_files
 
@@ -27,8 +27,8 @@ def conform(df: DataFrame) -> DataFrame:
             column = utc_wall_clock(column)
         elif field.name == "captured_at" and isinstance(kind, T.LongType):
             column = from_epoch_nanos(column)
-        elif field.name == "wait_time_minutes" and isinstance(kind, T.FractionalType):
-            column = whole_minutes(column)
+        elif isinstance(field.dataType, T.IntegerType) and isinstance(kind, T.FractionalType):
+            column = to_whole(column)
         columns.append(column.cast(field.dataType).alias(field.name))
     return df.select(columns)
 

@@ -16,10 +16,6 @@ def save_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.table(name).select(df.columns)
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    df.select(df.sparkSession.table(name).columns).write.insertInto(name)
-
-
 def load_table(spark: SparkSession, name: str) -> DataFrame:
     """Table `name`, or an empty frame without columns when there is none."""
     try:
@@ -31,7 +27,3 @@ def load_table(spark: SparkSession, name: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header. A file set; sorted input stays sorted across its files."""
     df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def row_count(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]

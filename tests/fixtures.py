@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from fleetstate import schema
+from fleetstate import Params, schema
+from fleetstate.operators import rollups
+from fleetstate.operators.staging import stage_snapshots
+from fleetstate.plans import marts
 
 STATUS = {"O": True, "C": False, "?": None}
 TEN = dt.datetime(2024, 1, 3, 10, 0)  # a Wednesday
@@ -29,3 +32,11 @@ def history(statuses: str, ride_id=1, start=TEN, **kwargs):
 
 def raw(spark, rows):
     return spark.createDataFrame(rows, schema.SNAPSHOT)
+
+
+def built(spark, rows, p=Params()):
+    """Staging and the four marts."""
+    staged = stage_snapshots(raw(spark, rows), p)
+    totals, events = rollups.ride_day_totals(staged), marts.downtime_events(staged, p)
+    daily = marts.agg_ride_daily(totals, events)
+    return staged, events, marts.dim_rides(totals, events), daily, marts.agg_park_daily(daily)

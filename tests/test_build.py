@@ -16,7 +16,8 @@ from fleetstate.sources.tables import load_table, write_csv
 
 
 def store(spark, path, rows):
-    daystore.write_days(raw(spark, rows).withColumn("wait_time_minutes", F.col("wait_time_minutes").cast("double")), path)
+    fractional = F.col("wait_time_minutes").cast("double")
+    daystore.write_days(raw(spark, rows).withColumn("wait_time_minutes", fractional), path)
 
 
 @pytest.fixture()

@@ -57,6 +57,13 @@ def test_bad_payloads_cost_only_themselves(spark):
     answers = landed(spark, "{not json", json.dumps(GOOD), "{}", json.dumps({"rides": [], "lands": []}), None)
     assert payloads.flatten_rides(answers).select("park_name").distinct().collect()[0].park_name == "Park 1"
     assert sorted(r.park_name for r in payloads.bad_payloads(answers).collect()) == ["Park 0", "Park 4"]
+    timeless = answers.withColumn("captured_at", F.lit(None).cast("timestamp_ntz"))
+    assert payloads.flatten_rides(timeless).isEmpty() and payloads.bad_payloads(timeless).count() == 5
+
+
+def test_capture_times_are_kept_to_the_second(spark):
+    answer = landed(spark, json.dumps(GOOD), when=TEN.replace(microsecond=999_999))
+    assert {r.captured_at for r in payloads.flatten_rides(answer).collect()} == {TEN}
 
 
 def test_capture_summary(spark):
@@ -180,7 +187,9 @@ def test_stream_replays_and_late_captures(spark, tmp_path):
         land_captures(spark, str(landing), store, checkpoint, **options).awaitTermination()
         return stored(spark, store)
 
-    one_ride = lambda is_open, wait: {"rides": [{"id": 1, "name": "R", "is_open": is_open, "wait_time": wait}]}
+    def one_ride(is_open, wait):
+        return {"rides": [{"id": 1, "name": "R", "is_open": is_open, "wait_time": wait}]}
+
     land(landing, "a", TEN, one_ride(True, 10))
     assert run() == [(TEN, 1, True, 10)]
     assert run() == [(TEN, 1, True, 10)]
@@ -249,4 +258,5 @@ def test_day_files_may_differ_in_type(spark, tmp_path):
         paths[0].parent.mkdir(exist_ok=True)
         paths[-1].write_bytes(file.read_bytes())
     folder = str(tmp_path / "raw")
-    assert [r[3] for r in stored(spark, folder)] == [r[3] for r in stored(spark, folder + "/snap*.parquet")] == [5, 2, 2]
+    for path in (folder, folder + "/snap*.parquet"):
+        assert [r[3] for r in stored(spark, path)] == [5, 2, 2]

@@ -38,8 +38,8 @@ def test_round_half_even(spark):
     ]
 
 
-def test_whole_minutes_rounds_to_even(spark):
-    assert values(spark, [2.5, 3.5, 2.7, -2.5, None], "double", numeric.whole_minutes) == [2, 4, 3, -2, None]
+def test_to_whole_rounds_to_even(spark):
+    assert values(spark, [2.5, 3.5, 2.7, -2.5, None], "double", numeric.to_whole) == [2, 4, 3, -2, None]
 
 
 def test_ratio_and_percent_without_a_whole(spark):

@@ -85,7 +85,8 @@ def test_minimum_duration(spark):
 
 
 def test_rides_do_not_mix_and_missing_ids_are_a_ride(spark):
-    rows = history("C C", 1) + history("C O C", 2) + [snap(TEN, False, None, name="x"), snap(at("2024-01-04 11:00"), False, None, name="x")]
+    rows = history("C C", 1) + history("C O C", 2)
+    rows += [snap(when, False, None, name="x") for when in (TEN, at("2024-01-04 11:00"))]
     for p in SETTINGS:
         found = marts.downtime_events(stage_snapshots(raw(spark, rows), p), p).collect()
         assert sorted((r.ride_id or 0, r.downtime_minutes) for r in found) == [(0, 30), (1, 30), (2, 15), (2, 15)]
@@ -130,10 +131,10 @@ def by_hand(rows):
         groups[(ride, captured_at)] = (int(changed), number)
         if status is False:
             runs.setdefault((ride, name, number), []).append(captured_at)
-    return groups, sorted((ride or 0, name, min(times), max(times), len(times)) for (ride, name, _), times in runs.items())
+    return groups, sorted((ride or 0, name, min(at_), max(at_), len(at_)) for (ride, name, _), at_ in runs.items())
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_any_slicing_equals_a_walk(spark, seed):
     rows = random_rows(seed)
     groups, runs = by_hand(rows)
@@ -153,7 +154,8 @@ def test_any_slicing_equals_a_walk(spark, seed):
 def test_all_closed_snapshots_are_in_an_outage(spark):
     staged = stage_snapshots(raw(spark, random_rows(42)))
     closed = staged.filter(~F.col("is_open")).count()
-    assert marts.downtime_events(staged, Params(min_downtime_minutes=0)).agg(F.sum("closed_snapshot_count")).first()[0] == closed
+    events = marts.downtime_events(staged, Params(min_downtime_minutes=0))
+    assert events.agg(F.sum("closed_snapshot_count")).first()[0] == closed
 
 
 def test_ties_of_two_sources_are_ordered(spark):

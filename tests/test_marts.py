@@ -2,20 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from fixtures import TEN, at, history, raw, snap
+from fixtures import TEN, at, built, history, raw, snap
 from pyspark.sql import functions as F
 
-from fleetstate import Params
-from fleetstate.operators import rollups
 from fleetstate.operators.staging import stage_snapshots
-from fleetstate.plans import audit, marts
-
-
-def built(spark, rows, p=Params()):
-    staged = stage_snapshots(raw(spark, rows), p)
-    totals, events = rollups.ride_day_totals(staged), marts.downtime_events(staged, p)
-    daily = marts.agg_ride_daily(totals, events)
-    return staged, events, marts.dim_rides(totals, events), daily, marts.agg_park_daily(daily)
+from fleetstate.plans import audit
 
 
 def test_staging(spark):

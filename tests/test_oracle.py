@@ -18,10 +18,14 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_parity(spark, name):
-    columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
+    df = contract.queries()[name](spark, SF_DIR)
+    columns, rows = spark_rows(df)
     expected_columns, expected = oracle_rows(contract.oracle_sql()[name], SF_DIR)
     assert columns == expected_columns
     assert rows == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
 
 
 def test_entry(spark):

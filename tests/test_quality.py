@@ -1,9 +1,8 @@
 from __future__ import annotations
 
 import pytest
-from fixtures import history, raw
+from fixtures import built, history, raw
 from pyspark.sql import functions as F
-from test_marts import built
 
 from fleetstate.plans import quality
 

@@ -3,8 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from fixtures import at, history, snap
-from test_marts import built
+from fixtures import at, built, history, snap
 
 from fleetstate import Params, Scope
 from fleetstate.plans import reports

@@ -342,7 +342,7 @@ SELECT severity_band, count(*) AS "count" FROM fct WHERE {SCOPE_EVENT} GROUP BY
     "outage_day_hour": f"""WITH {FCT}
 SELECT started_day_name, started_hour, count(*) AS events FROM fct WHERE {SCOPE_EVENT} GROUP BY ALL""",
     "outage_heatmap": _heatmap(),
-    "park_list": f"WITH {SNAP} SELECT DISTINCT park_name FROM snap WHERE date_part('hour', captured_at) BETWEEN 9 AND 21",
+    "park_list": f"WITH {STG} SELECT DISTINCT park_name FROM stg",
     "top_impact_rides": f"""WITH {DIM}
 SELECT ride_id, ride_name, guest_impact_score, uptime_pct, downtime_event_count, avg_wait_when_open
 FROM dim WHERE {PARKS} ORDER BY guest_impact_score DESC, ride_id LIMIT 12""",
