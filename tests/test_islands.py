@@ -167,6 +167,32 @@ def test_ties_of_two_sources_are_ordered(spark):
     assert outages(spark, rows) == outages(spark, rows[::-1]) == [15, 15]
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_copies_count_however_they_are_sliced(spark, seed):
+    """A third of all rows is one snapshot many times over, in a minute with others."""
+    rng = random.Random(seed)
+    rows = random_rows(seed)
+    hot = snap(dt.datetime(2024, 1, 2, 12, 30), False, 1)
+    around = [snap(dt.datetime(2024, 1, 2, 12, 30, second), rng.random() < 0.5, 1) for second in range(5, 60, 5)]
+    other_source = [snap(hot[0], True, 1, source="synthetic")] * rng.randrange(3)
+    rows = [r for r in rows if r[0].replace(second=0) != hot[0]] + [hot] * 150 + around * 3 + other_source
+    rng.shuffle(rows)
+    staged = stage_snapshots(raw(spark, rows))
+    whole = islands.downtime_islands(staged)
+    for p in [Params(max_rows_per_ride_day=5), Params(max_rows_per_ride_day=1, max_busy_days=1)]:
+        cut = islands.downtime_islands(staged, p)
+        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    closed = sum(r[6] is False and 9 <= r[0].hour < 22 for r in rows)
+    assert whole.agg(F.sum("closed_snapshot_count")).first()[0] == closed
+
+
+def test_copies_are_packed_before_the_shuffle(spark):
+    rows = [snap(TEN, False, 1)] * 50 + [snap(TEN, False, 2)]
+    staged = stage_snapshots(raw(spark, rows))
+    packed = islands._pack_copies(staged, Params(max_rows_per_ride_day=10), islands.count_ride_days(staged))
+    assert sorted((r.ride_key, r.slice_no, r.copies) for r in packed.collect()) == [(1, 600, 50), (2, 0, 1)]
+
+
 def test_busy_days_are_few_and_definite(spark):
     staged = stage_snapshots(raw(spark, random_rows(7)))
     p = Params(max_rows_per_ride_day=1, max_busy_days=3)

@@ -37,14 +37,18 @@ def columns_read(text: str) -> list[set[str]]:
 
 
 def test_no_window_is_keyed_on_the_ride_alone_before_runs_are_collapsed(staged):
-    text = plan(marts.downtime_events(staged))
+    events = marts.downtime_events(staged)
+    events.collect()
+    text = plan(events)
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
     keys = [re.sub(r"#\d+L?", "", k).rsplit(",", 1)[0] for k in keys]
     assert "ride_key, captured_date, slice_no" in keys
     assert "ride_key, own_date, own_slice, own_group" in keys
     assert "ride_key" not in keys
-    # Runs, stitching and the final aggregate take two shuffles; the third counts the busy days.
-    assert len(keys) == 3
+    # Runs, stitching and the final aggregate take two shuffles, the count of ride-days one. What deals with busy
+    # ride-days is gone when there are none, and the snapshots are read twice: to be counted, and in full.
+    assert len(keys) <= 3
+    assert text.count("FileScan") <= 2
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
