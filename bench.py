@@ -1,6 +1,6 @@
 """Time the queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; print one JSON line.
 
-Each query runs once to warm up, then BENCH_RUNS times (default 3); the median counts. Results go to Spark's noop sink,
+Each query runs once to warm up, then BENCH_RUNS times (default 2); the median counts. Results go to Spark's noop sink,
 so all rows and columns are computed and none is collected. `build_marts` is the whole job: raw snapshots to marts on
 disk, checks included. `islands_one_window` is the textbook form of `downtime_islands`, one window per ride, for
 comparison.
@@ -77,7 +77,7 @@ def median_seconds(job, runs: int) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     only = os.environ.get("BENCH_ONLY")
     jobs = {name: (lambda q=query: run_all(q(spark, sf_dir))) for name, query in REGISTRY.items()}

@@ -31,9 +31,14 @@ def ride_day_totals(staged: DataFrame) -> DataFrame:
         F.min("captured_at").alias("first_observed_at"),
         F.max("captured_at").alias("last_observed_at"),
     )
+    return _combine(by_name, "captured_date", "ride_id")
+
+
+def _combine(totals: DataFrame, *keys: str) -> DataFrame:
+    """Totals on a coarser grain. Names that are no keys take the greatest."""
     sums = ["snapshots", "open_snapshots", "closed_snapshots", "wait_sum", "wait_count"]
-    return by_name.groupBy("captured_date", "ride_id").agg(
-        *[F.max(name).alias(name) for name in NAMES],
+    return totals.groupBy(*keys).agg(
+        *[F.max(name).alias(name) for name in NAMES if name not in keys],
         *[F.sum(column).alias(column) for column in sums],
         F.max("peak_wait").alias("peak_wait"),
         F.min("first_observed_at").alias("first_observed_at"),
@@ -61,27 +66,15 @@ def ride_day_base(totals: DataFrame) -> DataFrame:
 
 def ride_base(totals: DataFrame) -> DataFrame:
     """One row per ride over its full history, rolled up from the days."""
-    rides = totals.groupBy("ride_id").agg(
-        F.max("ride_name").alias("ride_name"),
-        F.max("park_name").alias("park_name"),
-        F.max("land_name").alias("land_name"),
-        F.sum("snapshots").alias("total_snapshots"),
-        F.sum("open_snapshots").alias("open_snapshots"),
-        F.sum("wait_sum").alias("wait_sum"),
-        F.sum("wait_count").alias("wait_count"),
-        F.max("peak_wait").alias("peak_wait_observed"),
-        F.min("first_observed_at").alias("first_observed_at"),
-        F.max("last_observed_at").alias("last_observed_at"),
-    )
-    return rides.select(
+    return _combine(_combine(totals, "ride_id", *NAMES), "ride_id").select(
         "ride_id",
         "ride_name",
         "park_name",
         "land_name",
-        "total_snapshots",
+        F.col("snapshots").alias("total_snapshots"),
         "open_snapshots",
         _average_wait(),
-        "peak_wait_observed",
+        F.col("peak_wait").alias("peak_wait_observed"),
         "first_observed_at",
         "last_observed_at",
     )

@@ -94,10 +94,10 @@ def agg_park_daily(ride_daily: DataFrame) -> DataFrame:
     """
     snapshots, open_snapshots = F.col("snapshots"), F.col("snapshots") - F.col("closed_snapshots")
     had_outage = F.when(F.col("downtime_events") > 0, F.col("ride_id"))
-    minutes = F.sum("downtime_minutes")
+    minutes, date = F.sum("downtime_minutes"), F.col("captured_date")
     return ride_daily.groupBy("captured_date", "park_name").agg(
-        F.max("day_name").alias("day_name"),
-        F.max("is_weekend").alias("is_weekend"),
+        calendar.day_name(date).alias("day_name"),
+        calendar.is_weekend(date).alias("is_weekend"),
         F.count("ride_id").alias("rides_tracked"),
         round_half_up(percent(F.sum(open_snapshots), F.sum(snapshots)), 2).alias("park_uptime_pct"),
         F.sum("downtime_events").alias("total_downtime_events"),
