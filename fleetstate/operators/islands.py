@@ -4,8 +4,8 @@ The status of a ride has to be compared with its previous one, over its whole hi
 all snapshots of a ride into one task, and a single ride may hold a third of all rows. So the history is cut into
 slices of time that are windowed apart, and only what touches the edge of a slice is put together afterwards:
 
-1. A slice is a (ride, day). The few (ride, day) pairs that are too big are cut further, into minutes. If even a
-   minute is too big, it holds the same snapshots many times over, and these are counted into one row each.
+1. A slice is a (ride, day). The few (ride, day) pairs that are too big are cut further, into minutes, and snapshots
+   that are there many times over are counted into one row each.
 2. Within a slice, runs of equal status are numbered from 1 (`local_group`) and collapsed to one row each. This is the
    one shuffle of the snapshots.
 3. The first and the last run of a slice may go on in the slices next to it. These edge runs, at most two per slice,
@@ -42,7 +42,7 @@ def downtime_islands(staged: DataFrame, p: Params = Params(), counts: DataFrame
 def slice_runs(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
     """Runs of equal status (and equal names) within each slice: the snapshots, collapsed."""
     runs = (
-        _numbered_rows(_pack_copies(staged, p, count_ride_days(staged) if counts is None else counts))
+        _numbered_rows(_pack_busy_days(staged, p, count_ride_days(staged) if counts is None else counts))
         .groupBy(*SLICE, "local_group", "is_open", *NAMES)
         .agg(
             F.min("captured_at").alias("downtime_started_at"),
@@ -104,8 +104,10 @@ def status_groups(staged: DataFrame, p: Params = Params()) -> DataFrame:
     The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0. Numbers are
     given within each slice first, and moved by the number of runs the ride had before it.
     """
-    keyed = _keyed(staged)
-    rows = _numbered_rows(_cut(keyed, F.broadcast(busy_ride_days(count_ride_days(staged), p)), "left"))
+    busy = F.broadcast(busy_ride_days(count_ride_days(staged), p).withColumn("busy", F.lit(True)))
+    minute = F.when(F.col("busy"), minute_of_day(F.col("captured_at"))).otherwise(0)
+    cut = _keyed(staged).join(busy, ["ride_key", "captured_date"], "left").withColumn("slice_no", minute)
+    rows = _numbered_rows(cut)
     changed = F.when(F.col("slice_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
     # A left join, though each row has its slice: an inner one would add null checks to this side only, and the two
     # sides could no longer share one shuffle of the snapshots.
@@ -132,7 +134,7 @@ def busy_ride_days(counts: DataFrame, p: Params = Params()) -> DataFrame:
     """The (ride, day) pairs to be cut into minutes: the biggest ones above the limit, in a definite order."""
     return (
         counts.filter(F.col("snapshots") > p.max_rows_per_ride_day)
-        .select(_ride_key(), "captured_date", "snapshots", F.lit(True).alias("busy"))
+        .select(_ride_key(), "captured_date", "snapshots")
         .orderBy(F.desc("snapshots"), "ride_key", "captured_date")
         .limit(p.max_busy_days)
         .drop("snapshots")
@@ -151,33 +153,21 @@ def _keyed(staged: DataFrame) -> DataFrame:
     return staged.select(_ride_key(), *NAMES, "captured_at", "captured_date", "is_open", "data_source")
 
 
-def _cut(keyed: DataFrame, busy: DataFrame, how: str) -> DataFrame:
-    """Snapshots with their slice: a minute on a busy ride-day, else the whole day."""
-    minute = F.when(F.col("busy"), minute_of_day(F.col("captured_at"))).otherwise(0)
-    return keyed.join(busy, ["ride_key", "captured_date"], how).withColumn("slice_no", minute).drop("busy")
-
-
-def _pack_copies(staged: DataFrame, p: Params, counts: DataFrame) -> DataFrame:
-    """Snapshots with their slice and `copies`. In a minute that is still too big, equal snapshots become one row.
+def _pack_busy_days(staged: DataFrame, p: Params, counts: DataFrame) -> DataFrame:
+    """Snapshots with their slice and `copies`: equal snapshots of a busy ride-day become one row.
 
     Minutes cannot split what was captured at one time. But different snapshots of one ride and time are few, so a
-    minute is only that big if snapshots are there many times over, and these can be counted before the shuffle. When
-    no ride-day is busy, Spark drops this side of the plan as it runs.
+    minute can only be too big if it has the same ones many times over, and these are counted before the shuffle.
+    When no ride-day is busy, adaptive execution drops that side of the plan.
     """
-    keyed = _keyed(staged)
-    # Both lists have at most p.max_busy_days rows, whatever the data.
+    keyed, ride_day = _keyed(staged), ["ride_key", "captured_date"]
+    # At most p.max_busy_days rows, whatever the data.
     busy = F.broadcast(busy_ride_days(counts, p))
-    minutes = _cut(keyed, busy, "inner")
-    sizes = minutes.groupBy(*SLICE).agg(F.count(F.lit(1)).alias("snapshots"))
-    crowded = F.broadcast(
-        sizes.filter(F.col("snapshots") > p.max_rows_per_ride_day)
-        .orderBy(F.desc("snapshots"), *SLICE)
-        .limit(p.max_busy_days)
-        .select(*SLICE)
+    calm = keyed.join(busy, ride_day, "left_anti")
+    packed = keyed.join(busy, ride_day, "left_semi").groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return calm.select(*keyed.columns, F.lit(0).alias("slice_no"), F.lit(1).cast("long").alias("copies")).unionByName(
+        packed.withColumn("slice_no", minute_of_day(F.col("captured_at")))
     )
-    single = _cut(keyed, busy, "left").join(crowded, SLICE, "left_anti").withColumn("copies", F.lit(1).cast("long"))
-    packed = minutes.join(crowded, SLICE, "left_semi")
-    return single.unionByName(packed.groupBy(*packed.columns).agg(F.count(F.lit(1)).alias("copies")))
 
 
 def _numbered_rows(sliced: DataFrame) -> DataFrame:

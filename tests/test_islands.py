@@ -187,10 +187,10 @@ def test_copies_count_however_they_are_sliced(spark, seed):
 
 
 def test_copies_are_packed_before_the_shuffle(spark):
-    rows = [snap(TEN, False, 1)] * 50 + [snap(TEN, False, 2)]
+    rows = [snap(TEN, False, 1)] * 50 + [snap(TEN, False, 2)] * 3
     staged = stage_snapshots(raw(spark, rows))
-    packed = islands._pack_copies(staged, Params(max_rows_per_ride_day=10), islands.count_ride_days(staged))
-    assert sorted((r.ride_key, r.slice_no, r.copies) for r in packed.collect()) == [(1, 600, 50), (2, 0, 1)]
+    packed = islands._pack_busy_days(staged, Params(max_rows_per_ride_day=10), islands.count_ride_days(staged))
+    assert sorted((r.ride_key, r.slice_no, r.copies) for r in packed.collect()) == [(1, 600, 50)] + [(2, 0, 1)] * 3
 
 
 def test_busy_days_are_few_and_definite(spark):
