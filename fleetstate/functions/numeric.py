@@ -17,12 +17,12 @@ def round_half_up(value: Column, places: int) -> Column:
 def round_half_even(value: Column, places: int) -> Column:
     """The same with banker's rounding, as reports show aggregates."""
     scale = float(10**places)
-    return F.bround(value * F.lit(scale), 0) / F.lit(scale)
+    return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
 def to_whole(value: Column) -> Column:
     """Fraction to int with half-even rounding (a plain Spark cast would truncate)."""
-    return F.bround(value.cast("double"), 0).cast("int")
+    return F.rint(value.cast("double")).cast("int")
 
 
 def ratio(part: Column, whole: Column) -> Column:
