@@ -7,7 +7,7 @@ slices of time that are windowed apart, and only what touches the edge of a slic
 1. A slice is a (ride, day). The few (ride, day) pairs that are too big are cut further, into minutes, and snapshots
    that are there many times over are counted into one row each.
 2. Within a slice, runs of equal status are numbered from 1 (`local_group`) and collapsed to one row each. This is the
-   one shuffle of the snapshots.
+   one shuffle of the snapshots; those of the ride-days that were cut have one more before it, to be counted.
 3. The first and the last run of a slice may go on in the slices next to it. These edge runs, at most two per slice,
    meet in a window per ride. All other runs are whole already; each is a group of its own in the same shuffle.
 

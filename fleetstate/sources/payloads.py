@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetstate import schema
 from fleetstate.functions.calendar import floor_second
-from fleetstate.params import LIVE_SOURCE
+from fleetstate.params import LIVE_SOURCE, TARGET_PARKS
 
 # Fixed value: the land of a ride that has none.
 NO_LAND = "Uncategorized"
@@ -74,7 +74,7 @@ def _parse() -> Column:
     return F.from_json("payload", schema.QUEUE_PAYLOAD, {"columnNameOfCorruptRecord": schema.CORRUPT})
 
 
-def resolve_parks(catalogues: DataFrame, names: Sequence[str]) -> DataFrame:
+def resolve_parks(catalogues: DataFrame, names: Sequence[str] = TARGET_PARKS) -> DataFrame:
     """(park_name, park_id) of the wanted parks, matched by trimmed name. A name listed twice takes its last id.
 
     `catalogues` has a `payload` column of park-group lists and a `seq` column that orders the payloads.
@@ -93,12 +93,12 @@ def resolve_parks(catalogues: DataFrame, names: Sequence[str]) -> DataFrame:
     return listed.join(wanted, "park_name").groupBy("park_name").agg(F.max_by("park_id", "place").alias("park_id"))
 
 
-def unresolved_parks(catalogues: DataFrame, names: Sequence[str]) -> DataFrame:
+def unresolved_parks(catalogues: DataFrame, names: Sequence[str] = TARGET_PARKS) -> DataFrame:
     """The wanted names the catalogue does not list."""
     return _wanted(catalogues, names).join(resolve_parks(catalogues, names), "park_name", "left_anti")
 
 
-def require_parks(catalogues: DataFrame, names: Sequence[str]) -> dict[str, int]:
+def require_parks(catalogues: DataFrame, names: Sequence[str] = TARGET_PARKS) -> dict[str, int]:
     """Resolved parks as name -> id, in the order asked for. Fails when there is none at all."""
     found = {row.park_name: row.park_id for row in resolve_parks(catalogues, names).collect()}
     if not found:

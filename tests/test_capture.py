@@ -85,7 +85,7 @@ def test_resolve_parks_trims_and_takes_the_last_of_a_name(spark):
     assert [r.park_name for r in payloads.unresolved_parks(parks, ["A", "B", "C"]).collect()] == ["C"]
     assert list(payloads.require_parks(parks, ["B", "C", "A"]).items()) == [("B", 3), ("A", 2)]
     with pytest.raises(RuntimeError):
-        payloads.require_parks(parks, ["C"])
+        payloads.require_parks(parks)
 
 
 def test_keep_last_treats_missing_keys_as_equal(spark):

@@ -100,5 +100,7 @@ def test_ranking_is_a_top_k(spark):
 
 def test_settings_do_not_change_what_is_found(staged):
     whole = marts.downtime_events(staged)
-    cut = marts.downtime_events(staged, Params(max_rows_per_ride_day=1))
-    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    p = Params(max_rows_per_ride_day=1)
+    for counts in (None, rollups.ride_day_totals(staged)):
+        cut = marts.downtime_events(staged, p, counts)
+        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
