@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
+from .linededup import ORACLE_OP5, op5_line_dedup
 from .simhash import op3_simhash_near_dedup
 
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
 }
 
 ORACLE = {
     "op2_benchmark_decontamination": ORACLE_OP2,
+    "op5_line_dedup": ORACLE_OP5,
 }
