@@ -71,7 +71,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span data[start:end]; spans are in order of start and do not nest."""
-    out = np.empty(len(starts), dtype=U64)
+    return prefix_hashes(data, starts, ends, (None,))[0]
+
+
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
+    """As `span_hashes`, of the first `size` bytes of each span (None: of all), for each of `sizes`."""
+    out = [np.empty(len(starts), dtype=U64) for _ in sizes]
     lo = 0
     while lo < len(starts):
         base = int(starts[lo])
@@ -81,9 +86,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         sums = np.zeros(len(segment) + 1, dtype=U64)
         np.cumsum((segment.astype(U64) + U64(1)) * power[: len(segment)], out=sums[1:])
         a, b = starts[lo:hi] - base, ends[lo:hi] - base
-        out[lo:hi] = (sums[b] - sums[a]) * inverse[a]
+        for hashes, size in zip(out, sizes):
+            stop = b if size is None else np.minimum(b, a + size)
+            hashes[lo:hi] = mix((sums[stop] - sums[a]) * inverse[a])
         lo = hi
-    return mix(out)
+    return out
 
 
 def byte_table(is_word) -> np.ndarray:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .linededup import ORACLE_OP5, op5_line_dedup
+from .pieces import op9_sentencepiece
 from .simhash import op3_simhash_near_dedup
 
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE = {
