@@ -6,10 +6,12 @@ from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .linededup import ORACLE_OP5, op5_line_dedup
 from .pieces import op9_sentencepiece
 from .simhash import op3_simhash_near_dedup
+from .toxicity import op4_toxicity
 
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }
