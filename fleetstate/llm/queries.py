@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import ORACLE_OP7, op7_chat_formatting
 from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .linededup import ORACLE_OP5, op5_line_dedup
 from .pieces import op9_sentencepiece
@@ -13,10 +14,12 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op7_chat_formatting": op7_chat_formatting,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE = {
     "op2_benchmark_decontamination": ORACLE_OP2,
     "op5_line_dedup": ORACLE_OP5,
+    "op7_chat_formatting": ORACLE_OP7,
 }
