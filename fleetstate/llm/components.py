@@ -1,7 +1,8 @@
-"""Connected components of a distributed graph by alternating star contractions."""
+"""Connected components: of a distributed graph by alternating star contractions, and of places inside a task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,40 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+class Forest:
+    """Least reachable place of each place, with the runs of equal names that allow whole nodes to be skipped."""
+
+    def __init__(self, n: int):
+        self.name = np.arange(n)
+        self._mark()
+
+    def _mark(self) -> None:
+        change = np.flatnonzero(np.diff(self.name)) + 1
+        stops = np.append(change, len(self.name))
+        self.run_end = stops[np.searchsorted(stops, np.arange(len(self.name)), side="right")]
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Join the components of each pair of places."""
+        a, b = self.name[a], self.name[b]
+        while len(a):
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            new = low < high
+            low, high = low[new], high[new]
+            if not len(low):
+                break
+            parent = np.arange(len(self.name))
+            np.minimum.at(parent, high, low)
+            while True:
+                up = parent[parent]
+                if np.array_equal(up, parent):
+                    break
+                parent = up
+            self.name = parent[self.name]
+            a, b = parent[low], parent[high]
+        self._mark()
+
+    def joined(self, lo1, hi1, lo2, hi2) -> np.ndarray:
+        """Whether two whole ranges are one component already."""
+        return (self.name[lo1] == self.name[lo2]) & (self.run_end[lo1] >= hi1) & (self.run_end[lo2] >= hi2)

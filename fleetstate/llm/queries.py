@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from .chat import ORACLE_OP7, op7_chat_formatting
 from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
+from .language import op6_language_id
 from .linededup import ORACLE_OP5, op5_line_dedup
+from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
 from .pieces import op9_sentencepiece
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE = {
+    "op1_embedding_near_dedup": ORACLE_OP1,
     "op2_benchmark_decontamination": ORACLE_OP2,
     "op5_line_dedup": ORACLE_OP5,
     "op7_chat_formatting": ORACLE_OP7,

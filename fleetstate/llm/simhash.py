@@ -15,11 +15,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, settle, table
-from .components import components
+from .components import Forest, components
 
 #: Fingerprints under one node of the top of the trie, on average.
 NODE_ROWS = 1 << 15
@@ -52,56 +52,20 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1)
+        texts = batch.column(2)
         prints = np.fromiter((fingerprint_of(texts[i].as_py(), shingle) for i in range(len(texts))), dtype=U64, count=len(texts))
-        yield pa.record_batch([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], names=["doc_id", "th", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each text, as a signed long."""
+    """(doc_id, th, fp): a hash of each text, and its fingerprint as a signed long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        partial(_fingerprint_batches, shingle=shingle), f"doc_id {kind}, fp bigint"
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(
+        partial(_fingerprint_batches, shingle=shingle), f"doc_id {kind}, th bigint, fp bigint"
     )
 
 
-class _Forest:
-    """Least reachable place of each place, with the runs of equal names that allow whole nodes to be skipped."""
-
-    def __init__(self, n: int):
-        self.name = np.arange(n)
-        self._mark()
-
-    def _mark(self) -> None:
-        change = np.flatnonzero(np.diff(self.name)) + 1
-        stops = np.append(change, len(self.name))
-        self.run_end = stops[np.searchsorted(stops, np.arange(len(self.name)), side="right")]
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Join the components of each pair of places."""
-        a, b = self.name[a], self.name[b]
-        while len(a):
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            new = low < high
-            low, high = low[new], high[new]
-            if not len(low):
-                break
-            parent = np.arange(len(self.name))
-            np.minimum.at(parent, high, low)
-            while True:
-                up = parent[parent]
-                if np.array_equal(up, parent):
-                    break
-                parent = up
-            self.name = parent[self.name]
-            a, b = parent[low], parent[high]
-        self._mark()
-
-    def joined(self, lo1, hi1, lo2, hi2) -> np.ndarray:
-        """Whether two whole ranges are one component already."""
-        return (self.name[lo1] == self.name[lo2]) & (self.run_end[lo1] >= hi1) & (self.run_end[lo2] >= hi2)
-
-
 def trie_links(keys: np.ndarray, split: int, depth: int, used: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of places in `keys` that span the components of "differs in at most `budget` bits".
 
@@ -111,7 +75,7 @@ def trie_links(keys: np.ndarray, split: int, depth: int, used: int, budget: int)
     are unlike, and ends where the budget is exceeded, where a node is empty, or where all its keys are linked by now.
     """
     n = len(keys)
-    forest = _Forest(n)
+    forest = Forest(n)
     first = (0, n, 0, n, 0) if split == 0 else (0, split, split, n, used)
     stack = [(depth, np.array([first], dtype=np.int64))]
     while stack:
@@ -201,20 +165,36 @@ def near_links(prints: DataFrame, budget: int = 4, node_rows: int = NODE_ROWS) -
 
 
 def simhash_components(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of `docs`; component_id is the least id that its fingerprint can reach.
+    """(doc_id, th, fp, component, component_id) for each row of `docs`.
+
+    component_id is the least id that its fingerprint can reach, component the least fingerprint; th is a hash of the text.
 
     Copies meet in one distinct fingerprint before the join, so a group of copies costs as much as one text.
     """
     rows = settle(fingerprints(docs, shingle))
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = components(near_links(classes.select("fp"), budget))
-    grouped = linked.join(classes, linked["node"] == classes["fp"]).select("fp", "component", "least")
-    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    renamed = grouped.join(names, "component").select(F.col("fp").alias("node"), "component_id")
-    named = classes.join(renamed, classes["fp"] == renamed["node"], "left").select(
-        F.col("fp").alias("print"), F.coalesce("component_id", "least").alias("component_id")
+    grouped = classes.join(linked, classes["fp"] == linked["node"], "left").select(
+        F.col("fp").alias("print"), "least", F.coalesce("component", "fp").alias("component")
     )
-    return rows.join(named, rows["fp"] == named["print"], "left").select("doc_id", "fp", "component_id")
+    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Kept for a join of its own below, in which Spark can split a fingerprint that very many rows share.
+    named = settle(grouped.select("print", "component").join(names, "component"))
+    return rows.join(named, rows["fp"] == named["print"], "left").select("doc_id", "th", "fp", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
+    """One row of `docs` for each component: the one with the least id (a null id only if there is no other)."""
+    found = simhash_components(docs, shingle, budget)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("least")
+    chosen = found.groupBy("component").agg(least).select(F.col("least.doc_id").alias("id"), F.col("least.th").alias("th"))
+    chosen = chosen.select(F.col("id").alias("kept_id"), F.col("th").alias("kept_th"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("th"))
+    kept = rows.join(chosen, rows["id"].eqNullSafe(chosen["kept_id"]) & (rows["th"] == chosen["kept_th"]), "left_semi")
+    # Rows of equal id and text are copies too.
+    first = F.row_number().over(Window.partitionBy("id", "th").orderBy(F.lit(0)))
+    return kept.withColumn("nth", first).filter("nth = 1").select("row.*")
 
 
 def op3_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
