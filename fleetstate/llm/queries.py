@@ -7,6 +7,7 @@ from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .language import op6_language_id
 from .linededup import ORACLE_OP5, op5_line_dedup
 from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
+from .pii import op8_pii_surrogates
 from .pieces import op9_sentencepiece
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
