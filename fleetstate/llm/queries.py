@@ -9,6 +9,7 @@ from .linededup import ORACLE_OP5, op5_line_dedup
 from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
 from .pii import op8_pii_surrogates
 from .pieces import op9_sentencepiece
+from .scoring import op10_lm_scoring
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_chat_formatting": op7_chat_formatting,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE = {
