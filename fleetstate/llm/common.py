@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once inside a task. A longer text is handled alone, whole.
 CHUNK_BYTES = 1 << 21
@@ -38,12 +39,9 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
-    """Null-safe equality of the named columns."""
-    out = F.lit(True)
-    for name in columns:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
+def schema_with(rows: DataFrame, without: tuple[str, ...], more: str) -> StructType:
+    """The fields of `rows` but some, and those of a DDL string."""
+    return StructType([f for f in rows.schema if f.name not in without] + StructType.fromDDL(more).fields)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

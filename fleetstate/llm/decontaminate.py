@@ -156,7 +156,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     shorts = [r[0] for r in item_rows.filter((F.col("n_words") > 0) & (F.col("n_words") < window)).select("n_words").distinct().collect()]
     wanted = spark.sparkContext.broadcast(_filter_words(item_grams))
     # The scan of the documents is kept with a number for each row: repeated and null ids need no care from here on.
-    rows = settle(_scan(docs, "doc_id", sorted(shorts), wanted, window, gram).withColumn("row", F.monotonically_increasing_id()))
+    scan = _scan(docs, "doc_id", sorted(shorts), wanted, window, gram)
+    rows = settle(scan.withColumn("row", F.monotonically_increasing_id()))
     doc_grams = rows.select("row", F.inline("grams"))
     d, i, most = doc_grams.alias("d"), item_grams.alias("i"), window - gram
     left, right = (_common(F.col(f"d.{side}"), F.col(f"i.{side}"), most) for side in ("before", "after"))
@@ -199,6 +200,21 @@ def _merged(hits: DataFrame) -> DataFrame:
     return numbered.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of `docs` that share no window with an item.
+
+    Only documents with a hit take part in the second step, which finds them again by id and text.
+    """
+    text = F.xxhash64(F.col("text").cast("string"))
+    keyed = docs.select(F.struct("doc_id", text.alias("th")).alias("doc_id"), "text")
+    dirty = contamination(keyed, items, window, gram).filter("n_hit > 0").select("doc_id.*").distinct()
+    dirty = dirty.select(F.col("doc_id").alias("dirty_id"), F.col("th").alias("dirty_th"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").alias("id"), text.alias("th"))
+    clean = rows.join(dirty, rows["id"].eqNullSafe(dirty["dirty_id"]) & (rows["th"] == dirty["dirty_th"]), "left_anti")
+    return clean.select("row.*")
+
+
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

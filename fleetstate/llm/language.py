@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytenet import _REACH, WINDOW, ByteNet, softmax, train
-from .common import Chunk, chunks, held_out, table
+from .common import Chunk, chunks, held_out, schema_with, table
 
 #: Bounds of the training sample: texts of a language, windows of a text, languages.
 TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 1500, 4, 200
@@ -127,8 +127,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "_text")]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("string").alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return rows.mapInArrow(partial(_predict_batches, model=sent), f"{kept}, lang_pred string, score double")
+    return rows.mapInArrow(partial(_predict_batches, model=sent), schema_with(rows, ("_text",), "lang_pred string, score double"))
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

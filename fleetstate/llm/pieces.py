@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, _powers, chunks, mix, span_hashes, table
+from .common import U64, _powers, chunks, mix, schema_with, span_hashes, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text for which the lattice of distinct words is laid out at once.
@@ -319,8 +319,8 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, sharpness: float
         F.col("text").cast("string").alias("_text"),
         F.xxhash64(F.lit(seed).cast("bigint"), F.col(f"`{key}`").cast("string")).alias("_seed"),
     )
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("_text", "_seed"))
-    return rows.mapInArrow(partial(_encode_batches, vocab=vocab), f"{kept}, ids array<int>, n_pieces bigint, lossless boolean")
+    more = "ids array<int>, n_pieces bigint, lossless boolean"
+    return rows.mapInArrow(partial(_encode_batches, vocab=vocab), schema_with(rows, ("_text", "_seed"), more))
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], vocab) -> Iterator[pa.RecordBatch]:
@@ -341,8 +341,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """The columns of `encoded` with the text in place of ids. Ids of control pieces stand for nothing."""
     vocab = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     rows = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != "text"])
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "ids")
-    return rows.mapInArrow(partial(_decode_batches, vocab=vocab), f"{kept}, text string")
+    return rows.mapInArrow(partial(_decode_batches, vocab=vocab), schema_with(rows, ("ids",), "text string"))
 
 
 def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import schema_with, table
 
 # Alphabets whose letters stand for each other.
 ALPHABETS = (
@@ -309,12 +309,9 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """The columns of `docs` with the new text, and `entities`: type, span in the new text, keyed hash of the original."""
     rest = [c for c in docs.columns if c not in ("text", "entities", "_text")]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("string").alias("_text"))
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
-    return rows.mapInArrow(
-        partial(_replace_batches, key=secret),
-        f"{kept}text string, entities array<struct<type: string, start: bigint, stop: bigint, entity: string>>",
-    )
+    more = "text string, entities array<struct<type: string, start: bigint, stop: bigint, entity: string>>"
+    return rows.mapInArrow(partial(_replace_batches, key=secret), schema_with(rows, ("_text",), more))
 
 
 def collisions(replaced: DataFrame) -> DataFrame:

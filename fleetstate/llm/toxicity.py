@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .boost import Trees, fit_isotonic, fit_trees
-from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, held_out, prefix_hashes, settle, table
+from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, held_out, prefix_hashes, schema_with, settle, table
 
 #: Documents of each class in the training sample, words and stems in the lexicon: bounds of what meets on the driver.
 SAMPLE_PER_CLASS, LEXICON_SIZE = 12_000, 1_500
@@ -285,16 +285,22 @@ def _score_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.Reco
             yield pa.record_batch([*(part.column(n) for n in rest), pa.array(scores)], names=[*rest, "score"])
 
 
-def toxicity_scores(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
-    """The columns of `docs` (the text only if asked for) and score; predicted is 1 from 0.5 on."""
+def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of `docs` but its text, with score, and predicted: 1 from 0.5 on."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c not in ("score", "predicted", "_text") and (keep_text or c != "text")]
+    rest = [c for c in docs.columns if c not in ("text", "score", "predicted", "_text")]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("string").alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    scored = rows.mapInArrow(partial(_score_batches, model=sent), f"{kept}, score double")
+    scored = rows.mapInArrow(partial(_score_batches, model=sent), schema_with(rows, ("_text",), "score double"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs` that score under one half."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = toxicity_scores(docs.select(row.alias("row"), F.col("text").cast("string").alias("text")), model)
+    return scored.filter("predicted = 0").select("row.*")
+
+
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
