@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .chat import ORACLE_OP7, op7_chat_formatting
 from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .language import op6_language_id
@@ -24,6 +26,7 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
