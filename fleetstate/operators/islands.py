@@ -1,18 +1,16 @@
 """Outage islands: unbroken runs of closed snapshots per ride.
 
 The status of a ride has to be compared with its previous one, over its whole history. One window per ride would put
-all snapshots of a ride into one task, and a single ride may hold a third of all rows. So the history is cut into
-slices of time that are windowed apart, and only what touches the edge of a slice is put together afterwards:
-
-1. A slice is a (ride, day). The few (ride, day) pairs that are too big are cut further, into minutes, and snapshots
-   that are there many times over are counted into one row each.
-2. Within a slice, runs of equal status are numbered from 1 (`local_group`) and collapsed to one row each. This is the
-   one shuffle of the snapshots; those of the ride-days that were cut have one more before it, to be counted.
-3. The first and the last run of a slice may go on in the slices next to it. These edge runs, at most two per slice,
-   meet in a window per ride. All other runs are whole already; each is a group of its own in the same shuffle.
-
-No window sees more than one slice, or the edge runs of one ride. A ride has at most 1,440 slices a day, whatever its
-number of rows.
+all snapshots of a ride into one task, and a single ride may hold a third of all rows. Joining runs is associative, so
+they are built in fixed steps, the same for any data:
+
+1. Equal snapshots are counted into one row each; the count is summed up before the shuffle.
+2. Runs of equal status within a second of a ride, collapsed to one row each.
+3. These are joined to the runs of a day of the ride, and the runs of its days to outages. A run that touches neither
+   end of its day is whole already; only those at an edge, at most two a day, meet in a window per ride.
+
+So a sort has the different snapshots of one ride and second, the runs of one ride and day (at most two for each second),
+or the edge runs of one ride (at most two for each day), however many rows there are.
 """
 
 from __future__ import annotations
@@ -20,125 +18,110 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetstate.functions.calendar import minute_of_day
-from fleetstate.params import Params
+from fleetstate.functions.calendar import floor_second
 
 NAMES = ["ride_name", "park_name", "land_name"]
-SLICE = ["ride_key", "captured_date", "slice_no"]
+TICK, DAY = ["ride_key", "tick"], ["ride_key", "captured_date"]
 # Key of the ride that has no id: beyond any int, so that the key of a ride is never NULL and can be joined on.
 NO_RIDE = 1 << 40
 # Snapshots of one ride at one time may come from two sources; the rest only makes the order of such ties definite.
 IN_ORDER = ["captured_at", "data_source", "is_open", *NAMES]
+# Copies of a snapshot that are written out by one row of an intermediate step of `status_groups`.
+SPREAD = 10_000
 
 
-def downtime_islands(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
-    """One row per unbroken run of closed snapshots of a ride. A run also ends where a name changes.
+def downtime_islands(staged: DataFrame) -> DataFrame:
+    """One row per unbroken run of closed snapshots of a ride. A run also ends where a name changes."""
+    return stitch_days(day_runs(tick_runs(staged)))
 
-    `counts` has `snapshots` by `ride_id` and `captured_date`, for a caller that has counted them already.
-    """
-    return stitch_runs(slice_runs(staged, p, counts))
 
+def fold_copies(staged: DataFrame) -> DataFrame:
+    """Different snapshots, with `copies` and the second they belong to."""
+    keyed = staged.select(_ride_key(), *NAMES, "captured_at", "captured_date", "is_open", "data_source")
+    folded = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return folded.withColumn("tick", floor_second(F.col("captured_at")))
 
-def slice_runs(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
-    """Runs of equal status (and equal names) within each slice: the snapshots, collapsed."""
-    runs = (
-        _numbered_rows(_pack_busy_days(staged, p, count_ride_days(staged) if counts is None else counts))
-        .groupBy(*SLICE, "local_group", "is_open", *NAMES)
+
+def tick_runs(staged: DataFrame) -> DataFrame:
+    """Runs of equal status (and equal names) within each second of a ride."""
+    return (
+        _numbered(fold_copies(staged))
+        .groupBy(*TICK, "captured_date", "local_run", "is_open", *NAMES)
         .agg(
-            F.min("captured_at").alias("downtime_started_at"),
-            F.max("captured_at").alias("last_observed_closed_at"),
-            F.sum("copies").alias("closed_snapshot_count"),
+            F.min("captured_at").alias("started_at"),
+            F.max("captured_at").alias("ended_at"),
+            F.sum("copies").alias("snapshots"),
         )
     )
-    last_group = F.max("local_group").over(Window.partitionBy(*SLICE))
-    return runs.withColumn("at_edge", (F.col("local_group") == 1) | (F.col("local_group") == last_group))
 
 
-def stitch_runs(runs: DataFrame) -> DataFrame:
-    """Whole outages from the runs of all slices."""
-    # Runs within a slice keep a group of their own; those at an edge share one per ride.
-    group = ["ride_key", "own_date", "own_slice", "own_group"]
-    inner = ~F.col("at_edge")
-    grouped = runs.filter(F.col("at_edge") | ~F.col("is_open")).select(
-        "*",
-        F.when(inner, F.col("captured_date")).alias("own_date"),
-        F.when(inner, F.col("slice_no")).alias("own_slice"),
-        F.when(inner, F.col("local_group")).alias("own_group"),
-    )
-    order = Window.partitionBy(*group).orderBy("captured_date", "slice_no", "local_group")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def day_runs(runs: DataFrame) -> DataFrame:
+    """Runs of each day of a ride, and whether they touch an edge of it."""
+    joined = _joined(runs, DAY, "tick")
+    collapsed = joined.groupBy(*DAY, "run", "is_open", *NAMES).agg(*_run_totals())
+    last_run = F.max("run").over(Window.partitionBy(*DAY))
+    at_edge = (F.col("run") == 1) | (F.col("run") == last_run)
+    return collapsed.withColumn("at_edge", at_edge).withColumnRenamed("run", "local_run")
 
-    def same_as_before(column: str) -> Column:
-        return F.lag(column).over(order) == F.col(column)
 
-    # Two runs of one slice are one only if they bear the same number (they differ in a name then). Of two slices, the
-    # last run of the earlier and the first of the later are one if the status is the same.
-    same_slice = same_as_before("captured_date") & same_as_before("slice_no")
-    goes_on = F.when(same_slice, same_as_before("local_group")).otherwise(same_as_before("is_open"))
-    numbered = grouped.withColumn("starts", F.when(goes_on, 0).otherwise(1)).withColumn(
-        "run_no", F.sum("starts").over(so_far)
+def stitch_days(runs: DataFrame) -> DataFrame:
+    """Whole outages from the runs of all days."""
+    # Runs within a day keep a group of their own; those at an edge share one per ride.
+    inner = ~F.col("at_edge")
+    grouped = runs.filter(F.col("at_edge") | ~F.col("is_open")).select(
+        "*", F.when(inner, F.col("captured_date")).alias("own_date"), F.when(inner, F.col("local_run")).alias("own_run")
     )
+    group = ["ride_key", "own_date", "own_run"]
     return (
-        numbered.filter(~F.col("is_open"))
-        .groupBy(*group, "run_no", *NAMES)
-        .agg(
-            F.min("captured_date").alias("downtime_date"),
-            F.min("downtime_started_at").alias("downtime_started_at"),
-            F.max("last_observed_closed_at").alias("last_observed_closed_at"),
-            F.sum("closed_snapshot_count").alias("closed_snapshot_count"),
-        )
+        _joined(grouped, group, "captured_date")
+        .filter(~F.col("is_open"))
+        .groupBy(*group, "run", *NAMES)
+        .agg(F.min("captured_date").alias("downtime_date"), *_run_totals())
         .select(
             _ride_id(),
             *NAMES,
             "downtime_date",
-            "downtime_started_at",
-            "last_observed_closed_at",
-            "closed_snapshot_count",
+            F.col("started_at").alias("downtime_started_at"),
+            F.col("ended_at").alias("last_observed_closed_at"),
+            F.col("snapshots").alias("closed_snapshot_count"),
         )
     )
 
 
-def status_groups(staged: DataFrame, p: Params = Params()) -> DataFrame:
+def status_groups(staged: DataFrame) -> DataFrame:
     """Each snapshot with a change flag and the number of the run it belongs to, counted per ride from 1.
 
-    The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0. Numbers are
-    given within each slice first, and moved by the number of runs the ride had before it.
+    The flag is 1 where the status differs from the ride's previous one, or either is unknown, else 0. Numbers are given
+    to different snapshots within each second, and moved by the number of runs that the ride's day, and the ride, had
+    before. Copies come after that: of those with a status the first has the flag and all the number; each one without
+    a status is a run of its own.
     """
-    busy = F.broadcast(busy_ride_days(count_ride_days(staged), p).withColumn("busy", F.lit(True)))
-    minute = F.when(F.col("busy"), minute_of_day(F.col("captured_at"))).otherwise(0)
-    cut = _keyed(staged).join(busy, ["ride_key", "captured_date"], "left").withColumn("slice_no", minute)
-    rows = _numbered_rows(cut)
-    changed = F.when(F.col("slice_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
-    # A left join, though each row has its slice: an inner one would add null checks to this side only, and the two
+    rows = _numbered(fold_copies(staged))
+    # A left join, though each row has its offset: an inner one would add null checks to this side only, and the two
     # sides could no longer share one shuffle of the snapshots.
-    return rows.join(_slice_offsets(rows), SLICE, "left").select(
+    found = rows.join(_offsets(rows), [*TICK, "captured_date"], "left")
+    # A first run that carries on the one before is not counted again, and its first row is no change.
+    flag = F.when(F.col("tick_row") == 1, 1 - F.col("carried_on")).otherwise(F.col("changed"))
+    found = found.select("*", flag.alias("flag"), (F.col("runs_before") + F.col("local_number")).alias("number"))
+    # Copies are written out in two steps, so that no row becomes more than SPREAD in one task.
+    parts = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(SPREAD).cast("bigint"))))
+    spread = parts.repartition(*TICK, "part")
+    nth = F.explode(F.sequence("part", F.least(F.col("copies"), F.col("part") + SPREAD) - 1))
+    unknown = F.col("is_open").isNull()
+    return spread.withColumn("nth", nth).select(
         _ride_id(),
         *NAMES,
         "captured_at",
         "captured_date",
         "is_open",
-        changed.alias("is_status_change"),
-        (F.col("groups_before") + F.col("local_group")).alias("status_group"),
+        F.when(unknown, 1).when(F.col("nth") == 0, F.col("flag")).otherwise(0).alias("is_status_change"),
+        # An unknown row's number is that of its last copy.
+        F.when(unknown, F.col("number") - F.col("copies") + 1 + F.col("nth")).otherwise(F.col("number")).alias("status_group"),
     )
 
 
-def status_changes(staged: DataFrame, p: Params = Params()) -> DataFrame:
-    return status_groups(staged, p).drop("status_group")
-
-
-def count_ride_days(staged: DataFrame) -> DataFrame:
-    return staged.groupBy("ride_id", "captured_date").agg(F.count(F.lit(1)).alias("snapshots"))
-
-
-def busy_ride_days(counts: DataFrame, p: Params = Params()) -> DataFrame:
-    """The (ride, day) pairs to be cut into minutes: the biggest ones above the limit, in a definite order."""
-    return (
-        counts.filter(F.col("snapshots") > p.max_rows_per_ride_day)
-        .select(_ride_key(), "captured_date", "snapshots")
-        .orderBy(F.desc("snapshots"), "ride_key", "captured_date")
-        .limit(p.max_busy_days)
-        .drop("snapshots")
-    )
+def status_changes(staged: DataFrame) -> DataFrame:
+    return status_groups(staged).drop("status_group")
 
 
 def _ride_key() -> Column:
@@ -149,50 +132,70 @@ def _ride_id() -> Column:
     return F.nullif(F.col("ride_key"), F.lit(NO_RIDE)).cast("int").alias("ride_id")
 
 
-def _keyed(staged: DataFrame) -> DataFrame:
-    return staged.select(_ride_key(), *NAMES, "captured_at", "captured_date", "is_open", "data_source")
+def _numbered(folded: DataFrame) -> DataFrame:
+    """Different snapshots with their place in their second, change flag, run, and run counted with all copies."""
+    order = Window.partitionBy(*TICK).orderBy(*IN_ORDER)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Every copy without a status is a run.
+    used = F.when(F.col("is_open").isNull(), F.col("copies")).otherwise(F.col("changed"))
+    return (
+        folded.withColumn("tick_row", F.row_number().over(order))
+        .withColumn("changed", F.when(F.lag("is_open").over(order) == F.col("is_open"), 0).otherwise(1))
+        .withColumn("local_run", F.sum("changed").over(so_far))
+        .withColumn("local_number", F.sum(used).over(so_far))
+    )
 
 
-def _pack_busy_days(staged: DataFrame, p: Params, counts: DataFrame) -> DataFrame:
-    """Snapshots with their slice and `copies`: equal snapshots of a busy ride-day become one row.
+def _joined(runs: DataFrame, group: list[str], part: str) -> DataFrame:
+    """`run`: runs numbered anew within `group`, where those of each `part` have a `local_run`.
 
-    Minutes cannot split what was captured at one time. But different snapshots of one ride and time are few, so a
-    minute can only be too big if it has the same ones many times over, and these are counted before the shuffle.
-    When no ride-day is busy, adaptive execution drops that side of the plan.
+    Two rows of one part are one run only if they bear the same number (they differ in a name then). Of two parts, the
+    last run of the earlier and the first of the later are one if the status is the same.
     """
-    keyed, ride_day = _keyed(staged), ["ride_key", "captured_date"]
-    # At most p.max_busy_days rows, whatever the data.
-    busy = F.broadcast(busy_ride_days(counts, p))
-    calm = keyed.join(busy, ride_day, "left_anti")
-    packed = keyed.join(busy, ride_day, "left_semi").groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return calm.select(*keyed.columns, F.lit(0).alias("slice_no"), F.lit(1).cast("long").alias("copies")).unionByName(
-        packed.withColumn("slice_no", minute_of_day(F.col("captured_at")))
-    )
+    order = Window.partitionBy(*group).orderBy(part, "local_run")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    def same_as_before(column: str) -> Column:
+        return F.lag(column).over(order) == F.col(column)
 
-def _numbered_rows(sliced: DataFrame) -> DataFrame:
-    """Snapshots with their place in the slice, change flag, and number of the run within the slice."""
-    order = Window.partitionBy(*SLICE).orderBy(*IN_ORDER)
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        sliced.withColumn("slice_row", F.row_number().over(order))
-        .withColumn("changed", F.when(F.lag("is_open").over(order) == F.col("is_open"), 0).otherwise(1))
-        .withColumn("local_group", F.sum("changed").over(so_far))
-    )
+    goes_on = F.when(same_as_before(part), same_as_before("local_run")).otherwise(same_as_before("is_open"))
+    return runs.withColumn("starts", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("starts").over(so_far))
+
+
+def _run_totals() -> list[Column]:
+    return [F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"), F.sum("snapshots").alias("snapshots")]
 
 
-def _slice_offsets(rows: DataFrame) -> DataFrame:
-    """Per slice: whether its first run carries on the last one of the slice before, and the runs counted before it."""
-    slices = rows.groupBy(*SLICE).agg(
-        F.max("local_group").alias("groups"),
-        F.max(F.when(F.col("local_group") == 1, F.col("is_open"))).alias("first_status"),
-        F.max_by("is_open", "local_group").alias("last_status"),
+def _offsets(rows: DataFrame) -> DataFrame:
+    """Per second of a ride: whether its first run carries on the one before, and the runs counted before it."""
+    ticks = rows.groupBy(*TICK, "captured_date").agg(
+        F.max("local_number").alias("runs"),
+        F.max(F.when(F.col("tick_row") == 1, F.col("is_open"))).alias("first_status"),
+        F.max_by("is_open", "tick_row").alias("last_status"),
     )
-    ride = Window.partitionBy("ride_key").orderBy("captured_date", "slice_no")
-    so_far = ride.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried_on = F.when(F.lag("last_status").over(ride) == F.col("first_status"), 1).otherwise(0)
-    return slices.withColumn("carried_on", carried_on).select(
-        *SLICE,
-        "carried_on",
-        (F.sum(F.col("groups") - F.col("carried_on")).over(so_far) - F.col("groups")).alias("groups_before"),
+    ticks = _counted_before(ticks, DAY, "tick", "day_")
+    days = ticks.groupBy(*DAY).agg(
+        F.sum(F.col("runs") - F.col("day_carried_on")).alias("runs"),
+        F.min_by("first_status", "tick").alias("first_status"),
+        F.max_by("last_status", "tick").alias("last_status"),
+        F.min("tick").alias("first_tick"),
+    )
+    days = _counted_before(days, ["ride_key"], "captured_date", "ride_").drop("runs", "first_status", "last_status")
+    carried_on = F.when(F.col("tick") == F.col("first_tick"), F.col("ride_carried_on")).otherwise(F.col("day_carried_on"))
+    return ticks.join(days, DAY).select(
+        *TICK,
+        "captured_date",
+        carried_on.alias("carried_on"),
+        (F.col("ride_runs_before") + F.col("day_runs_before")).alias("runs_before"),
+    )
+
+
+def _counted_before(parts: DataFrame, group: list[str], order: str, prefix: str) -> DataFrame:
+    """Adds carried_on, whether a part's first status is the last one before it, and runs_before, the runs before it in
+    the group less one if carried on."""
+    before = Window.partitionBy(*group).orderBy(order)
+    so_far = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried_on = F.when(F.lag("last_status").over(before) == F.col("first_status"), 1).otherwise(0)
+    return parts.withColumn(f"{prefix}carried_on", carried_on).withColumn(
+        f"{prefix}runs_before", F.sum(F.col("runs") - F.col(f"{prefix}carried_on")).over(so_far) - F.col("runs")
     )

@@ -1,4 +1,4 @@
-"""Business thresholds and scale settings, in one place."""
+"""Business thresholds, in one place."""
 
 from __future__ import annotations
 
@@ -31,12 +31,6 @@ class Params:
     rolling_rows: int = 7
     lookback_days: int = 29
 
-    # A (ride, day) with more snapshots than this is cut into minutes before it is sorted, see operators.islands.
-    max_rows_per_ride_day: int = 5_000_000
-    # At most this many (ride, day) pairs are cut, which bounds the broadcast of the list. Any pair left whole has
-    # at most max(max_rows_per_ride_day, all rows / max_busy_days) snapshots.
-    max_busy_days: int = 10_000
-
 
 @dataclass(frozen=True)
 class Scope:

@@ -29,14 +29,14 @@ def build_marts(raw: DataFrame, p: Params = Params(), schema: str = MARTS_SCHEMA
     """Write the four marts as tables, then run the checks over them.
 
     The snapshots are read twice, each time only the columns it takes: for the ride x day totals and for the outages.
-    The totals are written once and shared by all that is built on them, the list of busy days included.
+    The totals are written once and shared by all that is built on them.
     """
     spark = raw.sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     staged = stage_snapshots(raw, p)
     with work_folder(spark) as work:
         totals = materialize(rollups.ride_day_totals(staged), f"{work}/ride_day_totals")
-        events = marts.downtime_events(staged, p, counts=totals)
+        events = marts.downtime_events(staged, p)
         events = save_table(events, f"{schema}.fct_downtime_events", by="downtime_date")
         rides = save_table(marts.dim_rides(totals, events), f"{schema}.dim_rides")
         ride_daily = marts.agg_ride_daily(totals, events)

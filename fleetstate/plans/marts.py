@@ -35,9 +35,9 @@ def fct_downtime_events(islands: DataFrame, p: Params = Params()) -> DataFrame:
     )
 
 
-def downtime_events(staged: DataFrame, p: Params = Params(), counts: DataFrame | None = None) -> DataFrame:
-    """Staged snapshots straight to outages; see `downtime_islands` for `counts`."""
-    return fct_downtime_events(downtime_islands(staged, p, counts), p)
+def downtime_events(staged: DataFrame, p: Params = Params()) -> DataFrame:
+    """Staged snapshots straight to outages."""
+    return fct_downtime_events(downtime_islands(staged), p)
 
 
 def dim_rides(totals: DataFrame, events: DataFrame) -> DataFrame:

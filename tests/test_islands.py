@@ -7,22 +7,17 @@ import pytest
 from fixtures import TEN, at, history, raw, snap
 from pyspark.sql import functions as F
 
-from fleetstate import Params
+from fleetstate import Params, schema
 from fleetstate.operators import islands
 from fleetstate.operators.staging import stage_snapshots
 from fleetstate.plans import marts
 
-# Every (ride, day) with more than two snapshots is cut into minutes; the whole machinery at toy size.
-CUT = Params(max_rows_per_ride_day=2)
-SETTINGS = [Params(), CUT, Params(max_rows_per_ride_day=0, max_busy_days=3)]
-
 
 def outages(spark, rows, p=Params()):
     found = marts.downtime_events(stage_snapshots(raw(spark, rows), p), p)
     return [r.downtime_minutes for r in found.orderBy("ride_id", "downtime_started_at", "ride_name").collect()]
 
 
-@pytest.mark.parametrize("p", SETTINGS)
 @pytest.mark.parametrize(
     "statuses, expected",
     [
@@ -36,8 +31,8 @@ def outages(spark, rows, p=Params()):
         ("C O CC O CCCC O CCCCCCCC", [15, 30, 60, 120]),
     ],
 )
-def test_runs_within_a_day(spark, p, statuses, expected):
-    assert outages(spark, history(statuses), p) == expected
+def test_runs_within_a_day(spark, statuses, expected):
+    assert outages(spark, history(statuses)) == expected
 
 
 def test_band_edges(spark):
@@ -46,10 +41,9 @@ def test_band_edges(spark):
     assert bands == ["Brief (<30m)", "Moderate (30-60m)", "Significant (1-2h)", "Major (2h+)"]
 
 
-@pytest.mark.parametrize("p", SETTINGS)
-def test_overnight_run_is_one_outage_of_its_first_day(spark, p):
+def test_overnight_run_is_one_outage_of_its_first_day(spark):
     rows = [snap(at("2024-01-03 21:45"), False), snap(at("2024-01-04 09:00"), False)]
-    (event,) = marts.downtime_events(stage_snapshots(raw(spark, rows), p), p).collect()
+    (event,) = marts.downtime_events(stage_snapshots(raw(spark, rows))).collect()
     assert event.downtime_minutes == 30
     assert event.downtime_date == dt.date(2024, 1, 3)
     assert (event.downtime_started_at, event.last_observed_closed_at) == (rows[0][0], rows[1][0])
@@ -65,19 +59,17 @@ def test_missing_captures_do_not_end_a_run(spark):
     assert outages(spark, [snap(at("2024-01-03 10:00"), False), snap(at("2024-01-03 13:00"), False)]) == [30]
 
 
-@pytest.mark.parametrize("p", SETTINGS)
-def test_renaming_splits_a_run(spark, p):
+def test_renaming_splits_a_run(spark):
     names = ["a", "a", "b"]
     rows = [snap(TEN + i * dt.timedelta(minutes=15), False, name=n) for i, n in enumerate(names)]
-    assert outages(spark, rows, p) == [30, 15]
+    assert outages(spark, rows) == [30, 15]
 
 
-@pytest.mark.parametrize("p", SETTINGS)
-def test_a_name_that_returns_is_the_same_outage(spark, p):
+def test_a_name_that_returns_is_the_same_outage(spark):
     """Names only group: a, b, a in one run of closed snapshots is two outages, not three, over days as well."""
     days = ["2024-01-03 20:00", "2024-01-03 21:00", "2024-01-04 10:00", "2024-01-05 10:00"]
     rows = [snap(at(day), False, name=name) for day, name in zip(days, "abab", strict=True)]
-    assert outages(spark, rows, p) == [30, 30]
+    assert outages(spark, rows) == [30, 30]
 
 
 def test_minimum_duration(spark):
@@ -87,9 +79,8 @@ def test_minimum_duration(spark):
 def test_rides_do_not_mix_and_missing_ids_are_a_ride(spark):
     rows = history("C C", 1) + history("C O C", 2)
     rows += [snap(when, False, None, name="x") for when in (TEN, at("2024-01-04 11:00"))]
-    for p in SETTINGS:
-        found = marts.downtime_events(stage_snapshots(raw(spark, rows), p), p).collect()
-        assert sorted((r.ride_id or 0, r.downtime_minutes) for r in found) == [(0, 30), (1, 30), (2, 15), (2, 15)]
+    found = marts.downtime_events(stage_snapshots(raw(spark, rows))).collect()
+    assert sorted((r.ride_id or 0, r.downtime_minutes) for r in found) == [(0, 30), (1, 30), (2, 15), (2, 15)]
 
 
 def test_empty_input_keeps_the_schema(spark):
@@ -135,20 +126,19 @@ def by_hand(rows):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_any_slicing_equals_a_walk(spark, seed):
+def test_joined_runs_equal_a_walk(spark, seed):
     rows = random_rows(seed)
     groups, runs = by_hand(rows)
-    for p in [Params(), Params(max_rows_per_ride_day=5), Params(max_rows_per_ride_day=3, max_busy_days=2)]:
-        staged = stage_snapshots(raw(spark, rows), p)
-        found = islands.downtime_islands(staged, p).collect()
-        assert runs == sorted(
-            (r.ride_id or 0, r.ride_name, r.downtime_started_at, r.last_observed_closed_at, r.closed_snapshot_count)
-            for r in found
-        )
-        assert all(r.downtime_date == r.downtime_started_at.date() for r in found)
-        numbered = islands.status_groups(staged, p).collect()
-        assert groups == {(r.ride_id, r.captured_at): (r.is_status_change, r.status_group) for r in numbered}
-        assert len(numbered) == len(groups)
+    staged = stage_snapshots(raw(spark, rows))
+    found = islands.downtime_islands(staged).collect()
+    assert runs == sorted(
+        (r.ride_id or 0, r.ride_name, r.downtime_started_at, r.last_observed_closed_at, r.closed_snapshot_count)
+        for r in found
+    )
+    assert all(r.downtime_date == r.downtime_started_at.date() for r in found)
+    numbered = islands.status_groups(staged).collect()
+    assert groups == {(r.ride_id, r.captured_at): (r.is_status_change, r.status_group) for r in numbered}
+    assert len(numbered) == len(groups)
 
 
 def test_all_closed_snapshots_are_in_an_outage(spark):
@@ -167,37 +157,45 @@ def test_ties_of_two_sources_are_ordered(spark):
     assert outages(spark, rows) == outages(spark, rows[::-1]) == [15, 15]
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_copies_count_however_they_are_sliced(spark, seed):
-    """A third of all rows is one snapshot many times over, in a minute with others."""
+@pytest.mark.parametrize("seed", range(3))
+def test_copies_and_crowded_seconds_equal_a_walk(spark, seed):
+    """A third of all rows is one snapshot many times over, in a second with others and with unknown statuses."""
     rng = random.Random(seed)
-    rows = random_rows(seed)
-    hot = snap(dt.datetime(2024, 1, 2, 12, 30), False, 1)
-    around = [snap(dt.datetime(2024, 1, 2, 12, 30, second), rng.random() < 0.5, 1) for second in range(5, 60, 5)]
-    other_source = [snap(hot[0], True, 1, source="synthetic")] * rng.randrange(3)
-    rows = [r for r in rows if r[0].replace(second=0) != hot[0]] + [hot] * 150 + around * 3 + other_source
+    hot = dt.datetime(2024, 1, 2, 12, 30)
+    rows = [r for r in random_rows(seed) if r[0] != hot]
+    rows += [snap(hot, False, 1)] * 150 + [snap(hot, True, 1, source="synthetic")] * rng.randrange(3)
+    for micro in rng.sample(range(1, 10**6), 40):
+        rows += [snap(hot.replace(microsecond=micro), rng.choice([True, False, False, None]), 1)] * rng.randrange(1, 5)
     rng.shuffle(rows)
+    inside = [r for r in rows if 9 <= r[0].hour < 22]
+    inside.sort(key=lambda r: (r[4] or 0, r[0], r[9], -1 if r[6] is None else r[6], r[5]))
+    numbers, runs, previous = [], {}, {}
+    for row in inside:
+        status, number = previous.get(row[4], (None, 0))
+        changed = not (row[6] is not None and row[6] == status)
+        previous[row[4]] = (row[6], number + changed)
+        numbers.append((row[4] or 0, row[0], row[9], str(row[6]), row[5], int(changed), number + changed))
+        if row[6] is False:
+            runs.setdefault((row[4] or 0, row[5], number + changed), []).append(row[0])
     staged = stage_snapshots(raw(spark, rows))
-    whole = islands.downtime_islands(staged)
-    for p in [Params(max_rows_per_ride_day=5), Params(max_rows_per_ride_day=1, max_busy_days=1)]:
-        cut = islands.downtime_islands(staged, p)
-        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
-    closed = sum(r[6] is False and 9 <= r[0].hour < 22 for r in rows)
-    assert whole.agg(F.sum("closed_snapshot_count")).first()[0] == closed
-
-
-def test_copies_are_packed_before_the_shuffle(spark):
-    rows = [snap(TEN, False, 1)] * 50 + [snap(TEN, False, 2)] * 3
-    staged = stage_snapshots(raw(spark, rows))
-    packed = islands._pack_busy_days(staged, Params(max_rows_per_ride_day=10), islands.count_ride_days(staged))
-    assert sorted((r.ride_key, r.slice_no, r.copies) for r in packed.collect()) == [(1, 600, 50)] + [(2, 0, 1)] * 3
+    found = islands.downtime_islands(staged).collect()
+    assert sorted((k[0], k[1], min(v), max(v), len(v)) for k, v in runs.items()) == sorted(
+        (r.ride_id or 0, r.ride_name, r.downtime_started_at, r.last_observed_closed_at, r.closed_snapshot_count)
+        for r in found
+    )
+    grouped = islands.status_groups(staged).collect()
+    expected = sorted((n[0], n[1], n[3], n[4], n[5], n[6]) for n in numbers)
+    assert expected == sorted(
+        (r.ride_id or 0, r.captured_at, str(r.is_open), r.ride_name, r.is_status_change, r.status_group) for r in grouped
+    )
 
 
-def test_busy_days_are_few_and_definite(spark):
-    staged = stage_snapshots(raw(spark, random_rows(7)))
-    p = Params(max_rows_per_ride_day=1, max_busy_days=3)
-    first, second = (
-        islands.busy_ride_days(islands.count_ride_days(staged.repartition(n)), p).collect() for n in (2, 7)
-    )
-    assert first == second and len(first) == 3
-    assert first[0].ride_key == 1
+def test_copies_are_folded_before_any_sort(spark):
+    """One snapshot 10^5 times over is one row to every window, and one row per task to every shuffle."""
+    hot = spark.range(100_000, numPartitions=8).select(*[F.lit(v).alias(f.name) for v, f in zip(snap(TEN, False, 1), schema.SNAPSHOT)])
+    staged = stage_snapshots(hot.select([F.col(f.name).cast(f.dataType) for f in schema.SNAPSHOT]).unionByName(raw(spark, history("O C", 2))))
+    folded = islands.fold_copies(staged).collect()
+    assert sorted(r.copies for r in folded) == [1, 1, 100_000]
+    assert sorted(r.closed_snapshot_count for r in islands.downtime_islands(staged).collect()) == [1, 100_000]
+    spread = islands.status_groups(staged).filter("ride_id = 1")
+    assert spread.agg(F.count(F.lit(1)), F.sum("is_status_change"), F.max("status_group")).first() == (100_000, 1, 1)
