@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,6 +39,21 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, by: str, sizes: dict, most: int) -> DataFrame:
+    """At most `most` rows for each value of `by`, those of least hash of doc_id, with their number `nth` from 1.
+
+    `sizes` has the number of rows of each value. Only rows whose hash is under the bound that about one and a half times
+    `most` rows keep are sorted, so that a window sees a bounded number of rows however many there are.
+    """
+    share = F.lit(1.0)
+    for value, n in sizes.items():
+        share = F.when(F.col(by) == value, min(1.0, 1.5 * most / max(n, 1) + 1000 / max(n, 1))).otherwise(share)
+    place = F.xxhash64(F.lit(by), "doc_id")
+    under = F.pmod(place, F.lit(1 << 30)) < share * float(1 << 30)
+    order = Window.partitionBy(by).orderBy(F.pmod(place, F.lit(1 << 30)), "doc_id")
+    return rows.filter(under).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most)
+
+
 def schema_with(rows: DataFrame, without: tuple[str, ...], more: str) -> StructType:
     """The fields of `rows` but some, and those of a DDL string."""
     return StructType([f for f in rows.schema if f.name not in without] + StructType.fromDDL(more).fields)

@@ -17,11 +17,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytenet import _REACH, WINDOW, ByteNet, softmax, train
-from .common import Chunk, chunks, held_out, schema_with, table
+from .common import Chunk, chunks, first_by_hash, held_out, schema_with, table
 
 #: Bounds of the training sample: texts of a language, windows of a text, languages.
 TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 1500, 4, 200
@@ -77,11 +77,11 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageMode
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, 0))
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"))
     counted = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    languages = sorted(r["lang"] for r in counted.collect())
+    sizes = {r["lang"]: r["n"] for r in counted.collect()}
+    languages = sorted(sizes)
     if not languages:
         return LanguageModel([], None)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = known.filter(F.col("lang").isin(languages)).withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= per_language)
+    drawn = first_by_hash(known.filter(F.col("lang").isin(languages)), "lang", sizes, per_language)
     place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
     # At most MOST_LANGUAGES * per_language short rows are sent to the tasks, so that no text is shuffled.
     drawn = drawn.select(F.col("doc_id").alias("id"), place.cast("int").alias("place")).dropDuplicates(["id"])

@@ -263,6 +263,8 @@ def parse(source: str) -> Block:
         at = m.end()
     rest = source[at:]
     pieces.append(("text", rest.lstrip() if pieces and pieces[-1][2] else rest, False))
+    if any(kind == "text" and re.search(r"\{[{%#]", body) for kind, body, _ in pieces):
+        raise TemplateError("a tag has no end")
     block, left = _block(pieces, 0, ())
     if left != len(pieces):
         raise TemplateError(f"unexpected {pieces[left][1].strip()!r}")

@@ -23,11 +23,11 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boost import Trees, fit_isotonic, fit_trees
-from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, held_out, prefix_hashes, schema_with, settle, table
+from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, first_by_hash, held_out, prefix_hashes, schema_with, settle, table
 
 #: Documents of each class in the training sample, words and stems in the lexicon: bounds of what meets on the driver.
 SAMPLE_PER_CLASS, LEXICON_SIZE = 12_000, 1_500
@@ -238,8 +238,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, 0))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64(F.lit(label), "doc_id"), "doc_id")
-    taken = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= per_class)
+    taken = first_by_hash(known, "y", sizes, per_class)
     weights = F.when(F.col("y") == 1, max(1.0, sizes.get(1, 0) / per_class)).otherwise(max(1.0, sizes.get(0, 0) / per_class))
     # Parts in turn by hash order: two fifths teach the lexicon, two the trees, one the calibration.
     part = F.expr("case when nth % 5 < 2 then 0 when nth % 5 < 4 then 1 else 2 end")
