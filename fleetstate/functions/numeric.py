@@ -21,8 +21,15 @@ def round_half_even(value: Column, places: int) -> Column:
 
 
 def to_whole(value: Column) -> Column:
-    """Fraction to int with half-even rounding (a plain Spark cast would truncate)."""
-    return F.rint(value.cast("double")).cast("int")
+    """Fraction to int with half-even rounding (a plain Spark cast would truncate). NULL for what is no int."""
+    return F.rint(value.cast("double")).try_cast("int")
+
+
+def to_number(text: Column) -> Column:
+    """Text to double, NULL unless it is a plain finite number (Spark also takes "NaN", "Infinity" and "35d")."""
+    plain = F.btrim(text).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    number = F.when(plain, F.btrim(text).try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def ratio(part: Column, whole: Column) -> Column:

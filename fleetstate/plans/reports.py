@@ -136,10 +136,15 @@ def outage_day_hour(events: DataFrame, scope: Scope) -> DataFrame:
 
 
 def outage_heatmap(events: DataFrame, scope: Scope, p: Params = Params()) -> DataFrame:
-    """Weekdays in order, one column `h9`, `h10`, ... per business hour, 0 where nothing happened."""
-    hours = list(range(p.open_hour, p.close_hour))
+    """Weekdays in order, one column `h9`, `h10`, ... per business hour, 0 where nothing happened.
+
+    Fails on an outage that began at another hour: its events were built with other hours than `p` has.
+    """
+    hours, hour = list(range(p.open_hour, p.close_hour)), F.col("started_hour")
+    outside = F.concat(F.lit("an outage began outside of business hours, at hour "), hour.cast("string"))
     counts = (
         outage_day_hour(events, scope)
+        .withColumn("started_hour", F.when(hour.isin(hours), hour).otherwise(F.raise_error(outside)))
         .groupBy("started_day_name")
         .pivot("started_hour", hours)
         .agg(F.sum("events"))

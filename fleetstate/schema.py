@@ -34,10 +34,10 @@ LANDED = T.StructType(
 
 CORRUPT = "_corrupt_record"
 
-# wait_time and is_open are read as text so that a value of the wrong type costs that value only.
+# id, wait_time and is_open are read as text so that a value of the wrong type costs that value only.
 _RIDE = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("is_open", T.StringType()),
         T.StructField("wait_time", T.StringType()),

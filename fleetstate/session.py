@@ -41,13 +41,40 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-@contextmanager
-def work_folder(spark: SparkSession):
-    """A folder of this run's own that every executor can reach, gone when the block ends.
+def shared_base(master: str, folder: str | None, checkpoint_dir: str | None, warehouse: str) -> str:
+    """Where work folders lie: `folder` if given, else the session's checkpoint dir; on a local master also the warehouse.
 
-    It lies in the session's checkpoint dir, or in the warehouse where none is set.
+    On a cluster a folder of the local file system is refused unless the caller names it (a mount that all share): other
+    executors could not read what one writes there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if folder:
+        return folder
+    if master.startswith("local[") or master == "local":
+        return checkpoint_dir or warehouse
+    if not checkpoint_dir or checkpoint_dir.startswith(("/", "file:")):
+        raise ValueError(
+            f"spark.checkpoint.dir is {checkpoint_dir!r}: not known to be shared by all executors; set it to a shared "
+            "file system or pass a folder"
+        )
+    return checkpoint_dir
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put folder `source` in the place of `target`."""
+    fs, jtarget = hadoop_path(spark, target)
+    fs.delete(jtarget, True)
+    fs.mkdirs(jtarget.getParent())
+    if not fs.rename(hadoop_path(spark, source)[1], jtarget):
+        raise OSError(f"could not move {source} to {target}")
+
+
+@contextmanager
+def work_folder(spark: SparkSession, folder: str | None = None):
+    """A folder of this run's own that every executor can reach, gone when the block ends; see `shared_base`."""
+    conf = spark.conf
+    base = shared_base(
+        spark.sparkContext.master, folder, conf.get("spark.checkpoint.dir", None), conf.get("spark.sql.warehouse.dir")
+    )
     path = f"{base.rstrip('/')}/fleetstate-{uuid.uuid4().hex}"
     try:
         yield path

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetstate import schema
 from fleetstate.operators.dedupe import merge_captures
-from fleetstate.session import delete_path, path_exists
+from fleetstate.session import delete_path, list_files, materialize, move_folder, path_exists, work_folder
 
 DAY = "captured_date"
 _STORED = schema.T.StructType([*schema.CAPTURE, schema.T.StructField(DAY, schema.T.DateType())])
@@ -15,13 +15,14 @@ _STORED = schema.T.StructType([*schema.CAPTURE, schema.T.StructField(DAY, schema
 
 def write_days(captures: DataFrame, path: str) -> None:
     """Clear the store and write it anew, one folder per date."""
-    _save(_with_day(captures), path, "static")
+    _save(_with_day(captures), path)
 
 
-def merge_days(captures: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+def merge_days(captures: DataFrame, path: str, order: tuple[str, ...] = (), folder: str | None = None) -> None:
     """Add captures to the store; a (captured_at, ride_id) already there is replaced. Only touched days are rewritten.
 
-    `order` names columns of `captures` that say which of two incoming rows for one key comes last.
+    `order` names columns of `captures` that say which of two incoming rows for one key comes last; `folder` is where the
+    batch is kept meanwhile, see `work_folder`.
 
     The merged days are written next to the store first and moved in from there. A run that dies on the way is made
     good by the next one, which starts by moving in what it finds complete. Merging the same captures again changes
@@ -30,22 +31,28 @@ def merge_days(captures: DataFrame, path: str, order: tuple[str, ...] = ()) -> N
     spark = captures.sparkSession
     pending = f"{path.rstrip('/')}/_pending"
     _publish(spark, pending, path)
-    if captures.isEmpty():
-        return
-    incoming = _with_day(captures, order)
-    # One row per calendar day, and the semi join on the partition column reads only those days.
-    touched = F.broadcast(incoming.select(DAY).distinct())
-    stored = _stored_days(spark, path).join(touched, DAY, "left_semi")
-    _save(merge_captures(stored, incoming, order), pending, "static")
+    with work_folder(spark, folder) as work:
+        # The batch is worked out once; what follows reads what was written.
+        incoming = materialize(_with_day(captures, order), f"{work}/incoming")
+        if incoming.isEmpty():
+            return
+        # One row per calendar day, and the semi join on the partition column reads only those days. Rows without a time
+        # have a folder of their own, and are merged like any other day.
+        touched = F.broadcast(incoming.select(F.col(DAY).alias("day")).distinct())
+        stored = _stored_days(spark, path)
+        stored = stored.join(touched, stored[DAY].eqNullSafe(touched["day"]), "left_semi")
+        _save(merge_captures(stored, incoming, order), pending)
     _publish(spark, pending, path)
 
 
 def _publish(spark: SparkSession, pending: str, path: str) -> None:
-    """Move complete pending days into the store. The mark of completeness goes first, so that a half-deleted folder
-    is never taken for a complete one."""
+    """Move complete pending days into the store, each in place of the one it was merged from. A run that dies here has
+    moved some days; the next moves the rest. The mark of completeness goes before the folder, so that a half-deleted one
+    is never taken for complete."""
     mark = f"{pending}/_SUCCESS"
     if path_exists(spark, mark):
-        _save(spark.read.schema(_STORED).parquet(pending), path, "dynamic")
+        for day in list_files(spark, f"{pending}/{DAY}=*"):
+            move_folder(spark, day, f"{path.rstrip('/')}/{day.rsplit('/', 1)[1]}")
         delete_path(spark, mark)
     delete_path(spark, pending)
 
@@ -60,7 +67,7 @@ def _with_day(captures: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return captures.select(*schema.CAPTURE.names, *extra).withColumn(DAY, F.to_date("captured_at"))
 
 
-def _save(days: DataFrame, path: str, overwrite: str) -> None:
+def _save(days: DataFrame, path: str) -> None:
     # Rebalancing keeps each date in few files, and splits a date that is too big for one task.
-    writer = days.hint("rebalance", F.col(DAY)).write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer = days.hint("rebalance", F.col(DAY)).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(DAY).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetstate import schema
 from fleetstate.functions.calendar import floor_second
+from fleetstate.functions.numeric import to_number
 from fleetstate.params import LIVE_SOURCE, TARGET_PARKS
 
 # Fixed value: the land of a ride that has none.
@@ -17,15 +18,46 @@ NO_LAND = "Uncategorized"
 BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
-def flatten_rides(landed: DataFrame) -> DataFrame:
+def flatten_rides(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """One capture row per ride, from the top level and from under the lands.
 
     Each payload is parsed and exploded once. `payload_pos` is the place of the ride in its payload, so that a ride
-    listed twice can be told apart later. Capture times are kept to the second. An answer without a capture time, or
-    whose payload cannot be parsed, gives no rows, see `bad_payloads`.
+    listed twice can be told apart later; `extra` names columns of `landed` to carry along for the same purpose. Capture
+    times are kept to the second. An answer without a capture time, or whose payload cannot be parsed, gives no rows, see
+    `bad_payloads`; a ride with an id that is no whole number gives none either, see `bad_rides`.
     """
+    rides = _listed_rides(landed, extra)
+    return rides.filter(~_bad_id()).select(
+        "captured_at",
+        "park_id",
+        "park_name",
+        F.col("at.land_name").alias("land_name"),
+        F.col("at.ride.id").try_cast("int").alias("ride_id"),
+        F.col("at.ride.name").alias("ride_name"),
+        F.coalesce(F.col("at.ride.is_open").try_cast("boolean"), F.lit(False)).alias("is_open"),
+        to_number(F.col("at.ride.wait_time")).alias("wait_time_minutes"),
+        F.col("at.ride.last_updated").alias("source_last_updated"),
+        F.lit(LIVE_SOURCE).alias("data_source"),
+        "payload_pos",
+        *extra,
+    )
+
+
+def bad_rides(landed: DataFrame) -> DataFrame:
+    """Rides of usable answers whose id cannot be one. They would all be the same ride, without an id."""
+    return _listed_rides(landed).filter(_bad_id()).select(
+        "captured_at", "park_id", "park_name", F.col("at.ride.id").alias("ride_id"), F.col("at.ride.name").alias("ride_name")
+    )
+
+
+def _bad_id() -> Column:
+    text = F.col("at.ride.id")
+    return text.isNotNull() & text.try_cast("int").isNull()
+
+
+def _listed_rides(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     parsed = landed.filter(F.col("captured_at").isNotNull()).select(
-        floor_second(F.col("captured_at")).alias("captured_at"), "park_id", "park_name", _parse().alias("queue")
+        floor_second(F.col("captured_at")).alias("captured_at"), "park_id", "park_name", *extra, _parse().alias("queue")
     )
     no_rides = F.from_json(F.lit('{"rides": []}'), schema.QUEUE_PAYLOAD).getField("rides")
     no_lands = F.from_json(F.lit('{"lands": []}'), schema.QUEUE_PAYLOAD).getField("lands")
@@ -42,22 +74,8 @@ def flatten_rides(landed: DataFrame) -> DataFrame:
             lambda land: with_land(land["rides"], F.coalesce(land["name"], F.lit(NO_LAND))),
         )
     )
-    rides = parsed.select(
-        "captured_at", "park_id", "park_name", F.posexplode(F.concat(top_level, under_lands)).alias("payload_pos", "at")
-    )
-    return rides.select(
-        "captured_at",
-        "park_id",
-        "park_name",
-        F.col("at.land_name").alias("land_name"),
-        F.col("at.ride.id").alias("ride_id"),
-        F.col("at.ride.name").alias("ride_name"),
-        F.coalesce(F.col("at.ride.is_open").try_cast("boolean"), F.lit(False)).alias("is_open"),
-        F.col("at.ride.wait_time").try_cast("double").alias("wait_time_minutes"),
-        F.col("at.ride.last_updated").alias("source_last_updated"),
-        F.lit(LIVE_SOURCE).alias("data_source"),
-        "payload_pos",
-    )
+    listed = F.posexplode(F.concat(top_level, under_lands)).alias("payload_pos", "at")
+    return parsed.select("captured_at", "park_id", "park_name", *extra, listed)
 
 
 def bad_payloads(landed: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from fleetstate import schema
 from fleetstate.functions.calendar import from_epoch_nanos, utc_wall_clock
 from fleetstate.functions.numeric import to_whole
-from fleetstate.params import LIVE_SOURCE, SEED_SOURCE
+from fleetstate.params import SEED_SOURCE
 from fleetstate.session import list_files
 
 
@@ -34,11 +34,16 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All captures under `path`: the folder of a day store, a folder of `snapshots_<date>.parquet` files, or a glob of
-    files. Empty when there are none."""
-    files = list_files(spark, path if "*" in path else f"{path.rstrip('/')}/snapshots_*.parquet")
+    """All captures under `path`: a folder with a day store, with `snapshots_<date>.parquet` files, or with both, or a
+    glob of files. Empty when there are none."""
+    if any(sign in path for sign in "*?[{"):
+        files = list_files(spark, path)
+        return _read_day_files(spark, files) if files else spark.createDataFrame([], schema.SNAPSHOT)
+    files = list_files(spark, f"{path.rstrip('/')}/snapshots_*.parquet")
     if files:
-        return _read_day_files(spark, files)
+        days = list_files(spark, f"{path.rstrip('/')}/captured_date=*")
+        found = _read_day_files(spark, files)
+        return found.unionByName(conform(spark.read.parquet(*days))) if days else found
     try:
         return conform(spark.read.parquet(path))
     except AnalysisException as error:
@@ -74,6 +79,6 @@ def prefer_live(live: DataFrame, seed: DataFrame, include_seed: bool = False) ->
 
 
 def split_by_source(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(live, seed) rows of a store that holds both, told apart by their provenance label."""
-    source = F.col("data_source")
-    return snapshots.filter(source == LIVE_SOURCE), snapshots.filter(source == SEED_SOURCE)
+    """(live, seed) rows of a store that holds both. Whatever is not labelled as seed is live, so no row is lost."""
+    seed = F.col("data_source").eqNullSafe(SEED_SOURCE)
+    return snapshots.filter(~seed), snapshots.filter(seed)

@@ -17,10 +17,12 @@ def save_table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
 
 def load_table(spark: SparkSession, name: str) -> DataFrame:
-    """Table `name`, or an empty frame without columns when there is none."""
+    """Table `name`, or an empty frame without columns when there is none. Any other error is an error."""
     try:
         return spark.table(name)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"):
+            raise
         return spark.createDataFrame([], "")
 
 

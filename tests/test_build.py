@@ -9,9 +9,9 @@ from fixtures import TEN, history, raw, snap
 from pyspark.sql import functions as F
 
 from fleetstate.plans import build, quality, reports
-from fleetstate.session import RECOMMENDED, work_folder
+from fleetstate.session import RECOMMENDED, shared_base, work_folder
 from fleetstate.sources import daystore
-from fleetstate.sources.snapshots import prefer_live
+from fleetstate.sources.snapshots import prefer_live, split_by_source
 from fleetstate.sources.tables import load_table, write_csv
 
 
@@ -89,3 +89,20 @@ def test_work_folder_is_in_the_shared_folder_and_goes_away(spark, tmp_path):
 
 def test_recommended_settings_are_on(spark):
     assert all(spark.conf.get(key) == value for key, value in RECOMMENDED.items())
+
+
+def test_no_source_label_is_lost(spark):
+    rows = [snap(TEN, True, i, source=s) for i, s in enumerate(["queue-times-api", "synthetic", None, "other"])]
+    live, seed = split_by_source(raw(spark, rows))
+    assert sorted(r.ride_id for r in prefer_live(live, seed).collect()) == [0, 2, 3]
+    assert prefer_live(live, seed, include_seed=True).count() == 4
+
+
+def test_work_folder_must_be_shared_on_a_cluster():
+    assert shared_base("local[4]", None, None, "/warehouse") == "/warehouse"
+    assert shared_base("local[4]", None, "/checkpoint", "/warehouse") == "/checkpoint"
+    assert shared_base("yarn", None, "hdfs://nn/work", "/warehouse") == "hdfs://nn/work"
+    assert shared_base("spark://host:7077", "/mnt/shared", None, "/warehouse") == "/mnt/shared"
+    for folder in (None, "/tmp/checkpoint", "file:///tmp/checkpoint"):
+        with pytest.raises(ValueError, match="not known to be shared"):
+            shared_base("yarn", None, folder, "/warehouse")

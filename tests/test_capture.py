@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from fixtures import TEN, at, raw, snap
 from pyspark.sql import functions as F
 
 from fleetstate import schema
+from fleetstate.functions.numeric import to_whole
 from fleetstate.operators.dedupe import keep_last, merge_captures
 from fleetstate.plans import audit
 from fleetstate.session import path_exists
@@ -139,19 +141,17 @@ def test_nothing_captured_writes_nothing(spark, tmp_path):
 def test_interrupted_merge_is_made_good_by_the_next(spark, tmp_path, monkeypatch, next_capture):
     path = str(tmp_path / "raw")
     daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(TEN, True, 2, 5)]), path)
-    real = daystore._save
+    real = daystore.move_folder
 
-    def dies_before_publishing(days, target, overwrite):
-        if target == path:
-            # As bad as it gets: the old day is gone and the new one not in place.
-            daystore.delete_path(spark, path + "/captured_date=2024-01-03")
-            raise RuntimeError("lost driver")
-        real(days, target, overwrite)
+    def dies_before_publishing(spark, source, target):
+        # As bad as it gets: the old day is gone and the new one not in place.
+        daystore.delete_path(spark, target)
+        raise RuntimeError("lost driver")
 
-    monkeypatch.setattr(daystore, "_save", dies_before_publishing)
+    monkeypatch.setattr(daystore, "move_folder", dies_before_publishing)
     with pytest.raises(RuntimeError, match="lost driver"):
         daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path)
-    monkeypatch.setattr(daystore, "_save", real)
+    monkeypatch.setattr(daystore, "move_folder", real)
     assert stored(spark, path) == []
     daystore.merge_days(captures(spark, next_capture), path)
     extra = [(TEN, 3, True, 1)] if next_capture and next_capture[0][4] == 3 else []
@@ -175,7 +175,7 @@ def test_write_days_clears_the_store(spark, tmp_path):
 
 
 def land(folder, name, when, payload):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     record = {"captured_at": when.isoformat(), "park_id": 6, "park_name": "Park A", "payload": json.dumps(payload)}
     (folder / f"{name}.json").write_text(json.dumps(record) + "\n")
 
@@ -260,3 +260,76 @@ def test_day_files_may_differ_in_type(spark, tmp_path):
     folder = str(tmp_path / "raw")
     for path in (folder, folder + "/snap*.parquet"):
         assert [r[3] for r in stored(spark, path)] == [5, 2, 2]
+
+
+def test_merge_reads_its_input_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(wait):
+        reads.add(1)
+        return wait
+
+    waits = F.udf(seen, "double")
+    incoming = captures(spark, [snap(TEN + i * dt.timedelta(days=i), True, i, i) for i in range(5)])
+    daystore.merge_days(incoming.withColumn("wait_time_minutes", waits("wait_time_minutes")), str(tmp_path / "raw"))
+    assert reads.value == 5
+
+
+def test_rows_without_a_time_are_merged_too(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for ride in (1, 2, 1):
+        daystore.merge_days(captures(spark, [snap(None, True, ride, ride)]), path)
+    assert sorted((r.captured_at, r.ride_id) for r in read_snapshots(spark, path).collect()) == [(None, 1), (None, 2)]
+
+
+def test_both_layouts_of_a_folder_are_read(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    daystore.write_days(captures(spark, [snap(TEN, True, 1, 5)]), path)
+    raw(spark, [snap(TEN, True, 2, 5)]).toPandas().to_parquet(path + "/snapshots_2024-01-03.parquet")
+    assert [r[1] for r in stored(spark, path)] == [1, 2]
+    assert [r[1] for r in stored(spark, path + "/snapshots_2024-01-0[1-3].parquet")] == [2]
+    assert stored(spark, path + "/snapshots_2025-?.parquet") == []
+
+
+def test_odd_waits_and_ids_cost_only_themselves(spark):
+    waits = ["35", " 7.5 ", "NaN", "Infinity", "35d", "1e999", "n/a", None]
+    rides = [{"id": str(i), "name": "r", "wait_time": w} for i, w in enumerate(waits)]
+    rides += [{"id": "x1", "name": "r"}, {"id": 99, "name": "r"}, {"name": "none"}]
+    answers = landed(spark, json.dumps({"rides": rides}))
+    found = {r.ride_id: r.wait_time_minutes for r in payloads.flatten_rides(answers).collect()}
+    assert found == {0: 35.0, 1: 7.5, **{i: None for i in range(2, 8)}, 99: None, None: None}
+    assert [r.ride_id for r in payloads.bad_rides(answers).collect()] == ["x1"]
+    assert payloads.bad_payloads(answers).collect() == []
+    stored_waits = spark.createDataFrame([(w,) for w in (float("nan"), float("inf"), 2.5, None)], "w double")
+    assert [r[0] for r in stored_waits.select(to_whole(F.col("w"))).collect()] == [None, None, 2, None]
+
+
+def test_last_answer_to_arrive_wins(spark, tmp_path):
+    """Two answers of one batch, of the same time, with the same ride in the same place."""
+    folder = tmp_path / "landing"
+    for order in (("a", "b"), ("b", "a")):
+        target = tmp_path / "".join(order)
+        for i, name in enumerate(order):
+            ride = {"id": 1, "name": name, "is_open": True, "wait_time": i}
+            land(folder / target.name, name, TEN, {"rides": [ride]})
+            os.utime(folder / target.name / f"{name}.json", (1_700_000_000 + i,) * 2)
+        land_captures(spark, str(folder / target.name), str(target), str(tmp_path / ("check" + target.name))).awaitTermination()
+        (row,) = read_snapshots(spark, str(target)).collect()
+        assert (row.ride_name, row.wait_time_minutes) == (order[1], 1)
+
+
+def test_stream_keeps_to_the_parks_and_reports_what_it_cannot_use(spark, tmp_path):
+    folder = tmp_path / "landing"
+    rides = [{"id": 1, "name": "r", "is_open": True}, {"id": "x", "name": "bad"}]
+    land(folder, "good", TEN, {"rides": rides})
+    foreign = {"captured_at": TEN.isoformat(), "park_id": 7, "park_name": "Park B", "payload": json.dumps({"rides": rides})}
+    (folder / "foreign.json").write_text(json.dumps(foreign) + "\n")
+    broken = {"captured_at": TEN.isoformat(), "park_id": 6, "park_name": "Park A", "payload": "{broken"}
+    (folder / "broken.json").write_text(json.dumps(broken) + "\n")
+    rejects = str(tmp_path / "rejects")
+    for _ in range(2):
+        land_captures(spark, str(folder), str(tmp_path / "raw"), str(tmp_path / "check"), parks=[6], rejects=rejects).awaitTermination()
+    rows = read_snapshots(spark, str(tmp_path / "raw")).collect()
+    assert [(r.park_id, r.ride_id) for r in rows] == [(6, 1)]
+    assert [r.payload for r in spark.read.json(rejects + "/answers").collect()] == ["{broken"]
+    assert [r.ride_id for r in spark.read.json(rejects + "/rides").collect()] == ["x"]

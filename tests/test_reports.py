@@ -109,3 +109,14 @@ def test_detail_and_parks(marts_):
 def test_dim_reports_ignore_dates(spark):
     rides = built(spark, [snap(at("2023-05-01 10:00"), True, wait=5)])[2]
     assert reports.top_impact_rides(rides, ["Park A"]).count() == 1
+
+
+def test_heatmap_loses_no_outage(spark):
+    rows = [snap(at("2024-01-03 07:00"), False, 1), snap(at("2024-01-03 10:00"), False, 2)]
+    early = Params(open_hour=7)
+    events = built(spark, rows, early)[1]
+    days = Scope(None, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    cells = reports.outage_heatmap(events, days, early).drop("started_day_name").collect()
+    assert sum(sum(row) for row in cells) == reports.severity_mix(events, days).agg({"count": "sum"}).first()[0] == 2
+    with pytest.raises(Exception, match="outside of business hours, at hour 7"):
+        reports.outage_heatmap(events, days).collect()

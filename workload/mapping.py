@@ -14,6 +14,7 @@ from fleetstate.params import LIVE_SOURCE, SEED_SOURCE
 SCOPE = Scope(("Park 0", "Park 2"), dt.date(2024, 1, 16), dt.date(2024, 1, 30))
 WANTED_PARKS = ("NATION_1", "NATION_7", "NATION_13", "NATION_99")
 CAPTURED_AT = "2024-01-31 12:00:00"
+BROKEN_REGION = 3
 # Rides per landed payload: keeps a payload small however many suppliers there are.
 RIDES_PER_PAYLOAD = 500
 
@@ -40,6 +41,18 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with unknown statuses, renamed rides, and rows of a third source or of none."""
+    event = F.col("event_id")
+    return captures(spark, sf_dir).withColumns(
+        {
+            "is_open": F.when(event % 11 != 0, F.col("is_open")),
+            "ride_name": F.when(event % 19 == 0, F.concat(F.lit("New "), "ride_id")).otherwise(F.col("ride_name")),
+            "data_source": F.when(event % 7 == 0, F.lit(None)).when(event % 13 == 0, "other").otherwise(F.col("data_source")),
+        }
+    )
+
+
 def hourly_captures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(stored, incoming) captures whose keys collide: times cut to the hour, split by even and odd event."""
     hourly = captures(spark, sf_dir).withColumn("captured_at", floor_hour(F.col("captured_at")))
@@ -47,14 +60,21 @@ def hourly_captures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return hourly.filter(even), hourly.filter(~even)
 
 
-def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as rides: a region is a park, a nation a land. Several payloads a park, of bounded size each."""
+def landed_payloads(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    """Suppliers as rides: a region is a park, a nation a land. Several payloads a park, of bounded size each.
+
+    Dirty ones have ids as text, some of which are no number, waits that are no plain number, and the payloads of one
+    region are broken off.
+    """
     key = F.col("s_suppkey")
+    wait = F.when(key % 13 == 0, "n/a").otherwise((key % 90).cast("string"))
+    if dirty:
+        wait = F.when(key % 17 == 0, "NaN").when(key % 19 == 0, "Infinity").when(key % 23 == 0, "35d").otherwise(wait)
     ride = F.struct(
-        key.alias("id"),
+        (F.when(key % 5 == 0, F.concat(F.lit("x"), key)).otherwise(key.cast("string")) if dirty else key).alias("id"),
         F.col("s_name").alias("name"),
         F.when(key % 11 != 0, F.col("s_acctbal") > 0).alias("is_open"),
-        F.when(key % 13 == 0, "n/a").otherwise((key % 90).cast("string")).alias("wait_time"),
+        wait.alias("wait_time"),
         F.lit(CAPTURED_AT).alias("last_updated"),
     )
     nations = table(spark, sf_dir, "nation")
@@ -81,11 +101,14 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.flatten(F.collect_list("top")).alias("rides"),
         F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("nested").alias("rides"))).alias("lands"),
     )
+    payload = F.to_json(F.struct("rides", "lands"))
+    if dirty:
+        payload = F.when(F.col("r_regionkey") == BROKEN_REGION, F.left(payload, F.lit(40))).otherwise(payload)
     return by_park.select(
         F.lit(CAPTURED_AT).cast("timestamp_ntz").alias("captured_at"),
         F.col("r_regionkey").cast("int").alias("park_id"),
         F.col("r_name").alias("park_name"),
-        F.to_json(F.struct("rides", "lands")).alias("payload"),
+        payload.alias("payload"),
     )
 
 

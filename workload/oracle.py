@@ -19,6 +19,31 @@ snap AS (
   FROM events
 )"""
 
+DIRTY = (
+    SNAP
+    + """,
+dirty AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 11 = 0 THEN NULL ELSE is_open END AS is_open,
+    CASE WHEN event_id % 19 = 0 THEN 'New ' || ride_id ELSE ride_name END AS ride_name,
+    CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'other' ELSE data_source END AS data_source)
+  FROM snap
+)"""
+)
+
+DIRTY_GROUPS = (
+    DIRTY
+    + """,
+flagged AS (
+  SELECT *, CASE WHEN lag(is_open) OVER w = is_open THEN 0 ELSE 1 END AS is_status_change
+  FROM dirty WHERE date_part('hour', captured_at) BETWEEN 9 AND 21
+  WINDOW w AS (PARTITION BY ride_id ORDER BY captured_at)
+),
+grouped AS (
+  SELECT *, sum(is_status_change) OVER (PARTITION BY ride_id ORDER BY captured_at) AS status_group FROM flagged
+)"""
+)
+
 STG = (
     SNAP
     + """,
@@ -265,6 +290,30 @@ AS wanted(park_name) WHERE park_name NOT IN (SELECT n_name FROM nation)""",
 hourly AS (SELECT * REPLACE (date_trunc('hour', captured_at) AS captured_at) FROM snap)
 SELECT {_SNAP_COLUMNS} FROM hourly
 QUALIFY row_number() OVER (PARTITION BY captured_at, ride_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
+    "raw_sources_mixed": f"WITH {DIRTY} SELECT {_SNAP_COLUMNS} FROM dirty WHERE data_source IS DISTINCT FROM 'synthetic'",
+    "islands_dirty": f"""WITH {DIRTY_GROUPS}
+SELECT ride_id, ride_name, park_name, land_name, CAST(min(captured_at) AS DATE) AS downtime_date,
+       min(captured_at) AS downtime_started_at, max(captured_at) AS last_observed_closed_at,
+       count(*) AS closed_snapshot_count
+FROM grouped WHERE NOT is_open GROUP BY ride_id, ride_name, park_name, land_name, status_group""",
+    "status_groups_dirty": f"""WITH {DIRTY_GROUPS}
+SELECT ride_id, ride_name, park_name, land_name, captured_at, CAST(captured_at AS DATE) AS captured_date, is_open,
+       is_status_change, CAST(status_group AS BIGINT) AS status_group
+FROM grouped""",
+    "flatten_rides_dirty": f"""WITH {RIDES}
+SELECT * REPLACE (CASE WHEN ride_id % 17 = 0 OR ride_id % 19 = 0 OR ride_id % 23 = 0 THEN NULL ELSE wait_time_minutes END
+       AS wait_time_minutes)
+FROM rides WHERE park_id <> 3 AND ride_id % 5 <> 0""",
+    "bad_rides": f"""WITH {RIDES}
+SELECT captured_at, park_id, park_name, 'x' || ride_id AS ride_id, ride_name FROM rides WHERE park_id <> 3 AND ride_id % 5 = 0""",
+    "bad_payloads": """SELECT TIMESTAMP '2024-01-31 12:00:00' AS captured_at, CAST(r_regionkey AS INTEGER) AS park_id,
+       r_name AS park_name, count(DISTINCT coalesce(s_suppkey // 500, 0)) AS answers
+FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey
+WHERE r_regionkey = 3 GROUP BY r_regionkey, r_name""",
+    "merge_ties": f"""WITH {SNAP},
+hourly AS (SELECT * REPLACE (date_trunc('hour', captured_at) AS captured_at) FROM snap)
+SELECT {_SNAP_COLUMNS} FROM hourly
+QUALIFY row_number() OVER (PARTITION BY captured_at, ride_id ORDER BY event_id % 2 DESC, event_id) = 1""",
     "stg_snapshots": f"WITH {STG} SELECT * FROM stg",
     "status_changes": f"""WITH {RUNS}
 SELECT ride_id, ride_name, park_name, land_name, captured_at, captured_date, is_open,
