@@ -22,72 +22,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settle, table
 
 #: Words that a repeated run must have.
 MIN_WORDS = 50
 _WORD = r"[^ \t\n\x0B\f\r]+"
 
 
+#: Stands for the end of a text whose number of lines is not known yet.
+_END = 1 << 30
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per non-blank line: the document's key, place, place of the next non-blank line, words, hashes."""
     text = F.col("text").cast("string")
-    body = F.split(text, "\n")
-    split = docs.select(
-        F.col("doc_id").alias("id"), F.xxhash64(text).alias("th"), F.size(body).alias("n"), F.posexplode(body).alias("pos", "line")
+    split = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    # A cheap test for blank lines: Spark works a filter's expressions out twice, and counting words is dear.
+    rows = split.filter(F.col("line").rlike(_WORD[:-1])).withColumn("line", F.trim("line"))
+    rows = rows.select(
+        "id", "th", "pos", F.regexp_count("line", F.lit(_WORD)).alias("words"), F.xxhash64("line").alias("h"), F.hash("line").alias("g")
     )
-    line = F.trim("line")
-    rows = split.select(
-        "id", "th", "n", "pos", F.regexp_count("line", F.lit(_WORD)).alias("words"), F.xxhash64(line).alias("h"), F.hash(line).alias("g")
-    ).filter("words > 0")
-    # One exchange by document serves the removal of repeated rows and all windows below.
+    # One exchange by document serves the removal of repeated rows and all windows.
     rows = rows.repartition("id", "th").dropDuplicates(["id", "th", "pos"])
     by_place = Window.partitionBy("id", "th").orderBy("pos")
-    return rows.select(
-        "id",
-        "th",
-        "pos",
-        F.coalesce(F.lead("pos").over(by_place), "n").alias("until"),
-        "words",
-        F.struct("h", "g", "pos").alias("at"),
-        F.sum("words").over(by_place.rowsBetween(Window.unboundedPreceding, 0)).alias("last"),
-    ).withColumn("first", F.col("last") - F.col("words"))
-
-
-def _windows(lines: DataFrame, min_words: int, down: bool) -> DataFrame:
-    """All whole windows that start (or end) at a line: span, fingerprint and its place, and a hash of all their lines."""
+    last = F.sum("words").over(by_place.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select("*", F.coalesce(F.lead("pos").over(by_place), F.lit(_END)).alias("until"), last.alias("last"))
+    return rows.withColumns({"first": F.col("last") - F.col("words"), "at": F.struct("h", "g", "pos")})
+
+
+def _windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """All whole windows from a line downwards and upwards: span, fingerprint and its place, a hash of all their lines."""
     place = Window.partitionBy("id", "th")
-    frame = place.orderBy("first").rangeBetween(0, min_words - 1) if down else place.orderBy("last").rangeBetween(1 - min_words, 0)
-    found = lines.select(
-        "id",
-        "th",
-        F.min("pos").over(frame).alias("start"),
-        F.max("until").over(frame).alias("stop"),
-        F.sum("words").over(frame).alias("words"),
-        F.collect_list("at").over(frame).alias("all"),
-    ).filter(F.col("words") >= min_words)
+    frames = place.orderBy("first").rangeBetween(0, min_words - 1), place.orderBy("last").rangeBetween(1 - min_words, 0)
+    both = [
+        F.struct(
+            F.min("pos").over(frame).alias("start"),
+            F.max("until").over(frame).alias("stop"),
+            F.sum("words").over(frame).alias("words"),
+            F.collect_list("at").over(frame).alias("all"),
+        )
+        for frame in frames
+    ]
+    found = lines.select("id", "th", F.array(*both).alias("both")).select("id", "th", F.inline("both"))
+    found = found.filter(F.col("words") >= min_words)
     content = F.transform("all", lambda x: F.struct(x["h"], x["g"]))
-    return found.select(
-        "id",
-        "th",
-        "start",
-        "stop",
-        F.array_min("all").alias("least"),
-        F.xxhash64(content).alias("content"),
-        F.hash(content).alias("content2"),
-    ).select("id", "th", "start", "stop", F.col("least.h").alias("fp"), F.col("least.pos").alias("fp_pos"), "content", "content2")
+    found = found.withColumns({"least": F.array_min("all"), "content": F.xxhash64(content), "content2": F.hash(content)})
+    return found.select("id", "th", "start", "stop", F.col("least.h").alias("fp"), F.col("least.pos").alias("fp_pos"), "content", "content2")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, th, spans): merged spans [start, stop) of line places to delete, by document (id and hash of the text)."""
-    lines = _lines(docs)
-    windows = _windows(lines, min_words, down=True).unionByName(_windows(lines, min_words, down=False))
+    windows = _windows(_lines(docs), min_words)
     where = F.struct("id", "th", "fp_pos")
-    repeated = windows.groupBy("fp").agg(F.min(where).alias("one"), F.max(where).alias("two")).filter("one != two").select("fp")
-    matches = windows.join(repeated, "fp", "left_semi")
+    repeated = windows.groupBy("fp").agg(F.min(where).alias("one"), F.max(where).alias("two")).filter("one != two")
+    # Joins are by a struct, which the sums before them are not dealt by: so Spark can split a key that many rows share.
+    matches = windows.withColumn("key", F.struct("fp")).join(repeated.select(F.struct("fp").alias("key")), "key", "left_semi")
+    matches = settle(matches.select("id", "th", "start", "stop", "content", "content2"))
     here = F.struct("id", "th", "start")
     firsts = matches.groupBy("content", "content2").agg(F.min(here).alias("origin"), F.max(here).alias("last")).filter("origin != last")
-    later = matches.join(firsts.drop("last"), ["content", "content2"]).filter(here > F.col("origin"))
+    body = F.struct("content", "content2").alias("body")
+    later = matches.select("id", "th", "start", "stop", body).join(firsts.select(body, "origin"), "body").filter(here > F.col("origin"))
     spans = later.groupBy("id", "th", "start").agg(F.max("stop").alias("stop"))
     by_start = Window.partitionBy("id", "th").orderBy("start")
     reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
@@ -116,6 +110,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: str = "line
     rows = docs.select(row.alias("row"), F.col("doc_id").alias("rid"), F.xxhash64(text).alias("rth"))
     joined = rows.join(spans, rows["rid"].eqNullSafe(spans["id"]) & (rows["rth"] == spans["th"]), "left")
     lines = F.split(F.col("row.text").cast("string"), "\n")
+    joined = joined.withColumn(
+        "spans", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.least(s["stop"], F.size(lines)).alias("stop")))
+    )
     cleaned = F.when(F.col("spans").isNull(), F.col("row.text").cast("string")).otherwise(_kept(lines, F.col("spans")))
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"])
     kept = [cleaned.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != report]
