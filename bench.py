@@ -51,12 +51,9 @@ def run_all(df: DataFrame) -> None:
 
 
 def one_window_islands(staged: DataFrame) -> DataFrame:
-    ride = Window.partitionBy("ride_id").orderBy("captured_at", "data_source")
-    same = F.lag("is_open").over(ride) == F.col("is_open")
-    numbered = staged.withColumn("starts", F.when(same, 0).otherwise(1)).withColumn(
-        "run_no", F.sum("starts").over(ride.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    closed = numbered.filter(~F.col("is_open"))
+    """Runs by the difference of two row numbers."""
+    place = [F.row_number().over(Window.partitionBy(*keys).orderBy("captured_at", "data_source")) for keys in (["ride_id"], ["ride_id", "is_open"])]
+    closed = staged.withColumn("run_no", place[0] - place[1]).filter(~F.col("is_open"))
     return closed.groupBy("ride_id", "ride_name", "park_name", "land_name", "run_no").agg(
         F.min("captured_at").alias("downtime_started_at"),
         F.max("captured_at").alias("last_observed_closed_at"),
@@ -95,6 +92,9 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
+                "times_control": {
+                    name: round(s / seconds["islands_one_window"], 2) for name, s in seconds.items() if "islands_one_window" in seconds
+                },
             }
         )
     )

@@ -28,7 +28,8 @@ def load_raw(spark: SparkSession, live_path: str, seed_path: str, include_seed:
 def build_marts(raw: DataFrame, p: Params = Params(), schema: str = MARTS_SCHEMA) -> dict[str, DataFrame]:
     """Write the four marts as tables, then run the checks over them.
 
-    The snapshots are read twice, each time only the columns it takes: for the ride x day totals and for the outages.
+    The snapshots are read four times, each time only the columns it takes: for the ride x day totals, for the outages,
+    and for the checks on raw and on staged rows.
     The totals are written once and shared by all that is built on them.
     """
     spark = raw.sparkSession
