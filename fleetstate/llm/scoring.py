@@ -31,7 +31,7 @@ from .eliasfano import Trie, discounted
 
 DISCOUNT = 0.75
 #: Bytes of text in a chunk, training tokens of a shard.
-CHUNK, SHARD_TOKENS = 1 << 24, 2_500_000
+CHUNK, SHARD_TOKENS = 1 << 23, 1_500_000
 #: First words with a greater share of the training tokens are split over shards.
 HOT_SHARE = 1 / 2048
 #: Keys of the start of a text, as a context, and of its end, as a token.
@@ -75,23 +75,27 @@ class _Layout:
         starts, ends, cuts = chunk.words(SPACED)
         self.sizes = np.diff(cuts)
         texts, n = len(self.sizes), len(starts)
-        self.keys, place = np.unique(span_hashes(chunk.data, starts, ends), return_inverse=True)
-        words = len(self.keys)
-        self.names = np.concatenate([self.keys, [START, END]]).astype(U64)
+        keys, place = np.unique(span_hashes(chunk.data, starts, ends), return_inverse=True)
+        del starts, ends
+        words = len(keys)
+        self.names = np.concatenate([keys, [START, END]]).astype(U64)
         # One token after the other: a text's first follows the start, its last is the end.
-        upto = cuts + np.arange(texts + 1)
-        token = np.full(n + texts, words + 1, dtype=np.int64)
-        before = np.full(n + texts, words, dtype=np.int64)
-        text = np.repeat(np.arange(texts), self.sizes + 1)
+        text = np.repeat(np.arange(texts, dtype=np.int32), self.sizes + 1)
         of = np.arange(n) + np.repeat(np.arange(texts), self.sizes)
-        token[of] = place
+        pair = np.full(n + texts, words + 1, dtype=np.int64)
+        pair[of] = place
+        before = np.full(n + texts, words, dtype=np.int32)
         before[of + 1] = place  # the place after a word is in the same text, as each text has an end
-        pair = before * (words + 2) + token
+        del of, place
+        pair += before.astype(np.int64) * (words + 2)
+        del before
         order = np.argsort(pair, kind="stable")
-        pair = pair[order]
+        pair, text = pair[order], text[order]
+        del order
         first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
         context, word = np.divmod(pair[first], words + 2)
-        times = np.diff(np.append(first, len(pair)))
+        times, tokens = np.diff(np.append(first, len(pair))), len(pair)
+        del pair
         # Shards: by the first word; for hot ones also by the second.
         home = (mix(self.names) % U64(shards)).astype(np.int64)
         split = np.ones(words + 2, dtype=np.int64)
@@ -111,8 +115,9 @@ class _Layout:
         slot = self.context_shard * (words + 2) + self.context
         self.pair_context = np.searchsorted(slot, self.pair_shard * (words + 2) + context[by])
         begin = np.cumsum(times) - times
-        take = np.repeat(begin[by] - (np.cumsum(self.times) - self.times), self.times) + np.arange(len(pair))
-        self.text = text[order][take]
+        take = np.repeat(begin[by] - (np.cumsum(self.times) - self.times), self.times)
+        take += np.arange(tokens)
+        self.text = text[take]
 
     def questions(self, learn: np.ndarray) -> Iterator[tuple[int, bytes]]:
         """(shard, contexts, pairs of each, second words, training counts of pairs) for each shard asked."""
