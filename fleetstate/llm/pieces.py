@@ -29,7 +29,7 @@ from .common import U64, _powers, chunks, mix, schema_with, span_hashes, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text for which the lattice of distinct words is laid out at once.
-LATTICE_BYTES = 1 << 22
+LATTICE_BYTES = 3 << 20
 #: Longer words are walked one by one.
 LONG_WORD = 256
 #: Log weight of a byte of a character that the vocabulary lacks.
@@ -132,10 +132,11 @@ class _Lattice:
         lead = np.flatnonzero((data & 0xC0) != 0x80)
         width = np.diff(np.append(lead, n))
         known = np.zeros(n, dtype=bool)
+        wide = np.zeros(n, dtype=np.int64)
+        wide[lead] = width
         for b, e in zip(begin, end):
-            whole = np.zeros(n + 1, dtype=np.int32)
-            whole[b] = e - b
-            known[lead[whole[lead] == width]] = True
+            if len(b) and e[0] - b[0] <= 4:  # the pieces of one size
+                known[b[wide[b] == e[0] - b[0]]] = True
         spelled = np.flatnonzero(np.repeat(~known[lead], width)) if len(lead) else lead
         begin.append(spelled)
         end.append(spelled + 1)
@@ -146,7 +147,7 @@ class _Lattice:
         # Places are numbered by word and place in it; a word's first place is its own, so ends never meet starts.
         base = starts[word[self.begin]]
         depth = self.end - base
-        order = np.lexsort((self.end, depth))
+        order = np.argsort(depth * (n + 1) + self.end)
         self._forward(n, order, depth[order], weight, starts)
         self._by_end(n, weight)
 
@@ -170,7 +171,7 @@ class _Lattice:
         with np.errstate(invalid="ignore"):
             share = np.exp(np.where(self.first[self.begin], 0.0, self.total[self.begin]) + weight - self.total[self.end])
         share[~np.isfinite(share)] = 0.0
-        order = np.lexsort((self.begin, self.end))
+        order = np.argsort(self.end * (n + 1) + self.begin)
         order = order[share[order] > 0]
         self.begin, self.end, self.piece, share = self.begin[order], self.end[order], self.piece[order], share[order]
         head = np.flatnonzero(np.append(True, self.end[1:] != self.end[:-1])) if len(order) else np.empty(0, np.int64)
@@ -243,9 +244,11 @@ def encode_chunk(vocab: Vocabulary, data: np.ndarray, bounds: np.ndarray, seeds:
     count = np.zeros(len(starts), dtype=np.int64)
     if len(short):
         lattice = _Lattice(vocab, data[take], laid[:-1])
-        live, at = short, laid[1:][word]
-        base = starts[short] - bounds[row[short]] - laid[:-1][word]  # a lattice place to a place of the text
-        seed, first = seeds[row[short]], laid[:-1][word]
+        by_word = np.argsort(word)  # so that draws go through the lattice from front to back
+        live, word = short[by_word], word[by_word]
+        at, first = laid[1:][word], laid[:-1][word]
+        base = starts[live] - bounds[row[live]] - first  # a lattice place to a place of the text
+        seed = seeds[row[live]]
         while len(live):
             edge = lattice.draw(at, _uniform(seed, at + base))
             steps.append((live, lattice.piece[edge]))
