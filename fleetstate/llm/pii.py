@@ -1,7 +1,8 @@
 """Surrogates for personal data: keyed replacements of the same type, gender, script and format.
 
 Found: e-mail addresses, IPv4 addresses, card and account numbers, phone numbers, social security numbers, access keys,
-passwords and tokens, and names after a title or with a known given name, with later bare mentions of such a name.
+passwords and tokens, and names after a title or with a known given name, with bare mentions of such a name anywhere in
+the text.
 
 A surrogate is a keyed permutation of all strings of the original's format, so the same entity has the same surrogate in
 every document and on any cluster (coreference), two entities never share one (distinctness), and none stands for
@@ -221,15 +222,14 @@ _KNOWN = re.compile(rf"\b(?:{'|'.join(sorted(_NAMES))}) {_WORD}(?!\w)")
 
 
 def _names(text: str) -> list[tuple[int, int]]:
-    """Spans of the single words of names: after a title, or a known given name and the word after it; then each later
-    mention of such a word alone."""
+    """Spans of the single words of names: after a title, or a known given name and the word after it; and each mention of
+    such a word alone, also before the name is given in full."""
     spans = [m.span(1) for m in _TITLED.finditer(text)] + [m.span() for m in _KNOWN.finditer(text)]
     if not spans:
         return []
     words = {w for a, b in spans for w in re.findall(r"[^\W\d_]+", text[a:b]) if len(w) > 1}
     once = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(map(re.escape, words), key=len, reverse=True))})(?!\w)")
-    first = min(a for a, _ in spans)
-    return [m.span() for m in once.finditer(text, first)]
+    return [m.span() for m in once.finditer(text)]
 
 
 def find(text: str) -> list[tuple[int, int, str]]:

@@ -141,6 +141,15 @@ def test_surrogates_keep_type_format_and_coreference():
     assert s.replace(clean) == (clean, [])
 
 
+def test_names_are_replaced_before_their_full_form():
+    s = pii.Surrogates(b"k" * 32)
+    text, found = s.replace("Garcia spoke first. Mr Garcia left; Petrov and Anna Petrov stayed, Garcias too.")
+    assert not re.search(r"\bGarcia\b|Petrov", text) and "Garcias" in text
+    names = [text[e["start"] : e["stop"]] for e in found]
+    assert len(names) == 5 and names[0] == names[1] and names[2] == names[4]
+    assert found[0]["entity"] == found[1]["entity"] and found[2]["entity"] == found[4]["entity"]
+
+
 def test_surrogates_over_a_corpus(spark):
     rows = [(i, f"a{i}@b.example.org 10.0.{i}.1 4{i:015d} +49 (30) 555-{1000 + i}", "e") for i in range(60)]
     rows += [(None, None, "e"), (1, "", "e"), (2, "x" * 100_000 + " a1@b.example.org", "e")] + rows[:2]
