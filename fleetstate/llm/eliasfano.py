@@ -1,7 +1,7 @@
-"""Elias-Fano sequences, and an n-gram trie of two levels laid out in them.
+"""Elias-Fano sequences, and an n-gram trie of any order laid out in them.
 
 A rising sequence keeps the low bits of each value packed and the high bits in unary, about 2 + log2(universe / n) bits a
-value. All levels lie in one memory map; nothing is unpacked to be searched.
+value. Each level lies in a memory map; nothing is unpacked to be searched.
 """
 
 from __future__ import annotations
@@ -116,64 +116,89 @@ class EliasFano:
         return [self.low, self.high, self.ones]
 
 
-class Trie:
-    """Contexts and their successors, with counts.
+def _mapped(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """The arrays, moved into one memory map."""
+    sizes = [-(-a.nbytes // 8) * 8 for a in parts]
+    room = mmap.mmap(-1, max(8, sum(sizes)))
+    views, at = [], 0
+    for a, size in zip(parts, sizes):
+        view = np.frombuffer(room, dtype=a.dtype, count=len(a), offset=at)
+        view[:] = a
+        views.append(view)
+        at += size
+    return views
+
 
-    Contexts: rising keys, with their count and number of successors. Pointers: where a context's successors start.
-    Successors: places of words in the trie's own vocabulary, made rising by the context's place times the vocabulary's
-    size, so that a search for a word after a context looks among that context's successors only. Each has the quantised
-    log10 of its discounted count.
+@dataclass
+class Level:
+    """The n-grams of one order, by the n-gram they lengthen and their last word.
+
+    keys: place of the shorter n-gram, times the size of the trie's vocabulary, plus that of the word, so that a search
+    looks among the words after that n-gram only. pointer: where those of each shorter n-gram start. code: quantised
+    log10 of each one's discounted probability. total, weight: what follows each shorter n-gram, and the quantised log10
+    of the share that it leaves to its own last words.
     """
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, discount: float):
-        """Counts of pairs (context, word), by context and word."""
-        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.empty(0, np.int64)
-        rank = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(context))))
-        words, place = np.unique(word, return_inverse=True)
-        self.size = max(1, len(words))
-        levels = {
-            "context": EliasFano.build(context[first], 1 << 64),
-            "pointer": EliasFano.build(np.append(first, len(context)), len(context) + 1),
-            "word": EliasFano.build(words, 1 << 64),
-            "successor": EliasFano.build(rank.astype(U64) * U64(self.size) + place.astype(U64), max(1, len(first)) * self.size),
-        }
-        total = np.add.reduceat(count, first) if len(first) else np.empty(0, np.int64)
-        code = np.rint(np.log10(count - discount) * STEPS).astype(np.int64) + STEPS  # over 0 for any count and discount < 0.9
-        parts = [a for level in levels.values() for a in level.arrays()] + [total.astype(U64), code.astype(np.uint16)]
-        # All levels in one memory map.
-        sizes = [-(-a.nbytes // 8) * 8 for a in parts]
-        self.map = mmap.mmap(-1, max(8, sum(sizes)))
-        views, at = [], 0
-        for a, size in zip(parts, sizes):
-            view = np.frombuffer(self.map, dtype=a.dtype, count=len(a), offset=at)
-            view[:] = a
-            views.append(view)
-            at += size
-        for i, level in enumerate(levels.values()):
-            level.low, level.high, level.ones = views[3 * i : 3 * i + 3]
-        self.levels, self.total, self.code = levels, views[-2], views[-1]
-
-    def contexts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place or -1, count, number of successors) of each context."""
-        place = self.levels["context"].find(keys)
+    keys: EliasFano
+    pointer: EliasFano
+    code: np.ndarray
+    total: np.ndarray
+    weight: np.ndarray
+
+
+class Trie:
+    """N-grams by their first words: rising keys of these, the vocabulary of the others, and a level for each order."""
+
+    def __init__(self, roots: np.ndarray, words: np.ndarray, discount: float):
+        """`roots`, `words`: distinct keys, rising."""
+        self.size, self.discount, self.levels = max(1, len(words)), discount, []
+        self.roots, self.words = EliasFano.build(roots, 1 << 64), EliasFano.build(words, 1 << 64)
+        for level in (self.roots, self.words):
+            level.low, level.high, level.ones = _mapped(level.arrays())
+
+    def grow(self, parent: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
+        """One level more: counts of n-grams by the places of the shorter n-gram and of the word, in any order, in parts."""
+        before = self.levels[-1].keys.n if self.levels else self.roots.n
+        keys, index = np.unique(parent.astype(U64) * U64(self.size) + word.astype(U64), return_inverse=True)
+        count = np.bincount(index, count, len(keys))
+        del index
+        above = (keys // U64(self.size)).astype(np.int64)
+        many, total = np.bincount(above, minlength=before), np.bincount(above, count, before)
+        code = quantised((count - self.discount) / total[above])
+        weight = np.zeros(before, dtype=np.uint16)
+        weight[many > 0] = quantised(self.discount * many[many > 0] / total[many > 0])
+        starts = np.concatenate([[0], np.cumsum(many)])
+        level = Level(
+            EliasFano.build(keys, max(1, before) * self.size), EliasFano.build(starts, len(keys) + 1), code, total.astype(U64), weight
+        )
+        parts = _mapped([*level.keys.arrays(), *level.pointer.arrays(), code, level.total, weight])
+        for i, part in enumerate((level.keys, level.pointer)):
+            part.low, part.high, part.ones = parts[3 * i : 3 * i + 3]
+        level.code, level.total, level.weight = parts[6:]
+        self.levels.append(level)
+
+    def contexts(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, number of successors) of each first word, by its place; 0 for -1."""
+        count, many = np.zeros(len(place), dtype=np.int64), np.zeros(len(place), dtype=np.int64)
         known = np.flatnonzero(place >= 0)
-        count, many = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
-        at = place[known]
-        count[known] = self.total[at]
-        pointer = self.levels["pointer"]
-        many[known] = (pointer.get(at + 1) - pointer.get(at)).astype(np.int64)
-        return place, count, many
-
-    def codes(self, context: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Quantised log10 of the discounted count of each word after a context (by its place), 0 if never seen."""
-        at = self.levels["word"].find(words)
-        out = np.zeros(len(words), dtype=np.uint16)
-        known = np.flatnonzero((at >= 0) & (context >= 0))
-        found = self.levels["successor"].find(context[known].astype(U64) * U64(self.size) + at[known].astype(U64))
-        out[known[found >= 0]] = self.code[found[found >= 0]]
+        at, level = place[known], self.levels[0]
+        count[known] = level.total[at]
+        many[known] = (level.pointer.get(at + 1) - level.pointer.get(at)).astype(np.int64)
+        return count, many
+
+    def find(self, nth: int, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places in the nth level of each word (by its place) after a shorter n-gram (by its place), -1 if never seen."""
+        out = np.full(len(word), -1, dtype=np.int64)
+        known = np.flatnonzero((word >= 0) & (parent >= 0))
+        out[known] = self.levels[nth].keys.find(parent[known].astype(U64) * U64(self.size) + word[known].astype(U64))
         return out
 
 
-def discounted(codes: np.ndarray) -> np.ndarray:
+def quantised(chance: np.ndarray) -> np.ndarray:
+    """Codes from 1 for chances over 1e-15."""
+    return np.minimum(np.rint(-np.log10(chance) * STEPS) + 1, (1 << 16) - 1).astype(np.uint16)
+
+
+def chances(codes: np.ndarray) -> np.ndarray:
     """What quantised codes stand for; 0 for code 0."""
-    return np.where(codes > 0, 10.0 ** ((codes.astype(np.float64) - STEPS) / STEPS), 0.0)
+    return np.where(codes > 0, 10.0 ** ((1 - codes.astype(np.float64)) / STEPS), 0.0)

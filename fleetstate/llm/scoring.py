@@ -1,15 +1,16 @@
 """Language-model scores: an n-gram model of all training texts, in Elias-Fano tries by shard.
 
 Tokens are words between ASCII white space, A-Z in lower case, and one end per text. The model is interpolated absolute
-discounting over pairs: P(w|v) = max(c(vw) - D, 0) / c(v) + D t(v) / c(v) P(w), t(v) being the number of different words
-after v, and P(w) = max(c(w), 1) / (N + 1), where all unknown words are one. After an unknown word it is P(w).
+discounting up to an order: P(w|uv) = max(c(uvw) - D, 0) / c(uv) + D t(uv) / c(uv) P(w|v), t(uv) being the number of
+different words after uv, and so on down to P(w) = max(c(w), 1) / (N + 1), where all unknown words are one. After a
+context never seen it is the probability after the context without its first word. No context goes beyond a text's start.
 
-Nothing is held or sent whole. A chunk of texts sends its different pairs, with their training counts, to the shards of
-their first words. A shard adds up what all chunks send, lays its part of the model out as a trie, looks up the pairs of
-each chunk, and answers in the order it was asked: counts of the words, and one quantised number per pair. A chunk then
-adds up its texts from the answers. Every word of a chunk comes before something, so the answers hold the counts of all
-its words. First words with a great share of all tokens are split over several shards by the second; a chunk asks all
-of these and adds up what they count.
+Nothing is held or sent whole. A chunk of texts sends its different n-grams, with their training counts, to the shards of
+their first words. A shard adds up what all chunks send, lays its part of the model out as a trie, looks up the n-grams of
+each chunk, and answers in the order it was asked: counts of the first words, and quantised probabilities and weights. The
+parts of a sum P(w|uv) lie in the shards of u, v and w, so a chunk puts it together, and adds up its texts. Every word
+of a chunk comes before something, so the answers hold the counts of all its words. First words with a great share of all
+tokens are split over several shards by the second; a chunk asks all of these and adds up what they count.
 
 A null text is empty; an empty one has its end only. Repeated rows are texts of their own, and count twice in training.
 Without training texts all scores are 0. Words are told apart by 64 bits of hash. Other columns are ignored.
@@ -27,9 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACED, U64, Chunk, chunks, held_out, mix, settle, span_hashes, table
-from .eliasfano import Trie, discounted
+from .eliasfano import Trie, chances
 
 DISCOUNT = 0.75
+#: Words of the longest n-grams of the query.
+ORDER = 3
 #: Bytes of text in a chunk, training tokens of a shard.
 CHUNK, SHARD_TOKENS = 1 << 23, 1_500_000
 #: First words with a greater share of the training tokens are split over shards.
@@ -68,10 +71,19 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+class _Level:
+    """The n-grams of one order in a chunk: last word, shard, and places of the n-grams without their last word (`parent`)
+    and without their first (`suffix`), all by shard, parent and word; `node` has the place of each token's, or -1."""
+
+    def __init__(self, word: np.ndarray, shard: np.ndarray, parent: np.ndarray, suffix: np.ndarray | None, node: np.ndarray):
+        self.word, self.shard, self.parent, self.suffix = word.astype(np.int32), shard.astype(np.int32), parent, suffix
+        self.node = node.astype(np.int32)
+
+
 class _Layout:
-    """The pairs of a chunk by shard, first and second word, the same way whenever it is worked out."""
+    """The n-grams of a chunk, level by level, by shard and by their words, the same way whenever it is worked out."""
 
-    def __init__(self, chunk: Chunk, shards: int, hot: np.ndarray, splits: np.ndarray):
+    def __init__(self, chunk: Chunk, order: int, shards: int, hot: np.ndarray, splits: np.ndarray):
         starts, ends, cuts = chunk.words(SPACED)
         self.sizes = np.diff(cuts)
         texts, n = len(self.sizes), len(starts)
@@ -80,21 +92,16 @@ class _Layout:
         words = len(keys)
         self.names = np.concatenate([keys, [START, END]]).astype(U64)
         # One token after the other: a text's first follows the start, its last is the end.
-        text = np.repeat(np.arange(texts, dtype=np.int32), self.sizes + 1)
+        self.text = np.repeat(np.arange(texts, dtype=np.int32), self.sizes + 1)
         of = np.arange(n) + np.repeat(np.arange(texts), self.sizes)
-        pair = np.full(n + texts, words + 1, dtype=np.int64)
-        pair[of] = place
-        before = np.full(n + texts, words, dtype=np.int32)
+        self.token = np.full(n + texts, words + 1, dtype=np.int32)
+        self.token[of] = place
+        before = np.full(n + texts, words, dtype=np.int64)
         before[of + 1] = place  # the place after a word is in the same text, as each text has an end
         del of, place
-        pair += before.astype(np.int64) * (words + 2)
+        pair, node = np.unique(before * (words + 2) + self.token, return_inverse=True)
         del before
-        order = np.argsort(pair, kind="stable")
-        pair, text = pair[order], text[order]
-        del order
-        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-        context, word = np.divmod(pair[first], words + 2)
-        times, tokens = np.diff(np.append(first, len(pair))), len(pair)
+        context, word = np.divmod(pair, words + 2)
         del pair
         # Shards: by the first word; for hot ones also by the second.
         home = (mix(self.names) % U64(shards)).astype(np.int64)
@@ -111,29 +118,47 @@ class _Layout:
         by = np.lexsort((every, where))
         self.context, self.context_shard = every[by], where[by]
         by = np.argsort(shard, kind="stable")  # pairs are by first and second word already
-        self.word, self.pair_shard, self.times = word[by], shard[by], times[by]
+        rank = np.empty(len(by), dtype=np.int64)
+        rank[by] = np.arange(len(by))
         slot = self.context_shard * (words + 2) + self.context
-        self.pair_context = np.searchsorted(slot, self.pair_shard * (words + 2) + context[by])
-        begin = np.cumsum(times) - times
-        take = np.repeat(begin[by] - (np.cumsum(self.times) - self.times), self.times)
-        take += np.arange(tokens)
-        self.text = text[take]
+        parent = np.searchsorted(slot, shard[by] * (words + 2) + context[by])
+        self.levels = [_Level(word[by], shard[by], parent, None, rank[node])]
+        del rank, node, context, word, shard, by, parent
+        # A longer n-gram goes where the one without its last word is; a text's first tokens have none.
+        nth = np.arange(n + texts) - np.repeat(np.cumsum(self.sizes + 1) - self.sizes - 1, self.sizes + 1)
+        for least in range(1, order - 1):
+            last, at = self.levels[-1], np.flatnonzero(nth >= least)
+            gram, index = np.unique(last.node[at - 1].astype(np.int64) * (words + 2) + self.token[at], return_inverse=True)
+            parent, word = np.divmod(gram, words + 2)
+            suffix = np.empty(len(gram), dtype=np.int32)
+            suffix[index] = last.node[at]
+            node = np.full(n + texts, -1, dtype=np.int32)
+            node[at] = index
+            self.levels.append(_Level(word, last.shard[parent], parent, suffix, node))
 
     def questions(self, learn: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """(shard, contexts, pairs of each, second words, training counts of pairs) for each shard asked."""
-        counts = np.add.reduceat(learn[self.text].astype(np.int64), np.cumsum(self.times) - self.times)
+        """For each shard asked: contexts and words (by differences), then for each level the n-grams of each parent, and
+        their last words' places and training counts."""
+        taught = learn[self.text]
+        counts = [np.bincount(x.node[taught & (x.node >= 0)], minlength=len(x.word)) for x in self.levels]
         for shard in np.unique(self.context_shard).tolist():
-            a, b = np.searchsorted(self.context_shard, [shard, shard + 1])
-            c, d = np.searchsorted(self.pair_shard, [shard, shard + 1])
-            many = np.bincount(self.pair_context[c:d] - a, minlength=b - a)
-            yield shard, _pack(self.names[self.context[a:b]], _small(many), self.names[self.word[c:d]], _small(counts[c:d]))
+            lo, hi = np.searchsorted(self.context_shard, [shard, shard + 1])
+            spans = [tuple(np.searchsorted(x.shard, [shard, shard + 1])) for x in self.levels]
+            words, place = np.unique(np.concatenate([x.word[a:b] for x, (a, b) in zip(self.levels, spans)]), return_inverse=True)
+            body, at = [_steps(self.names[self.context[lo:hi]]), _steps(self.names[words])], 0
+            for x, n, (a, b) in zip(self.levels, counts, spans):
+                body += [_small(np.bincount(x.parent[a:b] - lo, minlength=hi - lo)), _small(place[at : at + b - a]), _small(n[a:b])]
+                lo, hi, at = a, b, at + b - a
+            yield shard, _pack(*body)
+
+
+def _steps(names: np.ndarray) -> np.ndarray:
+    """Differences of names, the first to 0; their sums (of 64 bits) are the names again."""
+    return np.diff(names, prepend=U64(0))
 
-    def kept(self) -> bytes:
-        """What the chunk needs to add up its texts once the answers are there."""
-        return _pack(
-            np.array([len(self.names)], dtype=np.int64), _small(self.sizes), _small(self.context), _small(self.context_shard),
-            _small(np.diff(self.pair_context, prepend=0)), _small(self.word), _small(self.times), _small(self.text),
-        )
+
+def _names(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=U64)
 
 
 def _chunk_id(batch_ids: np.ndarray, chunk: Chunk) -> int:
@@ -141,22 +166,22 @@ def _chunk_id(batch_ids: np.ndarray, chunk: Chunk) -> int:
     return int(batch_ids[chunk.rows.start])
 
 
-def _question_batches(batches: Iterator[pa.RecordBatch], shards: int, hot, keep: bool, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _question_batches(batches: Iterator[pa.RecordBatch], order: int, shards: int, hot, keep: bool, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("id", id_type), ("held", pa.bool_())]))
     words, splits = hot.value
     for batch in batches:
         numbers = batch.column("row").to_numpy()
         held = batch.column("held").to_numpy(zero_copy_only=False)
         for chunk in chunks(batch.column("text"), most=CHUNK):
-            layout = _Layout(chunk, shards, words, splits)
             name = _chunk_id(numbers, chunk)
-            if keep:
-                ids = batch.column("doc_id").slice(chunk.rows.start, len(layout.sizes)).to_pylist()
+            if keep:  # the text, which is smaller than its layout
+                ids = batch.column("doc_id").slice(chunk.rows.start, len(chunk.bounds) - 1).to_pylist()
+                body = _pack(chunk.data, _small(np.diff(chunk.bounds)))
                 texts = [{"id": i, "held": bool(h)} for i, h in zip(ids, held[chunk.rows])]
-                columns = [pa.array([name]), pa.array([-1], pa.int32()), pa.array([layout.kept()], pa.binary()), pa.array([texts], kind)]
+                columns = [pa.array([name]), pa.array([-1], pa.int32()), pa.array([body], pa.binary()), pa.array([texts], kind)]
                 yield pa.record_batch(columns, names=["chunk", "part", "body", "texts"])
                 continue
-            for shard, body in layout.questions(~held[chunk.rows]):
+            for shard, body in _Layout(chunk, order, shards, words, splits).questions(~held[chunk.rows]):
                 columns = [pa.array([name]), pa.array([shard], pa.int32()), pa.array([body], pa.binary())]
                 yield pa.record_batch(columns, names=["chunk", "part", "body"])
 
@@ -164,71 +189,87 @@ def _question_batches(batches: Iterator[pa.RecordBatch], shards: int, hot, keep:
 def _answer(rows: pd.DataFrame, hot) -> pd.DataFrame:
     """One shard: build the trie from all questions, then answer each. One row more says how many words it counts."""
     asked = [_unpack(b) for b in rows["body"]]
-    context = np.concatenate([np.repeat(c, n) for c, n, _, _ in asked])
-    word, count = np.concatenate([w for _, _, w, _ in asked]), np.concatenate([x.astype(np.int64) for *_, x in asked])
-    seen = np.flatnonzero(count)
-    seen = seen[np.lexsort((word[seen], context[seen]))]
-    context, word, count = context[seen], word[seen], count[seen]
-    new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])) if len(seen) else np.empty(0, bool)
-    first = np.flatnonzero(new)
-    count = np.add.reduceat(count, first) if len(first) else count
-    trie = Trie(context[first], word[first], count, DISCOUNT)
-    own = np.unique(context[first])
+    depth = (len(asked[0]) - 2) // 3
+    context = np.concatenate([_names(q[0]) for q in asked])
+    words = [_names(q[1]) for q in asked]
+    shift = np.cumsum([0] + [len(w) for w in words])
+    words = np.concatenate(words)
+    index = [np.concatenate([q[3 + 3 * i] + at for q, at in zip(asked, shift)]) for i in range(depth)]
+    many = [np.concatenate([q[2 + 3 * i] for q in asked]) for i in range(depth)]
+    count = [np.concatenate([q[4 + 3 * i] for q in asked]) for i in range(depth)]
+    # Where each question's contexts and n-grams end, to part the answers again.
+    ends = [np.cumsum([len(q[0]) for q in asked])] + [np.cumsum([len(q[3 + 3 * i]) for q in asked]) for i in range(depth)]
+    del asked
+    used = np.zeros(len(words), dtype=bool)
+    for i, n in zip(index, count):
+        used[i[n > 0]] = True
+    own = np.unique(np.repeat(context, many[0])[count[0] > 0])
+    trie = Trie(own, np.unique(words[used]), DISCOUNT)
+    place, words = trie.roots.find(context), trie.words.find(words)
+    out = []
+    for i in range(depth):
+        parent, word = np.repeat(place, many[i]), words[index[i]]
+        seen = np.flatnonzero(count[i])
+        trie.grow(parent[seen], word[seen], count[i][seen])
+        level = trie.levels[i]
+        if i:
+            out.append(np.split(np.where(place >= 0, level.weight[place] if len(level.weight) else 0, 0).astype(np.uint16), ends[i][:-1]))
+        else:
+            out += [np.split(x, ends[0][:-1]) for x in trie.contexts(place)]
+        place = trie.find(i, parent, word)
+        out.append(np.split(np.where(place >= 0, level.code[place] if len(level.code) else 0, 0).astype(np.uint16), ends[i + 1][:-1]))
+        del parent, word
     own = own[(own != START) & ~np.isin(own, hot.value[0])]
-    del context, word, count, seen, new
-    bodies = []
-    for c, n, w, _ in asked:
-        place, total, many = trie.contexts(c)
-        bodies.append(_pack(_small(total), _small(many), trie.codes(np.repeat(place, n), w)))
     part = int(rows["part"].iloc[0])
     return pd.DataFrame(
         {
             "chunk": [*rows["chunk"], -1 - part],
             "part": np.array([*rows["part"], -2], dtype=np.int32),
-            "body": [*bodies, _pack(np.array([len(own)], dtype=np.int64))],
+            "body": [*(_pack(_small(total), _small(n), *codes) for total, n, *codes in zip(*out)), _pack(np.array([len(own)], dtype=np.int64))],
         }
     )
 
 
-
-
-
-def _sum_texts(rows: pd.DataFrame, tokens: int, ends: int) -> pd.DataFrame:
-    """One chunk: its texts' sums from what it kept and what the shards answered."""
+def _sum_texts(rows: pd.DataFrame, order: int, shards: int, hot, tokens: int, ends: int) -> pd.DataFrame:
+    """One chunk: its texts' sums from their words and what the shards answered."""
     rows = rows.sort_values("part", kind="stable", ignore_index=True)
     first = int(rows["part"].iloc[0])
     if first == -2:  # a shard's number of words
         n = sum(int(_unpack(b)[0][0]) for b in rows["body"])
         return pd.DataFrame({"id": [None], "held": [None], "n_tokens": [0], "n_known": [0], "base": [0.0], "score": [0.0], "words": [n]})
-    names, sizes, context, _, steps, word, times, text = _unpack(rows["body"].iloc[0])
-    pair_context = np.cumsum(steps.astype(np.int64))
-    answers = [_unpack(b) for b in rows["body"].iloc[1:]]
-    n = int(names[0])
+    data, sizes = _unpack(rows["body"].iloc[0])
+    bounds = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
+    layout = _Layout(Chunk(slice(0, len(sizes)), data, bounds), order, shards, *hot.value)
+    answers = [np.concatenate(a) for a in zip(*(_unpack(b) for b in rows["body"].iloc[1:]))]
+    n, texts = len(layout.names), len(sizes)
     # Counts and numbers of successors by word; a hot one's come in parts.
-    place = context.astype(np.int64)
-    total = np.bincount(place, np.concatenate([a[0] for a in answers]), n)
-    many = np.bincount(place, np.concatenate([a[1] for a in answers]), n)
-    kept = discounted(np.concatenate([a[2] for a in answers]))
+    place, pairs = layout.context, layout.levels[0]
+    total, many = np.bincount(place, answers[0], n), np.bincount(place, answers[1], n)
     alone = total.copy()
     alone[n - 1] = ends  # the end is no context
     unigram = np.maximum(alone, 1) / (tokens + 1)
-    before, after = place[pair_context], word.astype(np.int64)
+    before, after = place[pairs.parent], unigram[pairs.word]
     base = np.maximum(total[before], 1)
-    chance = np.where(total[before] > 0, (kept + DISCOUNT * many[before] * unigram[after]) / base, unigram[after])
-    logs = np.repeat(np.log10(chance), times)
+    # A shard's probabilities are those in its own part of a context.
+    kept = chances(answers[2]) * answers[0][pairs.parent]
+    chance = np.where(total[before] > 0, (kept + DISCOUNT * many[before] * after) / base, after)
+    logs = np.log10(chance)[pairs.node]
+    for level, weight, code in zip(layout.levels[1:], answers[3::2], answers[4::2]):
+        shorter, left = chance[level.suffix], chances(weight)[level.parent]
+        chance = np.where(left > 0, chances(code) + left * shorter, shorter)
+        have = level.node >= 0
+        logs[have] = np.log10(chance)[level.node[have]]
     word_logs = np.where(np.arange(n) < n - 2, np.log10(alone + 1), 0.0)
     known = ((alone > 0) & (np.arange(n) < n - 2)).astype(np.int64)
-    texts, at = len(sizes), text.astype(np.int64)
-    first_word = np.repeat(before, times)
     entries = rows["texts"].iloc[0]
     return pd.DataFrame(
         {
             "id": [e["id"] for e in entries],
             "held": [e["held"] for e in entries],
-            "n_tokens": sizes.astype(np.int64) + 1,
-            "n_known": np.bincount(at, known[first_word], texts).astype(np.int64) + int(ends > 0),
-            "base": np.bincount(at, word_logs[first_word], texts) + np.log10(ends + 1),
-            "score": np.bincount(at, logs, texts),
+            "n_tokens": layout.sizes.astype(np.int64) + 1,
+            "n_known": np.bincount(layout.text, known[layout.token], texts).astype(np.int64) + int(ends > 0),
+            "base": np.bincount(layout.text, word_logs[layout.token], texts) + np.log10(ends + 1),
+            "score": np.bincount(layout.text, logs, texts),
             "words": 0,
         }
     )
@@ -257,8 +298,10 @@ def _hot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS, order: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); texts that are `held` out teach nothing."""
+    if order < 2:
+        raise ValueError(f"order {order}: a model has contexts of one word at least")
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema["doc_id"].dataType
@@ -275,14 +318,14 @@ def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS)
     hot = docs.sparkSession.sparkContext.broadcast((words, splits))
 
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    ask = partial(_question_batches, shards=shards, hot=hot, id_type=to_arrow_type(kind))
+    ask = partial(_question_batches, order=order, shards=shards, hot=hot, id_type=to_arrow_type(kind))
     questions = numbered.mapInArrow(partial(ask, keep=False), "chunk bigint, part int, body binary")
     answers = questions.groupBy("part").applyInPandas(partial(_answer, hot=hot), "chunk bigint, part int, body binary")
     schema = _ROWS.format(id=kind.simpleString())
     kept = numbered.mapInArrow(partial(ask, keep=True), schema)
     together = kept.unionByName(answers, allowMissingColumns=True)
     out = f"id {kind.simpleString()}, held boolean, n_tokens bigint, n_known bigint, base double, score double, words bigint"
-    found = settle(together.groupBy("chunk").applyInPandas(partial(_sum_texts, tokens=tokens, ends=texts), out))
+    found = settle(together.groupBy("chunk").applyInPandas(partial(_sum_texts, order=order, shards=shards, hot=hot, tokens=tokens, ends=texts), out))
     distinct = int(found.agg(F.sum("words")).first()[0] or 0) + len(words) + int(texts > 0)
     spread = float(np.log10(tokens + distinct + 1))
     return found.filter("held is not null").select(
@@ -298,4 +341,4 @@ def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS)
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_texts(docs, held_out(F.col("doc_id"), FOLDS, FOLD))
+    return score_texts(docs, held_out(F.col("doc_id"), FOLDS, FOLD), order=ORDER)

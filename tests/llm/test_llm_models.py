@@ -164,6 +164,46 @@ def test_scores_equal_brute_force(spark, shard_tokens):
         assert r.held_out == (r.doc_id is not None and fold(r.doc_id, 7) == 2)
 
 
+def scores_of_order(rows, order):
+    """Interpolated absolute discounting by recursion over contexts of all lengths."""
+    after, alone = collections.defaultdict(collections.Counter), collections.Counter()
+    split = lambda t: [0, *(t or "").encode().lower().split(), None]
+    for doc_id, text in rows:
+        if doc_id is None or fold(doc_id, 7) != 2:
+            tokens = split(text)
+            for i in range(1, len(tokens)):
+                alone[tokens[i]] += 1
+                for k in range(1, min(order - 1, i) + 1):
+                    after[tuple(tokens[i - k : i])][tokens[i]] += 1
+    count = {context: sum(words.values()) for context, words in after.items()}
+    n = sum(alone.values())
+
+    def chance(context, word):
+        if not context:
+            return max(alone[word], 1) / (n + 1)
+        shorter = chance(context[1:], word)
+        if context not in count:
+            return shorter
+        return (max(after[context][word] - 0.75, 0) + 0.75 * len(after[context]) * shorter) / count[context]
+
+    for doc_id, text in rows:
+        tokens = split(text)
+        yield str(doc_id), len(tokens) - 1, sum(math.log10(chance(tuple(tokens[max(0, i - order + 1) : i]), tokens[i])) for i in range(1, len(tokens)))
+
+
+@pytest.mark.parametrize("shard_tokens, order", [(1 << 20, 3), (300, 3), (300, 4)])
+def test_scores_of_higher_orders_equal_brute_force(spark, shard_tokens, order):
+    rng = random.Random(8)
+    words = ["the"] * 12 + [f"w{i}" for i in range(20)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(120)] + ODD + [(7, "the w1 The")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = scoring.score_texts(df.repartition(3), scoring.held_out(F.col("doc_id"), 7, 2), shard_tokens, order=order).collect()
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in found)
+    for r, e in zip(got, sorted(scores_of_order(rows, order)), strict=True):
+        assert r[:2] == e[:2] and abs(r[2] - e[2]) < 1e-4 * order * r[1]
+    assert scoring.ORDER >= 3
+
+
 def test_scores_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert scoring.score_texts(empty, F.lit(False)).collect() == []
