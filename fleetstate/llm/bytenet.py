@@ -73,13 +73,19 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(windows: np.ndarray, y: np.ndarray, classes: int, steps: int = 900, batch: int = 128, rate: float = 4e-3, seed: int = 1) -> ByteNet:
-    """Adam on cross-entropy; classes are drawn evenly. Half of each batch is cut short, so that short texts are known."""
+    """Adam on cross-entropy; classes are drawn evenly. Half of each batch is cut short, so that short texts are known.
+
+    From batch / 2 classes on there are more steps, so that each is drawn 2 * steps times or more however many there are;
+    a batch draws some of the classes where it has no room for all.
+    """
+    steps = max(steps, -(-steps * 2 * classes // batch))
     net, r = ByteNet.new(classes, seed), np.random.default_rng(seed)
     mask = _mask().astype(np.float32)
     first, second = ([np.zeros_like(p) for p in net.parts()] for _ in range(2))
     places = [np.flatnonzero(y == c) for c in range(classes)]
     for step in range(1, steps + 1):
-        rows = np.concatenate([r.choice(p, -(-batch // classes)) for p in places])
+        drawn = places if classes <= batch else [places[c] for c in r.permutation(classes)[:batch]]
+        rows = np.concatenate([r.choice(p, -(-batch // classes)) for p in drawn])
         x, want = windows[rows].copy(), y[rows]
         stop = np.where(r.random(len(x)) < 0.5, r.integers(8, x.shape[1], len(x)), x.shape[1])
         x[np.arange(x.shape[1])[None, :] >= stop[:, None]] = 0

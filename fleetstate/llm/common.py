@@ -47,7 +47,17 @@ def first_by_hash(rows: DataFrame, by: str, sizes: dict, most: int) -> DataFrame
     """
     share = F.lit(1.0)
     for value, n in sizes.items():
-        share = F.when(F.col(by) == value, min(1.0, 1.5 * most / max(n, 1) + 1000 / max(n, 1))).otherwise(share)
+        share = F.when(F.col(by) == value, kept_share(n, most)).otherwise(share)
+    return first_under(rows, by, share, most)
+
+
+def kept_share(n: int, most: int) -> float:
+    """The share of hashes that about one and a half times `most` of n rows keep."""
+    return min(1.0, 1.5 * most / max(n, 1) + 1000 / max(n, 1))
+
+
+def first_under(rows: DataFrame, by: str, share: Column, most: int) -> DataFrame:
+    """As `first_by_hash`, with the share of hashes to sort as a column, for values too many to be listed in one."""
     place = F.xxhash64(F.lit(by), "doc_id")
     under = F.pmod(place, F.lit(1 << 30)) < share * float(1 << 30)
     order = Window.partitionBy(by).orderBy(F.pmod(place, F.lit(1 << 30)), "doc_id")

@@ -2,10 +2,11 @@
 
 A text is cut into windows of fixed length, each with the first bytes of the next so that nothing is lost at a cut; the
 network scores every window, and the text's scores are the means of its windows', by their length. Learned from a
-bounded sample of the labelled texts that are not held out, as many of each language as there are, up to a limit.
+bounded sample of the labelled texts that are not held out, as many of each language as there are, up to a limit that
+falls with the number of languages.
 
 `und`, with score 0, is the answer for a null text, a text without any letter, and for all texts if there is nothing to
-learn from. Rows of equal text get equal answers. Languages beyond the MOST_LANGUAGES most frequent are not learned.
+learn from. Rows of equal text get equal answers. Every language is learned, however many there are.
 Other columns are kept unless they bear a name of the result.
 """
 
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytenet import _REACH, WINDOW, ByteNet, softmax, train
-from .common import Chunk, chunks, first_by_hash, held_out, schema_with, table
+from .common import Chunk, chunks, first_under, held_out, kept_share, schema_with, table
 
-#: Bounds of the training sample: texts of a language, windows of a text, languages.
-TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 1500, 4, 200
+#: Bounds of the training sample: texts of a language, windows of a text, texts of all languages, but these of each at least.
+TEXTS_PER_LANGUAGE, WINDOWS_PER_TEXT, TEXTS, LEAST_TEXTS = 1500, 4, 300_000, 100
+#: Scores of windows, and of texts, held at once.
+SCORES = 1 << 22
 FOLDS = 5
 UNKNOWN = "und"
 
@@ -76,15 +79,16 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageMode
     """Learn from texts with a language that are not held out; at most `per_language` texts of each, first by hash."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, 0))
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"))
-    counted = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    sizes = {r["lang"]: r["n"] for r in counted.collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], None)
-    drawn = first_by_hash(known.filter(F.col("lang").isin(languages)), "lang", sizes, per_language)
-    place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
-    # At most MOST_LANGUAGES * per_language short rows are sent to the tasks, so that no text is shuffled.
-    drawn = drawn.select(F.col("doc_id").alias("id"), place.cast("int").alias("place")).dropDuplicates(["id"])
+    most = min(per_language, max(LEAST_TEXTS, TEXTS // len(languages)))
+    shares = [(x, i, kept_share(sizes[x], most)) for i, x in enumerate(languages)]
+    numbered = docs.sparkSession.createDataFrame(shares, "lang string, place int, share double")
+    drawn = first_under(known.join(F.broadcast(numbered), "lang"), "lang", F.col("share"), most)
+    # At most `most` short rows of each language are sent to the tasks, so that no text is shuffled.
+    drawn = drawn.select(F.col("doc_id").alias("id"), "place").dropDuplicates(["id"])
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("id"))
     rows = texts.select("text", "place").mapInArrow(_window_batches, "place int, bytes binary").collect()
     rows.sort(key=lambda r: (r["place"], bytes(r["bytes"])))  # the same model whatever the order of rows
@@ -103,12 +107,18 @@ def predict(model: LanguageModel, chunk: Chunk) -> tuple[list[str], np.ndarray]:
     if model.net is None:
         return [UNKNOWN] * n, np.zeros(n)
     windows, of, size = windows_of(chunk)
-    sums = np.zeros((n, len(model.languages)))
-    np.add.at(sums, of, model.net.logits(windows).astype(np.float64) * size[:, None])
-    shares = softmax(sums / np.maximum(np.diff(chunk.bounds), 1)[:, None])
-    best = shares.argmax(axis=1)
+    best, score, room = np.zeros(n, dtype=np.int64), np.zeros(n), max(1, SCORES // len(model.languages))
+    for lo in range(0, n, room):
+        sums = np.zeros((min(room, n - lo), len(model.languages)))
+        first, last = np.searchsorted(of, [lo, lo + room])
+        for at in range(first, last, room):
+            part = slice(at, min(at + room, last))
+            np.add.at(sums, of[part] - lo, model.net.logits(windows[part]).astype(np.float64) * size[part, None])
+        shares = softmax(sums / np.maximum(np.diff(chunk.bounds[lo : lo + len(sums) + 1]), 1)[:, None])
+        best[lo : lo + room] = shares.argmax(axis=1)
+        score[lo : lo + room] = shares.max(axis=1)
     names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist())]
-    return names, np.where(letters, shares[np.arange(n), best], 0.0)
+    return names, np.where(letters, score, 0.0)
 
 
 def _predict_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:

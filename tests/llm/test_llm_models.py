@@ -6,6 +6,7 @@ import collections
 import math
 import random
 import zlib
+from functools import partial
 
 import numpy as np
 import pytest
@@ -111,6 +112,20 @@ def test_language_without_anything_to_learn(spark):
     assert language.identify(docs.limit(0), language.fit(docs.limit(0))).collect() == []
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than a batch has rows, each with an alphabet of its own."""
+    monkeypatch.setattr(language, "train", partial(language.train, steps=300))
+    rng = random.Random(2)
+    text = lambda k: "".join(rng.choice([chr(0x4E00 + 64 * k + i) for i in range(4)]) for _ in range(40))
+    rows = [(i, text(i % 210), f"l{i % 210}") for i in range(210 * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    found = language.identify(docs.select("doc_id", "text"), model).collect()
+    truth = {r[0]: r[2] for r in rows}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in found]) > 0.9
+
+
 def test_elias_fano_equals_search():
     r = np.random.default_rng(3)
     for _ in range(120):
