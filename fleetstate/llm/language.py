@@ -63,6 +63,7 @@ def has_letter(chunk: Chunk) -> np.ndarray:
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each text that teach, one after the other."""
     for batch in batches:
         for chunk in chunks(batch.column("text")):
             windows, of, _ = windows_of(chunk)
@@ -71,14 +72,17 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             # Evenly spread over the whole text.
             step = -(-many // WINDOWS_PER_TEXT)
             take = np.flatnonzero(nth % np.maximum(step, 1)[of] == 0)
-            ids = batch.column("place").slice(chunk.rows.start, len(many)).take(pa.array(of[take]))
-            yield pa.record_batch([ids, pa.array([w.tobytes() for w in windows[take]], pa.binary())], names=["place", "bytes"])
+            ends = np.cumsum(np.bincount(of[take], minlength=len(many)))
+            body = [w.tobytes() for w in np.split(windows[take], ends[:-1])]
+            part = batch.slice(chunk.rows.start, len(many))
+            yield pa.record_batch([part.column("id"), part.column("place"), pa.array(body, pa.binary())], names=["id", "place", "bytes"])
 
 
 def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageModel:
     """Learn from texts with a language that are not held out; at most `per_language` texts of each, first by hash."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, 0))
-    known = known.select("doc_id", F.col("lang").cast("string").alias("lang"))
+    # Repeated rows of an id and language count once, so that no window or sample grows with them.
+    known = known.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct()
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
@@ -88,14 +92,19 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageMode
     numbered = docs.sparkSession.createDataFrame(shares, "lang string, place int, share double")
     drawn = first_under(known.join(F.broadcast(numbered), "lang"), "lang", F.col("share"), most)
     # At most `most` short rows of each language are sent to the tasks, so that no text is shuffled.
-    drawn = drawn.select(F.col("doc_id").alias("id"), "place").dropDuplicates(["id"])
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("id"))
-    rows = texts.select("text", "place").mapInArrow(_window_batches, "place int, bytes binary").collect()
-    rows.sort(key=lambda r: (r["place"], bytes(r["bytes"])))  # the same model whatever the order of rows
+    drawn = drawn.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "place")
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(drawn), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("label"))).select("id", "place", "text")
+    windows = texts.mapInArrow(_window_batches, schema_with(texts, ("text",), "bytes binary"))
+    # One row of an id and language, the same one whatever their order.
+    rows = windows.groupBy("id", "place").agg(F.min("bytes").alias("bytes")).select("place", "bytes").collect()
+    size = WINDOW + _REACH - 1
+    rows = [(r["place"], bytes(r["bytes"][i : i + size])) for r in rows for i in range(0, len(r["bytes"]), size)]
+    rows.sort()  # the same model whatever the order of rows
     if not rows:
         return LanguageModel([], None)
-    x = np.frombuffer(b"".join(bytes(r["bytes"]) for r in rows), dtype=np.uint8).reshape(len(rows), -1)
-    y = np.array([r["place"] for r in rows])
+    x = np.frombuffer(b"".join(w for _, w in rows), dtype=np.uint8).reshape(len(rows), -1)
+    y = np.array([place for place, _ in rows])
     learned = np.unique(y)
     return LanguageModel([languages[i] for i in learned], train(x, np.searchsorted(learned, y), len(learned)))
 

@@ -126,6 +126,16 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in found]) > 0.9
 
 
+def test_repeated_ids_teach_once_under_their_own_language(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda x, y, classes: seen.append([(bytes(w).rstrip(b"\0").decode(), int(c)) for w, c in zip(x, y)]))
+    ids = [i for i in range(20) if fold(i, 5)][:4]
+    rows = [(ids[0], "one", "a")] * 50 + [(ids[0], "none", None), (ids[0], "two", "b"), (ids[1], "three", "b"), (ids[2], None, "b")]
+    rows += [(ids[3], "x", "a"), (ids[3], "y", "a"), (None, "null", "a")]
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert seen == [[("one", 0), ("x", 0), ("three", 1), ("two", 1)]]
+
+
 def test_elias_fano_equals_search():
     r = np.random.default_rng(3)
     for _ in range(120):
