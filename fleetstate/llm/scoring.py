@@ -10,7 +10,7 @@ their first words. A shard adds up what all chunks send, lays its part of the mo
 each chunk, and answers in the order it was asked: counts of the first words, and quantised probabilities and weights. The
 parts of a sum P(w|uv) lie in the shards of u, v and w, so a chunk puts it together, and adds up its texts. Every word
 of a chunk comes before something, so the answers hold the counts of all its words. First words with a great share of all
-tokens are split over several shards by the second; a chunk asks all of these and adds up what they count.
+tokens, the start of a text too, are split over several shards by the second; a chunk asks all of these and adds up what they count.
 
 A null text is empty; an empty one has its end only. Repeated rows are texts of their own, and count twice in training.
 Without training texts all scores are 0. Words are told apart by 64 bits of hash. Other columns are ignored.
@@ -298,6 +298,16 @@ def _hot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _splits(often: list[tuple[int, int]], texts: int, tokens: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts with a great share of all tokens, rising, and over how many shards each is split: the frequent words, and the
+    start of a text, which comes before as many tokens as there are texts."""
+    if texts and texts >= HOT_SHARE * tokens:
+        often = [*often, (int(START), texts)]
+    often = sorted(often)
+    splits = [min(shards, 1 + int(n * shards / tokens * 2)) for _, n in often]
+    return np.array([w for w, _ in often], dtype=U64), np.array(splits, dtype=np.int64)
+
+
 def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS, order: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); texts that are `held` out teach nothing."""
     if order < 2:
@@ -312,9 +322,7 @@ def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS,
     shards = max(1, -(-tokens // shard_tokens))
     # By their share there are fewer than 2 / HOT_SHARE of these words, whatever the corpus.
     often = counted.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_SHARE * tokens)
-    often = sorted((int(U64(r["word"] % (1 << 64))), r["n"]) for r in often.collect())
-    words = np.array([w for w, _ in often], dtype=U64)
-    splits = np.array([min(shards, 1 + int(n * shards / tokens * 2)) for _, n in often], dtype=np.int64)
+    words, splits = _splits([(int(U64(r["word"] % (1 << 64))), r["n"]) for r in often.collect()], texts, tokens, shards)
     hot = docs.sparkSession.sparkContext.broadcast((words, splits))
 
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
@@ -326,7 +334,7 @@ def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS,
     together = kept.unionByName(answers, allowMissingColumns=True)
     out = f"id {kind.simpleString()}, held boolean, n_tokens bigint, n_known bigint, base double, score double, words bigint"
     found = settle(together.groupBy("chunk").applyInPandas(partial(_sum_texts, order=order, shards=shards, hot=hot, tokens=tokens, ends=texts), out))
-    distinct = int(found.agg(F.sum("words")).first()[0] or 0) + len(words) + int(texts > 0)
+    distinct = int(found.agg(F.sum("words")).first()[0] or 0) + int((words != START).sum()) + int(texts > 0)
     spread = float(np.log10(tokens + distinct + 1))
     return found.filter("held is not null").select(
         F.col("id").alias("doc_id"),

@@ -9,10 +9,12 @@ import zlib
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fleetstate.llm import boost, language, scoring, toxicity
+from fleetstate.llm.common import chunks
 from fleetstate.llm.eliasfano import EliasFano
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -229,6 +231,18 @@ def test_scores_of_higher_orders_equal_brute_force(spark, shard_tokens, order):
     assert scoring.ORDER >= 3
 
 
+def test_start_of_many_short_texts_is_split():
+    texts = [f"w{i} and w{i + 1}" for i in range(400)]
+    words, splits = scoring._splits([(9, 1200)], texts=len(texts), tokens=1600, shards=8)
+    assert words.tolist() == [9, int(scoring.START)] and splits.tolist() == [8, 5]
+    (chunk,) = chunks(pa.array(texts))
+    layout = scoring._Layout(chunk, 3, 8, words, splits)
+    pairs = layout.levels[0]
+    start = layout.names[layout.context[pairs.parent]] == scoring.START
+    assert start.sum() == 400 and np.bincount(pairs.shard[start], minlength=8).max() < 200
+    assert scoring._splits([], texts=1, tokens=1 << 20, shards=8)[0].tolist() == []
+
+
 def test_scores_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert scoring.score_texts(empty, F.lit(False)).collect() == []
