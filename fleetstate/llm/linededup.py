@@ -6,10 +6,10 @@ they are the same text but for spaces at their ends.
 
 How: of the lines of every window (the fewest lines from some line on that have `min_words` words, downwards or upwards)
 the one with the least hash is its fingerprint. Equal runs hold equal windows and so equal fingerprints; windows whose
-fingerprint stands in one place only are dropped. The others are the matches, extended both ways: every line of a
-repeated run of `min_words` words is in a downward or an upward window that lies in the run. All equal windows are
-compared with their first occurrence alone, so a passage that very many documents share costs one row per occurrence,
-not one per pair.
+fingerprint stands in one place only are dropped. The others are grouped by their whole content, not extended line by
+line, and those that are equal merged where they overlap: every line of a repeated run of `min_words` words is in a
+downward or an upward window that lies in the run. All equal windows are compared with their first occurrence alone, so
+a passage that very many documents share costs one row per occurrence, not one per pair.
 
 A null text stays null and has no lines; an empty one has one blank line. Blank lines are no part of a run and go with
 a deleted line above them. A null id counts as the least. Rows of equal id and equal text are one document and all get
