@@ -15,6 +15,7 @@ word is handled whole. Other columns are kept unless they bear a name of the res
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -193,19 +194,27 @@ class _Lattice:
 def _walk(vocab: Vocabulary, word: bytes, seed: int, place: int) -> list[int]:
     """Sample the pieces of one long word that starts at `place` of its text."""
     n, most = len(word), int(vocab.sizes[-1])
-    total = [0.0] + [-math.inf] * n
-    edges: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-    lead = [i for i in range(n) if word[i] & 0xC0 != 0x80] + [n]
-    for i, j in zip(lead, lead[1:]):
-        if word[i:j] not in vocab.of:
-            for k in range(i, j):
-                edges[k + 1].append((k, int(vocab.byte_ids[word[k]]), BYTE_WEIGHT))
-    for e in range(1, n + 1):
+    total = array("d", [-math.inf]) * (n + 1)
+    total[0] = 0.0
+    spelled = bytearray(n + 1)  # ends of the bytes of characters that are no piece
+    i = -1
+    for j in range(n + 1):
+        if j == n or word[j] & 0xC0 != 0x80:
+            if i >= 0 and word[i:j] not in vocab.of:
+                spelled[i + 1 : j + 1] = b"\1" * (j - i)
+            i = j
+
+    def edges(e: int) -> list[tuple[int, int, float]]:
+        # Looked up again for the draw, which visits few places: only the totals of all are kept.
+        found = [(e - 1, int(vocab.byte_ids[word[e - 1]]), BYTE_WEIGHT)] if spelled[e] else []
         for b in range(max(0, e - most), e):
             hit = vocab.of.get(word[b:e])
             if hit and total[b] > -math.inf:
-                edges[e].append((b, *hit))
-        ways = [total[b] + w for b, _, w in edges[e]]
+                found.append((b, *hit))
+        return found
+
+    for e in range(1, n + 1):
+        ways = [total[b] + w for b, _, w in edges(e)]
         top = max(ways, default=-math.inf)
         if top > -math.inf:
             total[e] = top + math.log(sum(math.exp(x - top) for x in ways))
@@ -213,7 +222,7 @@ def _walk(vocab: Vocabulary, word: bytes, seed: int, place: int) -> list[int]:
     out, e = [], n
     while e:
         left = u[e]
-        for b, piece, w in sorted(edges[e]):
+        for b, piece, w in sorted(edges(e)):
             left -= math.exp(total[b] + w - total[e])
             if left < 0:
                 break

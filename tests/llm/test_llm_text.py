@@ -6,6 +6,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -220,3 +221,13 @@ def test_pieces_are_lossless_and_reproducible(spark):
     other = pieces.encode(df, seed=1).collect()
     assert rows != sorted((str(r.doc_id), str(r.ids), r.n_pieces, r.lossless) for r in other)
     assert pieces.encode(df.limit(0)).collect() == []
+
+
+def test_a_long_word_takes_little_memory_a_byte(vocabulary):
+    rng = random.Random(5)
+    word = b"\x20" + "".join(rng.choice("abcdeéinorst漢") for _ in range(20_000)).encode()
+    tracemalloc.start()
+    found = pieces._walk(vocabulary, word, 7, 0)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found and peak < 100 * len(word)
