@@ -11,6 +11,7 @@ from .linededup import ORACLE_OP5, op5_line_dedup
 from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
 from .pii import op8_pii_surrogates
 from .pieces import op9_sentencepiece
+from .prefixes import op11_prefix_trie
 from .scoring import op10_lm_scoring
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_prefix_trie": op11_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
