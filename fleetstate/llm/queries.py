@@ -9,12 +9,14 @@ from .decontaminate import ORACLE_OP2, op2_benchmark_decontamination
 from .language import op6_language_id
 from .linededup import ORACLE_OP5, op5_line_dedup
 from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
+from .packing import op12_best_fit_packing
 from .pii import op8_pii_surrogates
 from .pieces import op9_sentencepiece
 from .prefixes import op11_prefix_trie
 from .scoring import op10_lm_scoring
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
+from .whitening import op13_embedding_whitening
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
