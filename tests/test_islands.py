@@ -9,10 +9,23 @@ from pyspark.sql import functions as F
 
 from fleetstate import Params, schema
 from fleetstate.operators import islands
+from fleetstate.operators.scan import in_ranges, running
 from fleetstate.operators.staging import stage_snapshots
 from fleetstate.plans import marts
 
 
+@pytest.fixture(params=[3, 37])
+def many_ranges(spark, request):
+    """Ranges that are not joined where they are small."""
+    settings = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 def outages(spark, rows, p=Params()):
     found = marts.downtime_events(stage_snapshots(raw(spark, rows), p), p)
     return [r.downtime_minutes for r in found.orderBy("ride_id", "downtime_started_at", "ride_name").collect()]
@@ -65,7 +78,7 @@ def test_renaming_splits_a_run(spark):
     assert outages(spark, rows) == [30, 15]
 
 
-def test_a_name_that_returns_is_the_same_outage(spark):
+def test_a_name_that_returns_is_the_same_outage(spark, many_ranges):
     """Names only group: a, b, a in one run of closed snapshots is two outages, not three, over days as well."""
     days = ["2024-01-03 20:00", "2024-01-03 21:00", "2024-01-04 10:00", "2024-01-05 10:00"]
     rows = [snap(at(day), False, name=name) for day, name in zip(days, "abab", strict=True)]
@@ -126,7 +139,7 @@ def by_hand(rows):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_joined_runs_equal_a_walk(spark, seed):
+def test_joined_runs_equal_a_walk(spark, many_ranges, seed):
     rows = random_rows(seed)
     groups, runs = by_hand(rows)
     staged = stage_snapshots(raw(spark, rows))
@@ -158,7 +171,7 @@ def test_ties_of_two_sources_are_ordered(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_copies_and_crowded_seconds_equal_a_walk(spark, seed):
+def test_copies_and_crowded_seconds_equal_a_walk(spark, many_ranges, seed):
     """A third of all rows is one snapshot many times over, in a second with others and with unknown statuses."""
     rng = random.Random(seed)
     hot = dt.datetime(2024, 1, 2, 12, 30)
@@ -190,12 +203,27 @@ def test_copies_and_crowded_seconds_equal_a_walk(spark, seed):
     )
 
 
-def test_copies_are_folded_before_any_sort(spark):
-    """One snapshot 10^5 times over is one row to every window, and one row per task to every shuffle."""
+def test_copies_of_one_snapshot_are_dealt_out(spark, many_ranges):
+    """One snapshot 10^5 times over lies in many ranges, is one outage and one group."""
     hot = spark.range(100_000, numPartitions=8).select(*[F.lit(v).alias(f.name) for v, f in zip(snap(TEN, False, 1), schema.SNAPSHOT)])
     staged = stage_snapshots(hot.select([F.col(f.name).cast(f.dataType) for f in schema.SNAPSHOT]).unionByName(raw(spark, history("O C", 2))))
-    folded = islands.fold_copies(staged).collect()
-    assert sorted(r.copies for r in folded) == [1, 1, 100_000]
+    slim = staged.select(F.col("ride_id").cast("long").alias("ride_key"), *islands.IN_ORDER)
+    sizes = [r["count"] for r in in_ranges(slim, "ride_key", *islands.IN_ORDER).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > many_ranges // 2 and max(sizes) < 2 * 100_000 / many_ranges
     assert sorted(r.closed_snapshot_count for r in islands.downtime_islands(staged).collect()) == [1, 100_000]
     spread = islands.status_groups(staged).filter("ride_id = 1")
     assert spread.agg(F.count(F.lit(1)), F.sum("is_status_change"), F.max("status_group")).first() == (100_000, 1, 1)
+
+
+def test_running_totals_equal_a_walk(spark, many_ranges):
+    rng = random.Random(11)
+    rows = [(rng.choice([1, 1, 1, 2, 9]), rng.choice([None, *range(40)]), rng.randrange(-5, 50), rng.getrandbits(60)) for _ in range(600)]
+    frame = spark.createDataFrame(rows, "k long, o long, v long, x long").repartition(5)
+    found = running(frame, "k", ["o", "v", "x"], sums=["v"], xors=["x"]).collect()
+    expected, before = [], {}
+    for k, o, v, x in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3])):
+        total, mixed = before.get(k, (0, 0))
+        before[k] = (total + v, mixed ^ x)
+        expected.append((k, -1 if o is None else o, v, x, *before[k]))
+    assert sorted(expected) == sorted((r.k, -1 if r.o is None else r.o, r.v, r.x, r.v_so_far, r.x_so_far) for r in found)
+    assert running(frame.limit(0), "k", ["o"], sums=["v"]).collect() == []

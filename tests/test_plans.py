@@ -40,26 +40,25 @@ def shuffle_keys(text: str) -> list[str]:
     return [re.sub(r"#\d+L?", "", k).rsplit(",", 1)[0] for k in keys]
 
 
-def test_no_window_is_keyed_on_the_ride_alone_before_runs_are_collapsed(staged):
+def test_snapshots_are_shuffled_once_by_range_of_ride_and_time(staged):
     events = marts.downtime_events(staged)
     events.collect()
     text = plan(events)
-    keys = shuffle_keys(text)
-    # Copies folded, runs of a second, of a day, and of the ride's edges.
-    assert keys[::-1][1:] == ["ride_key, tick", "ride_key, captured_date", "ride_key, own_date, own_run"]
-    assert keys[-1].startswith("ride_key, ride_name") and "captured_at" in keys[-1]
-    assert text.count("FileScan") == 1
+    (ranged,) = re.findall(r"Exchange rangepartitioning\(([^)]*)\)", text)
+    assert re.sub(r"#\d+L?", "", ranged).startswith("ride_key ASC NULLS FIRST, captured_at ASC")
+    # Runs, no more snapshots: those at an edge of a range meet by ride, the others have groups of their own.
+    assert shuffle_keys(text) == ["ride_key, own_slice, own_run"]
+    assert text.count("FileScan") == 1 and text.count("Window [") <= 2
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # The fold is summed up before its shuffle.
-    assert "partial_count(1)" in text
 
 
-def test_numbering_reads_the_snapshots_once(staged):
+def test_numbering_joins_one_row_a_range(staged):
     df = islands.status_groups(staged)
     df.collect()
     text = plan(df)
-    assert "ReusedExchange" in text
-    assert text.count("FileScan") == 1
+    # The numbered ranges were written once; what they owe each other is two windows over a row each.
+    assert "FileScan" not in text and "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+    assert text.count("Exchange hashpartitioning") <= 2 and "rangepartitioning" not in text
 
 
 def test_only_needed_columns_are_read(staged):
