@@ -10,8 +10,8 @@ give. The n-th piece of a length has its sequence and place by arithmetic: no pi
 groups. Places of pieces are counted per partition, and the counts of the partitions before come from a small table.
 
 Null text is empty: a document of the end token alone. Rows are documents of their own, also where they share an id or a
-text. A text is encoded whole, word by word between ASCII white space (which the vocabulary drops and no token crosses); a run without white
-space is encoded in one go. Other columns are ignored. An empty table gives no sequences.
+text. A text is encoded whole, by words that no token of the vocabulary crosses; a run of letters is encoded in one go,
+however long. Other columns are ignored. An empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACED, chunks, mix, settle, span_hashes, table
+from .common import LOWER, chunks, mix, settle, span_hashes, table
 
 SIZE, END = 2048, 0
 #: Words and tokens that a task remembers; then it starts afresh.
@@ -39,8 +39,48 @@ SENT_ROWS = 1 << 20
 _U64 = np.uint64
 
 
+# Classes of bytes: white space, ASCII letters, ASCII digits, other ASCII, the apostrophe, and bytes beyond ASCII.
+_CLASS = np.full(256, 5, dtype=np.int8)
+_CLASS[:128] = 3
+for _bytes, _kind in ((b"\t\n\x0b\x0c\r ", 0), (bytes([*range(65, 91), *range(97, 123)]), 1), (b"0123456789", 2), (b"'", 4)):
+    _CLASS[list(_bytes)] = _kind
+# No token crosses from one class to another, but for marks that may combine with what is before them (beyond ASCII) and
+# for what may follow an apostrophe. [i, j]: whether a word begins at a byte of class j after one of class i.
+_BEGINS = np.zeros((6, 6), dtype=bool)
+_BEGINS[0, 1:] = True
+for _i, _j in ((1, 2), (2, 1), (1, 3), (1, 4), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)):
+    _BEGINS[_i, _j] = True
+_BEGINS = _BEGINS.ravel()
+
+
+def words(data: np.ndarray, bounds: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of runs of bytes that are encoded on their own, and for each text the number of runs before it.
+
+    `whole`: only white space separates.
+    """
+    kind = _CLASS[data]
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    inside = kind > 0
+    edges = bounds[:-1][bounds[:-1] < len(data)]
+    begins[1:-1] = inside[1:] & ~inside[:-1] if whole else _BEGINS[kind[:-1] * 6 + kind[1:]]
+    begins[edges] = inside[edges]
+    stops = begins.copy()
+    stops[:-1] |= ~inside
+    stops[bounds] = True
+    starts = np.flatnonzero(begins)
+    ends = np.flatnonzero(inside & stops[1:]) + 1
+    return starts, ends, np.searchsorted(starts, bounds)
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """ASCII capitals in small letters, but where a mark beyond ASCII follows: the vocabulary composes before it lowers."""
+    plain = np.append(data[1:] < 128, True)
+    return np.where(plain, LOWER[data], data)
+
+
 class Encoder:
-    """Token ids of texts by a vocabulary whose tokens never cross white space: every different word is encoded once."""
+    """Token ids of texts by a vocabulary of small letters whose tokens cross neither white space nor kinds of characters:
+    every different word is encoded once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,6 +89,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         #: Bytes that hold any id.
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.final[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -56,64 +100,96 @@ class Encoder:
         self.at, self.many = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         self.ids = np.empty(0, dtype=np.uint32)
 
-    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words one after the other, and how many each has."""
-        ids, many = [np.empty(0, dtype=np.uint32)], []
-        for lo in range(0, len(starts), 4096):
-            words = [data[a:b].tobytes().decode() for a, b in zip(starts[lo : lo + 4096], ends[lo : lo + 4096])]
-            for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
-                ids.append(np.array(found.ids, dtype=np.uint32))
-                many.append(len(ids[-1]))
-        return np.concatenate(ids), np.array(many, dtype=np.int64)
-
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in order, and how many each has."""
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Some ids, and for each word where its own begin in them and how many it has."""
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+        alpha = np.fromiter(map(str.isalpha, texts), dtype=bool, count=len(texts))
+        at, many, pool, size = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64), [], 0
+        # Words of letters are one run each, so that many are encoded as one text; the last token of each is marked.
+        rest, letters = [np.flatnonzero(~alpha)], np.flatnonzero(alpha)
+        for lo in range(0, len(letters), 4096):
+            some = letters[lo : lo + 4096]
+            (one,) = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in some])], add_special_tokens=False)
+            tokens = np.array(one.ids, dtype=np.uint32)
+            stops = np.flatnonzero(self.final[tokens]) + 1
+            if len(stops) != len(some):
+                rest.append(some)
+                continue
+            many[some] = np.diff(stops, prepend=0)
+            at[some] = size + stops - many[some]
+            pool.append(tokens)
+            size += len(tokens)
+        rest = np.concatenate(rest)
+        for lo in range(0, len(rest), 4096):
+            some = rest[lo : lo + 4096]
+            for i, one in zip(some, self.tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)):
+                pool.append(np.array(one.ids, dtype=np.uint32))
+                at[i], many[i] = size, len(pool[-1])
+                size += len(pool[-1])
+        return np.concatenate([np.empty(0, dtype=np.uint32), *pool]), at, many
+
+    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and the number of ids before each text (one more at the end)."""
+        small = lower(data)
+        raw = small.tobytes()
+        whole = any(mark in raw for mark in self.special)  # the string of a special token in some text
+        small = data if whole else small
+        starts, ends, at = words(small, bounds, whole)
+        ids, many = self._words(small, starts, ends)
+        return ids, np.concatenate([[0], np.cumsum(many)])[at]
+
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(starts):
+            return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
         if len(self.key) > CACHED_WORDS or len(self.ids) > CACHED_TOKENS:
             self.forget()
         key, check = span_hashes(data, starts, ends), _check(data, starts, ends)
-        new, first = np.unique(key, return_index=True)
+        new, first, word = np.unique(key, return_index=True, return_inverse=True)
         place = np.searchsorted(self.key, new)
         known = place < len(self.key)
         known[known] = self.key[place[known]] == new[known]
-        new, first, place = new[~known], first[~known], place[~known]
-        if len(new):
-            ids, many = self._encode(data, starts[first], ends[first])
-            at = len(self.ids) + np.cumsum(many) - many
+        if not known.all():
+            missing, first, fresh = new[~known], first[~known], place[~known]
+            ids, at, many = self._encode(data, starts[first], ends[first])
+            self.key, self.check = np.insert(self.key, fresh, missing), np.insert(self.check, fresh, check[first])
+            self.at, self.many = np.insert(self.at, fresh, len(self.ids) + at), np.insert(self.many, fresh, many)
             self.ids = np.concatenate([self.ids, ids])
-            self.key, self.check = np.insert(self.key, place, new), np.insert(self.check, place, check[first])
-            self.at, self.many = np.insert(self.at, place, at), np.insert(self.many, place, many)
-        word = np.searchsorted(self.key, key)
-        at, many, pool = self.at[word], self.many[word], self.ids
-        other = np.flatnonzero(self.check[word] != check)
+            place = place + np.cumsum(~known) - ~known
+        at, many, pool = self.at[place][word], self.many[place][word], self.ids
+        other = np.flatnonzero(self.check[place][word] != check)
         if len(other):  # another word of the same hash
-            ids, own = self._encode(data, starts[other], ends[other])
-            at[other], many[other] = len(pool) + np.cumsum(own) - own, own
+            ids, own, length = self._encode(data, starts[other], ends[other])
+            at[other], many[other] = len(pool) + own, length
             pool = np.concatenate([pool, ids])
         stop = np.cumsum(many)
-        return pool[np.repeat(at - (stop - many), many) + np.arange(int(stop[-1]) if len(stop) else 0)], many
+        return pool[np.repeat(at - (stop - many), many) + np.arange(int(stop[-1]))], many
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def _check(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Length, first and last eight bytes of words, mixed: a second hash that shares nothing with the first."""
-    out = (ends - starts).astype(_U64)
-    for side in (0, 1):
-        part = np.zeros(len(starts), dtype=_U64)
-        for j in range(8):
-            at = starts + j if side == 0 else ends - 1 - j
-            inside = (at >= starts) & (at < ends)
-            part |= np.where(inside, data[np.where(inside, at, starts)], 0).astype(_U64) << _U64(8 * j)
-        out = mix(out ^ part)
-    return out
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    masks = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=_U64)
+    short = np.minimum(size, 8)
+    head = eight[starts] & masks[short]
+    return mix(head ^ mix(eight[ends - short] & masks[short]) ^ size.astype(_U64))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Pieces of documents, with the number of this partition and their place among its pieces of the same length."""
-    encode, number = Encoder(path), TaskContext.get().partitionId()
+    encode, number = encoder(path), TaskContext.get().partitionId()
     seen = np.zeros(size + 1, dtype=np.int64)
     for batch in batches:
         for chunk in chunks(batch.column("text"), lower=False):
-            ids, many = encode(chunk.data, *(words := chunk.words(SPACED))[:2])
-            bounds = np.concatenate([[0], np.cumsum(many)])[words[2]]
+            ids, bounds = encode(chunk.data, chunk.bounds)
             ids = np.insert(ids, bounds[1:], end)
             tokens = np.diff(bounds) + 1
             pieces = -(-tokens // size)
@@ -245,7 +321,7 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, end: int =
     before = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     if counts.count() <= SENT_ROWS:
         before = F.broadcast(before)
-    place = partial(_place, plan=spark.sparkContext.broadcast(plan), width=Encoder(path).width)
+    place = partial(_place, plan=spark.sparkContext.broadcast(plan), width=encoder(path).width)
     return pieces.join(before, ["part", "length"]).select("doc_id", "piece", "start", "length", "body", "nth", "before").mapInArrow(
         place, f"{names}, ids array<int>, sequence_id bigint, offset bigint"
     )

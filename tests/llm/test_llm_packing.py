@@ -12,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from fleetstate.llm import packing
+from fleetstate.llm.common import chunks
 from fleetstate.llm.packing import Encoder, combinations, fullest, op12_best_fit_packing, pack, sequences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,27 +60,30 @@ def test_combinations_use_all_pieces_and_each_is_the_fullest_left():
         assert not any(left.values())
 
 
-def test_encoder_equals_the_tokenizer(tokenizer):
+def encoded(encode, texts, most):
     import pyarrow as pa
 
-    from fleetstate.llm.common import SPACED, chunks
+    out = []
+    for chunk in chunks(pa.array(texts), lower=False, most=most):
+        ids, bounds = encode(chunk.data, chunk.bounds)
+        out += [[*ids[a:b].tolist(), 0] for a, b in zip(bounds[:-1], bounds[1:])]
+    return out
+
 
-    texts = [*ODD, *ODD[:3], "again it's the dog's"]
-    encode = Encoder(PATH)
-    for _ in range(2):
-        for chunk in chunks(pa.array(texts), lower=False, most=300):
-            starts, ends, at = chunk.words(SPACED)
-            ids, many = encode(chunk.data, starts, ends)
-            stops = np.concatenate([[0], np.cumsum(many)])[at]
-            for i, text in enumerate(texts[chunk.rows]):
-                assert [*ids[stops[i] : stops[i + 1]].tolist(), 0] == expected(tokenizer, text)
+def test_encoder_equals_the_tokenizer(tokenizer):
+    rng = random.Random(8)
+    signs = ["a", "B", "s", "t", "'", "'", "1", ".", "-", "<", "|", ">", " ", "\n", "é", "H̱", "H", "\u0331", "\u0338", "\u0301", "İ", "İ", "—", "你", "\xa0", "\u2003", "K", "ﬁ"]
+    texts = [*ODD, *ODD[:3], "again it's the dog's", "<|ENDOFTEXT|> x", "DON'T we'Ll 'S''s x'1's"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    encode, want = Encoder(PATH), [expected(tokenizer, t) for t in texts]
+    for most in (300, 1 << 20):
+        assert encoded(encode, texts, most) == want
 
 
 def test_words_of_one_hash_are_told_apart(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "span_hashes", lambda data, starts, ends: np.ones(len(starts), dtype=np.uint64))
-    data = np.frombuffer(b"alpha beta alpha gamma", dtype=np.uint8)
-    ids, many = Encoder(PATH)(data, np.array([0, 6, 11, 17]), np.array([5, 10, 16, 22]))
-    assert ids.tolist() == tokenizer.encode("alpha beta alpha gamma", add_special_tokens=False).ids
+    texts = ["alpha beta alpha gamma", "beta, beta"]
+    assert encoded(Encoder(PATH), texts, 1000) == [expected(tokenizer, t) for t in texts]
 
 
 def check(rows, texts: dict, tokenizer, size: int):
