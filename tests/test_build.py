@@ -8,9 +8,10 @@ import pytest
 from fixtures import TEN, history, raw, snap
 from pyspark.sql import functions as F
 
-from fleetstate.plans import build, quality, reports
+from fleetstate import schema
+from fleetstate.plans import audit, build, quality, reports
 from fleetstate.session import RECOMMENDED, shared_base, work_folder
-from fleetstate.sources import daystore
+from fleetstate.sources import daystore, tables
 from fleetstate.sources.snapshots import prefer_live, split_by_source
 from fleetstate.sources.tables import load_table, write_csv
 
@@ -36,12 +37,12 @@ def test_live_wins(spark):
 
 
 def test_build_writes_marts_and_passes_the_gate(spark, folders):
-    tables = build.build(spark, *folders)
+    built = build.build(spark, *folders)
     assert [r.ride_id for r in spark.table("main_marts.dim_rides").collect()] == [1]
     event = spark.table("main_marts.fct_downtime_events").first()
     assert (event.ride_id, event.downtime_minutes) == (1, 30)
     assert spark.table("raw.wait_time_snapshots").count() == spark.table("stg_snapshots").count() == 4
-    assert tables["agg_park_daily"].first().park_uptime_pct == 50.0
+    assert built["agg_park_daily"].first().park_uptime_pct == 50.0
     # Again, now with the seed: a full refresh.
     build.build(spark, *folders, include_seed=True)
     assert spark.table("main_marts.dim_rides").count() == 2
@@ -51,7 +52,7 @@ def test_build_writes_marts_and_passes_the_gate(spark, folders):
 
 def test_nothing_to_load_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
-        build.load_raw(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+        build.build(spark, str(tmp_path / "a"), str(tmp_path / "b"))
 
 
 def test_gate_fails_the_build(spark):
@@ -60,6 +61,96 @@ def test_gate_fails_the_build(spark):
         build.build_marts(raw(spark, rows), schema="bad_marts")
 
 
+PUBLIC = ["raw.wait_time_snapshots", "main_marts.dim_rides", "main_marts.fct_downtime_events", "main_marts.agg_ride_daily", "main_marts.agg_park_daily"]
+
+
+def published(spark):
+    return {name: sorted(map(str, spark.table(name).collect())) for name in PUBLIC}
+
+
+def staged_runs(spark, schema="main_marts"):
+    return [r[0] for r in spark.sql(f"SHOW SCHEMAS LIKE '{schema}__r*'").collect()]
+
+
+def test_failed_check_leaves_all_tables_as_they_were(spark, folders):
+    live, seed = folders
+    build.build(spark, live, seed)
+    before, reader = published(spark), spark.table("main_marts.dim_rides")
+    store(spark, live, history("C C C", 3) + [snap(TEN, None, 4)])
+    with pytest.raises(quality.QualityError, match="K3 "):
+        build.build(spark, live, seed)
+    assert published(spark) == before and len(reader.collect()) == 1
+    # What the checks found can be read in the schema of the failed run.
+    (failed,) = [r for r in staged_runs(spark) if not spark.catalog.tableExists(f"{r}.release_ready")]
+    assert spark.table(f"{failed}.dq_summary").filter("check_id = 'K3'").first().failing_rows == 1
+    store(spark, live, history("C C C", 3))
+    build.build(spark, live, seed)
+    assert [r.ride_id for r in spark.table("main_marts.dim_rides").collect()] == [3]
+    # A query planned before still has its files; older and failed runs are gone.
+    assert len(reader.collect()) == 1 and failed not in staged_runs(spark) and len(staged_runs(spark)) == 2
+
+
+@pytest.mark.parametrize("dies_at", ["mark", "view"])
+def test_run_that_dies_while_it_publishes(spark, folders, monkeypatch, dies_at):
+    live, seed = folders
+    build.build(spark, live, seed)
+    before = published(spark)
+    store(spark, live, history("C C C O", 7))
+    real = tables.finish
+
+    def dies(spark, schema):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patch:
+        if dies_at == "view":
+            # All is marked, no name is moved yet.
+            patch.setattr(tables, "finish", dies)
+            patch.setattr(build, "finish", lambda *_: None)
+        else:
+            # Marked in one schema only.
+            patch.setattr(tables.Release, "publish", lambda release: (release.saved.pop("main_marts.dim_rides"), dies(None, None)))
+        with pytest.raises(RuntimeError, match="lost driver"):
+            build.build(spark, live, seed)
+    assert published(spark) == before
+    for schema in ("raw", "main_marts"):
+        real(spark, schema)
+    rides = [r.ride_id for r in spark.table("main_marts.dim_rides").collect()]
+    assert rides == ([7] if dies_at == "view" else [1])
+    assert {r.ride_id for r in spark.table("raw.wait_time_snapshots").collect()} == set(rides)
+
+
+def test_load_is_reported_from_the_write(spark, folders, monkeypatch, caplog):
+    live, seed = folders
+    store(spark, live, history("O C C O", 1, wait=30) + [snap(TEN, True, 9, source="other"), snap(TEN, True, 8, source=None)])
+    reads, real = spark.sparkContext.accumulator(0), build.read_snapshots
+
+    def seen(wait):
+        reads.add(1)
+        return wait
+
+    def read(spark, path):
+        return real(spark, path).withColumn("wait_time_minutes", F.udf(seen, "int")("wait_time_minutes"))
+
+    monkeypatch.setattr(build, "read_snapshots", read)
+    with caplog.at_level("INFO"):
+        load = build.build(spark, live, seed).load
+    assert reads.value == 6
+    raw_table = spark.table("raw.wait_time_snapshots")
+    assert (load.row_count, load.first_captured_at, load.last_captured_at) == tuple(audit.load_span(raw_table).first())
+    assert list(load.sources.values()) == [4, 1, 1] and load.sources == {r.data_source: r.n for r in audit.load_sources(raw_table).collect()}
+    assert load.seed_ignored and "the seed was not loaded" in caplog.text
+    both = build.build(spark, live, seed, include_seed=True).load
+    assert not both.seed_ignored and both.row_count == 10 and both.sources["synthetic"] == 4
+    assert not build.build(spark, live + "/none", seed).load.seed_ignored
+
+
+def test_raw_files_hold_one_date_each(spark, folders):
+    build.build(spark, *folders)
+    files = spark.table("raw.wait_time_snapshots").inputFiles()
+    assert files and all("captured_date=" in f for f in files)
+    assert spark.table("raw.wait_time_snapshots").columns == schema.SNAPSHOT.names
+
+
 def test_missing_table_is_an_empty_frame(spark):
     missing = load_table(spark, "main_marts.no_such_table")
     assert missing.columns == [] and missing.isEmpty()
