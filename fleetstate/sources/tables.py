@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Table of a run's own schema that says that all its tables are written and checked.
+# View in a run's own schema: its tables and their columns. It is there once all of them are written and checked.
 _READY = "release_ready"
 
 
@@ -49,9 +49,9 @@ class Release:
             by_schema.setdefault(name.split(".")[0], []).append(name)
         together = ",".join(f"{schema}__{self.run}" for schema in by_schema)
         for schema, names in by_schema.items():
-            rows = [(together, name.split(".")[1], i, column) for name in names for i, column in enumerate(self.saved[name])]
-            marks = self.spark.createDataFrame(rows, "together string, table_name string, place int, column_name string")
-            marks.coalesce(1).write.saveAsTable(f"{schema}__{self.run}.{_READY}")
+            rows = [f"('{together}', '{n.split('.')[1]}', {i}, '{column}')" for n in names for i, column in enumerate(self.saved[n])]
+            made = f"SELECT * FROM VALUES {', '.join(rows)} AS t(together, table_name, place, column_name)"
+            self.spark.sql(f"CREATE VIEW {schema}__{self.run}.{_READY} AS {made}")
         for schema in by_schema:
             finish(self.spark, schema)
 
