@@ -59,15 +59,6 @@ def shared_base(master: str, folder: str | None, checkpoint_dir: str | None, war
     return checkpoint_dir
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put folder `source` in the place of `target`."""
-    fs, jtarget = hadoop_path(spark, target)
-    fs.delete(jtarget, True)
-    fs.mkdirs(jtarget.getParent())
-    if not fs.rename(hadoop_path(spark, source)[1], jtarget):
-        raise OSError(f"could not move {source} to {target}")
-
-
 @contextmanager
 def work_folder(spark: SparkSession, folder: str | None = None):
     """A folder of this run's own that every executor can reach, gone when the block ends; see `shared_base`."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from fleetstate.functions.calendar import floor_second
 from fleetstate.functions.numeric import to_number
 from fleetstate.params import LIVE_SOURCE, TARGET_PARKS
 
+log = logging.getLogger(__name__)
+
 # Fixed value: the land of a ride that has none.
 NO_LAND = "Uncategorized"
 # What counts as blank around a park name.
@@ -117,8 +120,12 @@ def unresolved_parks(catalogues: DataFrame, names: Sequence[str] = TARGET_PARKS)
 
 
 def require_parks(catalogues: DataFrame, names: Sequence[str] = TARGET_PARKS) -> dict[str, int]:
-    """Resolved parks as name -> id, in the order asked for. Fails when there is none at all."""
+    """Resolved parks as name -> id, in the order asked for. Names that are not listed are reported; it fails when there is
+    none at all."""
     found = {row.park_name: row.park_id for row in resolve_parks(catalogues, names).collect()}
+    for name in names:
+        if name not in found:
+            log.warning("park %r is not in the catalogue, skipped", name)
     if not found:
         raise RuntimeError("no target parks could be resolved from the catalogue")
     return {name: found[name] for name in names if name in found}

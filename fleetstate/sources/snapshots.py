@@ -15,6 +15,7 @@ from fleetstate.functions.calendar import from_epoch_nanos, utc_wall_clock
 from fleetstate.functions.numeric import to_whole
 from fleetstate.params import SEED_SOURCE
 from fleetstate.session import list_files
+from fleetstate.sources import daystore
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -40,10 +41,12 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
         files = list_files(spark, path)
         return _read_day_files(spark, files) if files else spark.createDataFrame([], schema.SNAPSHOT)
     files = list_files(spark, f"{path.rstrip('/')}/snapshots_*.parquet")
+    days = list_files(spark, f"{path.rstrip('/')}/{daystore.DAY}=*")
+    if daystore.is_store(spark, path) or days:
+        stored = conform(daystore.read_days(spark, path))
+        return _read_day_files(spark, files).unionByName(stored) if files else stored
     if files:
-        days = list_files(spark, f"{path.rstrip('/')}/captured_date=*")
-        found = _read_day_files(spark, files)
-        return found.unionByName(conform(spark.read.parquet(*days))) if days else found
+        return _read_day_files(spark, files)
     try:
         return conform(spark.read.parquet(path))
     except AnalysisException as error:

@@ -113,58 +113,91 @@ def stored(spark, path):
     return [(r.captured_at, r.ride_id, r.is_open, r.wait_time_minutes) for r in rows]
 
 
+def versions(path):
+    return sorted(p.name for p in path.glob("version=*"))
+
+
 def test_day_store(spark, tmp_path):
-    path = str(tmp_path / "raw")
+    path, folder = str(tmp_path / "raw"), tmp_path / "raw"
     next_day = TEN + dt.timedelta(days=1)
-    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(next_day, True, 1, 6)]), path)
-    day_one = path + "/captured_date=2024-01-03"
-    files = sorted(p.name for p in (tmp_path / "raw" / "captured_date=2024-01-03").glob("*.parquet"))
-    assert files and path_exists(spark, day_one)
-
+    assert daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(next_day, True, 1, 6)]), path) == 2
+    assert versions(folder) == ["version=0000000001-add"]
     again = [snap(next_day, False, 1, 7), snap(next_day, True, 2, None)]
+    everything = [(TEN, 1, True, 5), (next_day, 1, False, 7), (next_day, 2, True, None)]
     for _ in range(2):
         daystore.merge_days(captures(spark, again), path)
-        assert stored(spark, path) == [(TEN, 1, True, 5), (next_day, 1, False, 7), (next_day, 2, True, None)]
-    # The day that was not touched was not rewritten, and nothing is left pending.
-    assert files == sorted(p.name for p in (tmp_path / "raw" / "captured_date=2024-01-03").glob("*.parquet"))
-    assert not (tmp_path / "raw" / "_pending").exists()
+        assert stored(spark, path) == everything
+    # Only what was captured was written, and nothing is left aside.
+    assert [p.name for p in folder.glob("version=0000000003-add/captured_date=*")] == ["captured_date=2024-01-04"]
+    assert not (folder / "_staged").exists()
+    # One day lay in several versions. A reader who began before finds its files, and they go with the next compaction.
+    reader = read_snapshots(spark, path)
+    assert daystore.compact(spark, path) == 1 and stored(spark, path) == everything
+    assert versions(folder)[-1] == "version=0000000004-days" and reader.count() == 3
+    assert daystore.compact(spark, path) == 0 and stored(spark, path) == everything
+    left = sorted(p.relative_to(folder).as_posix() for p in folder.glob("version=*/captured_date=*"))
+    assert left == ["version=0000000001-add/captured_date=2024-01-03", "version=0000000004-days/captured_date=2024-01-04"]
+    daystore.merge_days(captures(spark, [snap(next_day, True, 1, 9)]), path)
+    assert stored(spark, path) == [(TEN, 1, True, 5), (next_day, 1, True, 9), (next_day, 2, True, None)]
+
+
+def size(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_a_capture_writes_no_more_on_a_big_day(spark, tmp_path):
+    path, folder = str(tmp_path / "raw"), tmp_path / "raw"
+    daystore.merge_days(captures(spark, [snap(TEN, True, 10_000, 1)]), path)
+    small = size(folder)
+    day = spark.range(50_000).select(*[F.lit(v).alias(f.name) for v, f in zip(snap(TEN, True, 1, 5.0), schema.CAPTURE)], "id")
+    day = day.withColumn("ride_id", F.col("id").cast("int")).drop("id")
+    daystore.merge_days(day.select([F.col(f.name).cast(f.dataType) for f in schema.CAPTURE]), path)
+    before = size(folder)
+    daystore.merge_days(captures(spark, [snap(TEN, True, 10_000, 2)]), path)
+    assert before > 20 * small and size(folder) - before < 2 * small
+    assert read_snapshots(spark, path).count() == 50_000
+
+
+def test_days_of_before_there_were_versions(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    old = captures(spark, [snap(TEN, True, 1, 5), snap(TEN, True, 2, 5)]).withColumn("captured_date", F.to_date("captured_at"))
+    old.write.partitionBy("captured_date").parquet(path)
+    assert [r[1] for r in stored(spark, path)] == [1, 2]
+    daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path)
+    assert stored(spark, path) == [(TEN, 1, False, 9), (TEN, 2, True, 5)]
+    for _ in range(2):
+        daystore.compact(spark, path)
+        assert stored(spark, path) == [(TEN, 1, False, 9), (TEN, 2, True, 5)]
+    assert not list((tmp_path / "raw").glob("captured_date=*"))
 
 
 def test_nothing_captured_writes_nothing(spark, tmp_path):
     path = str(tmp_path / "raw")
-    daystore.merge_days(captures(spark, []), path)
+    assert daystore.merge_days(captures(spark, []), path) == 0
     assert not path_exists(spark, path)
     assert read_snapshots(spark, path).collect() == []
 
 
 @pytest.mark.parametrize("next_capture", [[snap(TEN, False, 1, 9)], [snap(TEN, True, 3, 1)], []])
-def test_interrupted_merge_is_made_good_by_the_next(spark, tmp_path, monkeypatch, next_capture):
+@pytest.mark.parametrize("write", [daystore.merge_days, daystore.write_days, lambda df, path: daystore.compact(df.sparkSession, path)])
+def test_a_write_that_dies_leaves_the_store(spark, tmp_path, monkeypatch, next_capture, write):
     path = str(tmp_path / "raw")
-    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5), snap(TEN, True, 2, 5)]), path)
-    real = daystore.move_folder
+    for ride in (1, 2):
+        daystore.merge_days(captures(spark, [snap(TEN, True, ride, 5)]), path)
+    before = stored(spark, path)
 
-    def dies_before_publishing(spark, source, target):
-        # As bad as it gets: the old day is gone and the new one not in place.
-        daystore.delete_path(spark, target)
+    def dies(spark, staged, version):
         raise RuntimeError("lost driver")
 
-    monkeypatch.setattr(daystore, "move_folder", dies_before_publishing)
-    with pytest.raises(RuntimeError, match="lost driver"):
-        daystore.merge_days(captures(spark, [snap(TEN, False, 1, 9)]), path)
-    monkeypatch.setattr(daystore, "move_folder", real)
-    assert stored(spark, path) == []
+    with monkeypatch.context() as patch:
+        patch.setattr(daystore, "_move_in", dies)
+        with pytest.raises(RuntimeError, match="lost driver"):
+            write(captures(spark, [snap(TEN, False, 1, 9)]), path)
+    # All was written aside, nothing moved in: a reader sees the old store, and the next write starts anew.
+    assert (tmp_path / "raw" / "_staged").exists() and stored(spark, path) == before
     daystore.merge_days(captures(spark, next_capture), path)
-    extra = [(TEN, 3, True, 1)] if next_capture and next_capture[0][4] == 3 else []
-    assert stored(spark, path) == [(TEN, 1, False, 9), (TEN, 2, True, 5), *extra]
-
-
-def test_incomplete_pending_days_are_dropped(spark, tmp_path):
-    path = str(tmp_path / "raw")
-    daystore.merge_days(captures(spark, [snap(TEN, True, 1, 5)]), path)
-    daystore.write_days(captures(spark, [snap(TEN, False, 1, 9)]), path + "/_pending")
-    (tmp_path / "raw" / "_pending" / "_SUCCESS").unlink()
-    daystore.merge_days(captures(spark, [snap(TEN, True, 2, 5)]), path)
-    assert stored(spark, path) == [(TEN, 1, True, 5), (TEN, 2, True, 5)]
+    assert not (tmp_path / "raw" / "_staged").exists()
+    assert stored(spark, path) == sorted({r[1]: r for r in [*before, *((r[0], r[4], r[6], r[7]) for r in next_capture)]}.values())
 
 
 def test_write_days_clears_the_store(spark, tmp_path):
@@ -333,3 +366,16 @@ def test_stream_keeps_to_the_parks_and_reports_what_it_cannot_use(spark, tmp_pat
     assert [(r.park_id, r.ride_id) for r in rows] == [(6, 1)]
     assert [r.payload for r in spark.read.json(rejects + "/answers").collect()] == ["{broken"]
     assert [r.ride_id for r in spark.read.json(rejects + "/rides").collect()] == ["x"]
+    (batch,) = spark.read.json(rejects + "/batches").collect()
+    assert (batch.answers, batch.unusable, batch.captures) == (2, 1, 1)
+
+
+def test_what_cannot_be_used_is_said(spark, tmp_path, caplog):
+    parks = catalogue(spark, [{"parks": [{"id": 1, "name": "A"}]}])
+    payloads.require_parks(parks, ["A", "Nowhere"])
+    assert "'Nowhere' is not in the catalogue" in caplog.text
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "broken.json").write_text(json.dumps({"captured_at": TEN.isoformat(), "park_id": 6, "park_name": "A", "payload": "{"}) + "\n")
+    land_captures(spark, str(folder), str(tmp_path / "raw"), str(tmp_path / "check")).awaitTermination()
+    assert "no usable row" in caplog.text and not (tmp_path / "raw").exists()

@@ -112,6 +112,28 @@ def landed_payloads(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Da
     )
 
 
+def hourly_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(first, second) batch of landed answers: `hourly_captures` by hour, park and land, of bounded size each. A ride is
+    listed once for each of its events of the hour, in order of event."""
+    ride = F.struct(
+        "event_id",
+        F.col("ride_id").alias("id"),
+        F.col("ride_name").alias("name"),
+        "is_open",
+        F.col("wait_time_minutes").alias("wait_time"),
+        F.col("source_last_updated").alias("last_updated"),
+    )
+
+    def answers(captures: DataFrame) -> DataFrame:
+        part = F.call_function("div", F.col("ride_id"), F.lit(RIDES_PER_PAYLOAD)).alias("part")
+        listed = captures.groupBy("captured_at", "park_id", "park_name", "land_name", part).agg(F.array_sort(F.collect_list(ride)).alias("rides"))
+        payload = F.to_json(F.struct(F.array(F.struct(F.col("land_name").alias("name"), "rides")).alias("lands")))
+        return listed.select("captured_at", F.col("park_id").cast("int").alias("park_id"), "park_name", payload.alias("payload"))
+
+    first, second = hourly_captures(spark, sf_dir)
+    return answers(first), answers(second)
+
+
 def park_catalogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as parks with padded names, one payload per region."""
     nations = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(

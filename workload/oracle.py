@@ -289,6 +289,10 @@ AS wanted(park_name) WHERE park_name NOT IN (SELECT n_name FROM nation)""",
     "ingest_merge": f"""WITH {SNAP},
 hourly AS (SELECT * REPLACE (date_trunc('hour', captured_at) AS captured_at) FROM snap)
 SELECT {_SNAP_COLUMNS} FROM hourly
+QUALIFY row_number() OVER (PARTITION BY captured_at, ride_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
+    "landed_stream": f"""WITH {SNAP},
+hourly AS (SELECT * REPLACE (date_trunc('hour', captured_at) AS captured_at, 'queue-times-api' AS data_source) FROM snap)
+SELECT {_SNAP_COLUMNS} FROM hourly
 QUALIFY row_number() OVER (PARTITION BY captured_at, ride_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
     "raw_sources_mixed": f"WITH {DIRTY} SELECT {_SNAP_COLUMNS} FROM dirty WHERE data_source IS DISTINCT FROM 'synthetic'",
     "islands_dirty": f"""WITH {DIRTY_GROUPS}

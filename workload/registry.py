@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from fleetstate import Params
 from fleetstate.operators import dedupe, islands, rollups
+from fleetstate.operators.scan import checkpointed
 from fleetstate.operators.staging import stage_snapshots
 from fleetstate.plans import audit, marts, quality, reports
+from fleetstate.session import work_folder
 from fleetstate.sources import payloads
-from fleetstate.sources.snapshots import conform, prefer_live, split_by_source
+from fleetstate.sources.daystore import compact
+from fleetstate.sources.snapshots import conform, prefer_live, read_snapshots, split_by_source
+from fleetstate.streaming.captures import land_captures
 from workload import mapping
 from workload.mapping import SCOPE, WANTED_PARKS
 
@@ -79,6 +83,18 @@ class Frames:
         stored, incoming = mapping.hourly_captures(self.spark, self.sf_dir)
         return conform(dedupe.merge_captures(stored, incoming, order=["event_id"]))
 
+    def landed_stream(self) -> DataFrame:
+        """Two batches of answers land one after the other and are captured by the file stream, each by a run of its own; then
+        a stream that has lost its checkpoint captures both again. What the store then holds is kept, the rest goes."""
+        with work_folder(self.spark) as work:
+            landing, store = f"{work}/landing", f"{work}/store"
+            for batch in mapping.hourly_payloads(self.spark, self.sf_dir):
+                batch.write.mode("append").json(landing)
+                land_captures(self.spark, landing, store, f"{work}/checkpoint").awaitTermination()
+            compact(self.spark, store)
+            land_captures(self.spark, landing, store, f"{work}/lost").awaitTermination()
+            return checkpointed(read_snapshots(self.spark, store))
+
     def by_table(self) -> dict[str, DataFrame]:
         return {
             "raw_snapshots": self.raw,
@@ -104,6 +120,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "resolve_parks": lambda f: payloads.resolve_parks(f.catalogues, WANTED_PARKS),
     "unresolved_parks": lambda f: payloads.unresolved_parks(f.catalogues, WANTED_PARKS),
     "ingest_merge": lambda f: f.merged_captures(),
+    "landed_stream": lambda f: f.landed_stream(),
     # Staging and outages
     "stg_snapshots": lambda f: f.staged,
     "status_changes": lambda f: islands.status_changes(f.staged),
