@@ -6,6 +6,7 @@ of the rows costs one row per task.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from fleetstate.functions import calendar
 from fleetstate.functions.numeric import ratio, round_half_up
@@ -80,6 +81,32 @@ def ride_base(totals: DataFrame) -> DataFrame:
     )
 
 
+def ride_bitmaps(rows: DataFrame, *keys: str, **conditions: Column) -> DataFrame:
+    """Which rides the rows of each group are of, and which of those that meet each condition, as bitmaps: one row for each
+    group and stretch of ids (`bucket`), with `rides` and a column by the name of each condition.
+
+    A ride without id is none, as in a distinct count. Unlike counts, bitmaps of many groups can be put together later.
+    """
+    ride = F.col("ride_id")
+    place = F.bitmap_bit_position(ride)
+    known = rows.filter(ride.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(ride).alias("bucket"))
+    some = [F.bitmap_construct_agg(F.when(met, place)).alias(name) for name, met in conditions.items()]
+    return known.agg(F.bitmap_construct_agg(place).alias("rides"), *some)
+
+
+def merge_bitmaps(bitmaps: DataFrame, *keys: str) -> DataFrame:
+    """Bitmaps on a coarser grain."""
+    sets = [f.name for f in bitmaps.schema if isinstance(f.dataType, BinaryType)]
+    return bitmaps.groupBy(*keys, "bucket").agg(*[F.bitmap_or_agg(name).alias(name) for name in sets])
+
+
+def count_rides(bitmaps: DataFrame, *keys: str) -> DataFrame:
+    """Distinct rides of each group, by the names of the bitmaps."""
+    merged = merge_bitmaps(bitmaps, *keys)
+    sets = [f.name for f in merged.schema if isinstance(f.dataType, BinaryType)]
+    return merged.groupBy(*keys).agg(*[F.sum(F.bitmap_count(name)).alias(name) for name in sets])
+
+
 def ride_day_outages(events: DataFrame) -> DataFrame:
     """Outages by ride and the date they began on."""
     return events.groupBy(F.col("downtime_date").alias("captured_date"), "ride_id").agg(

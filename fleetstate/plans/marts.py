@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fleetstate.functions import calendar, labels
 from fleetstate.functions.numeric import exact_mean, percent, round_half_up
 from fleetstate.operators.islands import downtime_islands
-from fleetstate.operators.rollups import ride_base, ride_day_base, ride_day_outages, ride_downtime_profile
+from fleetstate.operators.rollups import ride_base, ride_bitmaps, ride_day_base, ride_day_outages, ride_downtime_profile
 from fleetstate.params import Params
 
 
@@ -107,3 +107,9 @@ def agg_park_daily(ride_daily: DataFrame) -> DataFrame:
         F.max("peak_wait").alias("peak_wait_in_park"),
         F.count(had_outage).alias("rides_with_downtime"),
     )
+
+
+def agg_park_rides(ride_daily: DataFrame) -> DataFrame:
+    """Date x park, which rides were seen (`rides`) and which had an outage (`with_downtime`): small enough to be kept for every
+    date, and put together for any range of them."""
+    return ride_bitmaps(ride_daily, "captured_date", "park_name", with_downtime=F.col("downtime_events") > 0)

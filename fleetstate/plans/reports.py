@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetstate.functions.calendar import WEEKDAYS
 from fleetstate.functions.labels import severity_rank
 from fleetstate.functions.numeric import exact_mean, exact_sum, round_half_even
+from fleetstate.operators.rollups import count_rides
 from fleetstate.params import Params, Scope
 
 
@@ -115,6 +116,12 @@ def park_scorecard(park_daily: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
+def distinct_rides(park_rides: DataFrame, scope: Scope) -> DataFrame:
+    """Rides seen, and rides that had an outage, by park over the whole range: each ride once, on however many dates."""
+    counted = count_rides(in_scope(park_rides, scope), "park_name")
+    return counted.select("park_name", F.col("rides").alias("rides_tracked"), F.col("with_downtime").alias("rides_with_downtime"))
+
+
 def severity_mix(events: DataFrame, scope: Scope) -> DataFrame:
     """Outages by severity, in ascending order of severity."""
     return (

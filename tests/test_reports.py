@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from fixtures import at, built, history, snap
+from fixtures import TEN, at, built, history, snap
 
 from fleetstate import Params, Scope
-from fleetstate.plans import reports
+from fleetstate.operators import rollups
+from fleetstate.plans import marts, reports
 
 DAY = dt.date(2024, 1, 10)
 
@@ -120,3 +121,15 @@ def test_heatmap_loses_no_outage(spark):
     assert sum(sum(row) for row in cells) == reports.severity_mix(events, days).agg({"count": "sum"}).first()[0] == 2
     with pytest.raises(Exception, match="outside of business hours, at hour 7"):
         reports.outage_heatmap(events, days).collect()
+
+
+def test_distinct_rides_over_a_range_count_each_once(spark):
+    rows = [snap(TEN + dt.timedelta(days=d), not (ride == 40_000 and d == 1), ride) for d in range(3) for ride in (1, 2, 40_000, None)]
+    rows += [snap(TEN + dt.timedelta(days=9), True, 7)]
+    daily = built(spark, rows)[3]
+    kept = marts.agg_park_rides(daily)
+    scope = Scope(("Park A",), TEN.date(), TEN.date() + dt.timedelta(days=2))
+    assert [tuple(r) for r in reports.distinct_rides(kept, scope).collect()] == [("Park A", 3, 1)]
+    # Bitmaps of days are put together like those of all rows.
+    whole = {r.bucket: bytes(r.rides) for r in rollups.ride_bitmaps(daily, "park_name").collect()}
+    assert whole == {r.bucket: bytes(r.rides) for r in rollups.merge_bitmaps(kept, "park_name").collect()} and len(whole) == 2

@@ -390,6 +390,10 @@ SELECT park_name,
        CAST(sum(total_downtime_events) AS BIGINT) AS events,
        CAST(sum(CAST(total_downtime_hours AS DECIMAL(18, 1))) AS DOUBLE) AS hours
 FROM park_daily WHERE {SCOPE_DAY} GROUP BY park_name""",
+    "distinct_rides": f"""WITH {RIDE_DAILY}
+SELECT park_name, count(DISTINCT ride_id) AS rides_tracked,
+       count(DISTINCT ride_id) FILTER (WHERE downtime_events > 0) AS rides_with_downtime
+FROM ride_daily WHERE {SCOPE_DAY} GROUP BY park_name""",
     "severity_mix": f"""WITH {FCT}
 SELECT severity_band, count(*) AS "count" FROM fct WHERE {SCOPE_EVENT} GROUP BY severity_band""",
     "outage_day_hour": f"""WITH {FCT}

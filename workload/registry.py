@@ -155,6 +155,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "kpi_prior_delta": lambda f: reports.kpi_prior_delta(f.ride_daily, SCOPE),
     "uptime_trend": lambda f: reports.uptime_trend(f.park_daily, SCOPE),
     "park_scorecard": lambda f: reports.park_scorecard(f.park_daily, SCOPE),
+    "distinct_rides": lambda f: reports.distinct_rides(marts.agg_park_rides(f.ride_daily), SCOPE),
     "severity_mix": lambda f: reports.severity_mix(f.events, SCOPE),
     "outage_day_hour": lambda f: reports.outage_day_hour(f.events, SCOPE),
     "outage_heatmap": lambda f: reports.outage_heatmap(f.events, SCOPE),
