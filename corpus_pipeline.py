@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetstate.llm import decontaminate, linededup, pieces, simhash, toxicity
 from fleetstate.llm.common import table
+from fleetstate.session import delete_path, shared_base
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +61,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of `sf_dir`; the written results lie in the session's shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Apply all stages to the documents of `sf_dir`. Their results are written to the session's shared folder; all but the last,
+    which is returned, go once the next is written."""
+    conf = spark.conf
+    base = conf.get("spark.checkpoint.dir", None) or shared_base(spark.sparkContext.master, None, None, conf.get("spark.sql.warehouse.dir"))
     folder = f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete_path(spark, f"{folder}/{before}")
+        before = name
     return docs

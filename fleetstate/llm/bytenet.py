@@ -48,6 +48,22 @@ class ByteNet:
         top = np.take_along_axis(seen, place[:, None, :], axis=1)[:, 0]
         return np.maximum(top + self.bias, 0), place
 
+    def slopes(self, x: np.ndarray, want: np.ndarray) -> list[np.ndarray]:
+        """Slopes of the mean cross-entropy of windows `x` of classes `want`, for each of `parts`."""
+        top, place = self.pooled(x)
+        p = softmax(top @ self.out + self.out_bias)
+        p[np.arange(len(x)), want] -= 1
+        p /= len(x)
+        back = (p @ self.out.T) * (top > 0)
+        seen = np.take_along_axis(self._slices(x), place[:, :, None], axis=1)  # (row, filter, stretch)
+        to_conv = np.einsum("rfk,rf->kf", seen, back, optimize=True) * _mask().astype(np.float32)
+        to_bytes = (self.conv.T[None] * back[:, :, None]).reshape(len(x), -1, _REACH, DEPTH)
+        which = np.take_along_axis(x[:, None, :].repeat(place.shape[1], axis=1), place[:, :, None] + np.arange(_REACH), axis=2)
+        to_embed = np.zeros_like(self.embed)
+        np.add.at(to_embed, which.reshape(-1), to_bytes.reshape(-1, DEPTH))
+        to_embed[0] = 0
+        return [to_embed, to_conv, back.sum(axis=0), top.T @ p, p.sum(axis=0)]
+
     def logits(self, windows: np.ndarray) -> np.ndarray:
         """Class scores of windows of WINDOW + _REACH - 1 bytes each."""
         out = np.empty((len(windows), len(self.out_bias)), dtype=np.float32)
@@ -80,7 +96,6 @@ def train(windows: np.ndarray, y: np.ndarray, classes: int, steps: int = 900, ba
     """
     steps = max(steps, -(-steps * 2 * classes // batch))
     net, r = ByteNet.new(classes, seed), np.random.default_rng(seed)
-    mask = _mask().astype(np.float32)
     first, second = ([np.zeros_like(p) for p in net.parts()] for _ in range(2))
     places = [np.flatnonzero(y == c) for c in range(classes)]
     for step in range(1, steps + 1):
@@ -89,19 +104,7 @@ def train(windows: np.ndarray, y: np.ndarray, classes: int, steps: int = 900, ba
         x, want = windows[rows].copy(), y[rows]
         stop = np.where(r.random(len(x)) < 0.5, r.integers(8, x.shape[1], len(x)), x.shape[1])
         x[np.arange(x.shape[1])[None, :] >= stop[:, None]] = 0
-        top, place = net.pooled(x)
-        p = softmax(top @ net.out + net.out_bias)
-        p[np.arange(len(x)), want] -= 1
-        p /= len(x)
-        back = (p @ net.out.T) * (top > 0)
-        seen = np.take_along_axis(net._slices(x), place[:, :, None], axis=1)  # (row, filter, stretch)
-        to_conv = np.einsum("rfk,rf->kf", seen, back, optimize=True) * mask
-        to_bytes = (net.conv.T[None] * back[:, :, None]).reshape(len(x), -1, _REACH, DEPTH)
-        which = np.take_along_axis(x[:, None, :].repeat(place.shape[1], axis=1), place[:, :, None] + np.arange(_REACH), axis=2)
-        to_embed = np.zeros_like(net.embed)
-        np.add.at(to_embed, which.reshape(-1), to_bytes.reshape(-1, DEPTH))
-        to_embed[0] = 0
-        slopes = [to_embed, to_conv, back.sum(axis=0), top.T @ p, p.sum(axis=0)]
+        slopes = net.slopes(x, want)
         pace = rate * (1 - step / (steps + 1)) + 1e-4
         for part, slope, m, v in zip(net.parts(), slopes, first, second):
             m += 0.1 * (slope - m)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fleetstate.operators.scan import checkpointed
+
 #: Bytes of text handled at once inside a task. A longer text is handled alone, whole.
 CHUNK_BYTES = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -25,13 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def settle(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from there: it is computed once and its lineage ends.
 
-    The folder is the session's spark.checkpoint.dir; where none is set (a test, a local run) the warehouse serves.
+    The folder is the session's spark.checkpoint.dir; where none is set (a test, a local run) the warehouse serves. On a
+    cluster a folder of the local file system is refused.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        conf = df.sparkSession.conf
-        context.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or conf.get("spark.sql.warehouse.dir"))
-    return df.checkpoint()
+    return checkpointed(df)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -20,18 +20,27 @@ def _bits(n: int) -> np.uint64:
     return U64((1 << n) - 1)
 
 
+_ONES, _TOPS = U64(0x0101010101010101), U64(0x8080808080808080)
+#: Place of the nth set bit (from 0) of a byte, at 256 * n + byte.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[n] for n in range(8) for byte in range(256)], dtype=np.uint8)
+
+
 def _select(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """Place of the nth set bit (from 1) of each 64-bit word."""
-    place = np.zeros(len(words), dtype=np.int64)
-    nth = nth.copy()
-    for width in (32, 16, 8, 4, 2, 1):
-        low = words & _bits(width)
-        inside = np.bitwise_count(low).astype(np.int64)
-        on = nth > inside
-        nth -= np.where(on, inside, 0)
-        place += np.where(on, width, 0)
-        words = np.where(on, words >> U64(width), low)
-    return place
+    """Place of the nth set bit (from 1) of each 64-bit word: by the set bits up to each of its bytes, side by side in one number."""
+    k = (nth - 1).astype(U64)
+    sums = words - ((words >> U64(1)) & U64(0x5555555555555555))
+    sums = (sums & U64(0x3333333333333333)) + ((sums >> U64(2)) & U64(0x3333333333333333))
+    sums = ((sums + (sums >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES
+    before = ((k * _ONES) | _TOPS) - sums  # the top bit of a byte stays where its sum does not exceed k
+    place = np.bitwise_count(before & _TOPS).astype(U64) << U64(3)
+    rank = k - (((sums << U64(8)) >> place) & U64(0xFF))
+    byte = (words >> place) & U64(0xFF)
+    return (place + _IN_BYTE[((rank << U64(8)) | byte).astype(np.int64)]).astype(np.int64)
+
+
+def _blocks(n: int) -> list[slice]:
+    """Places in blocks, so that what is worked out for each stays small."""
+    return [slice(lo, min(n, lo + (1 << 17))) for lo in range(0, n, 1 << 17)]
 
 
 @dataclass
@@ -49,19 +58,19 @@ class EliasFano:
         """`values`: unsigned, rising (equal neighbours allowed), below `universe`."""
         n = len(values)
         width = max(0, (universe // max(n, 1)).bit_length() - 1)
-        values = values.astype(U64)
-        at = np.arange(n, dtype=np.int64)
         low = np.zeros((n * width >> 6) + 2, dtype=U64)
-        if width:
-            part, bit = values & _bits(width), at * width
-            word, off = bit >> 6, (bit & 63).astype(U64)
-            np.bitwise_or.at(low, word, part << off)
-            over = (bit & 63) + width > 64
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (U64(64) - off[over]))
-        top = (values >> U64(width)).astype(np.int64)
-        place = top + at
-        high = np.zeros(((int(place[-1]) if n else 0) >> 6) + 2, dtype=U64)
-        np.bitwise_or.at(high, place >> 6, U64(1) << (place & 63).astype(U64))
+        high = np.zeros((((int(values[-1]) >> width) + n - 1 if n else 0) >> 6) + 2, dtype=U64)
+        for at in _blocks(n):
+            part = values[at].astype(U64)
+            at = np.arange(at.start, at.stop, dtype=np.int64)
+            if width:
+                bits, bit = part & _bits(width), at * width
+                word, off = bit >> 6, (bit & 63).astype(U64)
+                np.bitwise_or.at(low, word, bits << off)
+                over = (bit & 63) + width > 64
+                np.bitwise_or.at(low, word[over] + 1, bits[over] >> (U64(64) - off[over]))
+            place = (part >> U64(width)).astype(np.int64) + at
+            np.bitwise_or.at(high, place >> 6, U64(1) << (place & 63).astype(U64))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)]).astype(np.uint32)
         return cls(n, width, low, high, ones)
 
@@ -91,15 +100,16 @@ class EliasFano:
         out = np.where(known > 0, place - known + 1, 0)
         return np.minimum(np.where(top > int(zeros[-1]), self.n, out), self.n)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Place of each value, -1 where there is none."""
+    def find(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None) -> np.ndarray:
+        """Place of each value, -1 where there is none; among the places from `begin` to before `end` if given."""
         if not self.n or not len(x):
             return np.full(len(x), -1, dtype=np.int64)
         limit = int(self.high.size) * 64
         top = np.minimum(x >> U64(self.width), U64(limit)).astype(np.int64)
         want = x & _bits(self.width)
-        lo, end = self._bucket(top), self._bucket(top + 1)
-        hi = end.copy()
+        lo, stop = np.maximum(self._bucket(top), begin), self._bucket(top + 1)
+        stop = stop if end is None else np.minimum(stop, end)
+        hi = stop.copy()
         while True:  # the first value in the bucket whose low bits are not less
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
@@ -108,7 +118,7 @@ class EliasFano:
             less = self._low(mid) < want[open_]
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
-        found = lo < end
+        found = lo < stop
         found[found] = self._low(lo[found]) == want[found]
         return np.where(found, lo, -1)
 
@@ -131,15 +141,15 @@ def _mapped(parts: list[np.ndarray]) -> list[np.ndarray]:
 
 @dataclass
 class Level:
-    """The n-grams of one order, by the n-gram they lengthen and their last word.
+    """The n-grams of one order, by the n-gram they lengthen (their context) and their last word.
 
-    keys: place of the shorter n-gram, times the size of the trie's vocabulary, plus that of the word, so that a search
-    looks among the words after that n-gram only. pointer: where those of each shorter n-gram start. code: quantised
-    log10 of each one's discounted probability. total, weight: what follows each shorter n-gram, and the quantised log10
-    of the share that it leaves to its own last words.
+    pointer: where the successors of each context start. words: the last words, each run of successors on top of the last
+    word of the run before, so that all of them rise; what a run stands on is the value before it. code: quantised log10 of
+    each n-gram's discounted probability. total, weight: what follows each context, and the quantised log10 of the share that
+    it leaves to its own last words.
     """
 
-    keys: EliasFano
+    words: EliasFano
     pointer: EliasFano
     code: np.ndarray
     total: np.ndarray
@@ -156,23 +166,38 @@ class Trie:
         for level in (self.roots, self.words):
             level.low, level.high, level.ones = _mapped(level.arrays())
 
-    def grow(self, parent: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
-        """One level more: counts of n-grams by the places of the shorter n-gram and of the word, in any order, in parts."""
-        before = self.levels[-1].keys.n if self.levels else self.roots.n
-        keys, index = np.unique(parent.astype(U64) * U64(self.size) + word.astype(U64), return_inverse=True)
-        count = np.bincount(index, count, len(keys))
-        del index
-        above = (keys // U64(self.size)).astype(np.int64)
-        many, total = np.bincount(above, minlength=before), np.bincount(above, count, before)
-        code = quantised((count - self.discount) / total[above])
+    def grow(self, keys: np.ndarray, count: np.ndarray) -> None:
+        """One level more: counts of n-grams, each named by the place of its context times the size of the vocabulary and
+        the place of its word; in any order, and in parts."""
+        before = self.levels[-1].words.n if self.levels else self.roots.n
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        count = np.add.reduceat(count[order].astype(np.int64), new) if len(new) else np.zeros(0, dtype=np.int64)
+        keys = keys[new]
+        del order, new
+        context, word = (keys // U64(self.size)).astype(np.int32), (keys % U64(self.size)).astype(np.int32)
+        del keys
+        many, total = np.bincount(context, minlength=before), np.bincount(context, count, before)
+        code = np.empty(len(word), dtype=np.uint16)
+        for at in _blocks(len(word)):
+            code[at] = quantised((count[at] - self.discount) / total[context[at]])
+        del count
         weight = np.zeros(before, dtype=np.uint16)
         weight[many > 0] = quantised(self.discount * many[many > 0] / total[many > 0])
         starts = np.concatenate([[0], np.cumsum(many)])
-        level = Level(
-            EliasFano.build(keys, max(1, before) * self.size), EliasFano.build(starts, len(keys) + 1), code, total.astype(U64), weight
-        )
-        parts = _mapped([*level.keys.arrays(), *level.pointer.arrays(), code, level.total, weight])
-        for i, part in enumerate((level.keys, level.pointer)):
+        # Each run of successors stands on the last value of the run before, and one more.
+        top = np.cumsum(word[starts[1:][many > 0] - 1].astype(np.int64) + 1)
+        stands = np.zeros(before, dtype=np.int64)
+        stands[many > 0] = np.concatenate([[0], top[:-1]]) if len(top) else 0
+        values = stands[context]
+        values += word
+        del context, word, stands
+        rising = EliasFano.build(values, int(top[-1]) + 1 if len(top) else 1)
+        del values
+        level = Level(rising, EliasFano.build(starts, len(code) + 1), code, total.astype(U64), weight)
+        parts = _mapped([*level.words.arrays(), *level.pointer.arrays(), code, level.total, weight])
+        for i, part in enumerate((level.words, level.pointer)):
             part.low, part.high, part.ones = parts[3 * i : 3 * i + 3]
         level.code, level.total, level.weight = parts[6:]
         self.levels.append(level)
@@ -186,11 +211,22 @@ class Trie:
         many[known] = (level.pointer.get(at + 1) - level.pointer.get(at)).astype(np.int64)
         return count, many
 
-    def find(self, nth: int, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Places in the nth level of each word (by its place) after a shorter n-gram (by its place), -1 if never seen."""
-        out = np.full(len(word), -1, dtype=np.int64)
-        known = np.flatnonzero((word >= 0) & (parent >= 0))
-        out[known] = self.levels[nth].keys.find(parent[known].astype(U64) * U64(self.size) + word[known].astype(U64))
+    def find(self, nth: int, context: np.ndarray, many: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places in the nth level of words (by place, -1 if unknown) after contexts (the same), `many` words after each: the
+        search stays between the pointers of the context. -1 where the context or the word after it was never seen."""
+        level, out = self.levels[nth], np.full(len(word), -1, dtype=np.int64)
+        begin, end, stands = np.zeros((3, len(context)), dtype=np.int64)
+        known = np.flatnonzero((context >= 0) & (many > 0))
+        if not level.words.n or not len(known):
+            return out
+        at = context[known].astype(np.int64)
+        begin[known], end[known] = level.pointer.get(at), level.pointer.get(at + 1)
+        later = known[begin[known] > 0]
+        stands[later] = level.words.get(begin[later] - 1).astype(np.int64) + 1
+        of = np.repeat(np.arange(len(context), dtype=np.int32), many)
+        asked = np.flatnonzero((word >= 0) & (begin < end)[of])
+        of = of[asked]
+        out[asked] = level.words.find((word[asked] + stands[of]).astype(U64), begin[of], end[of])
         return out
 
 

@@ -62,15 +62,15 @@ def has_letter(chunk: Chunk) -> np.ndarray:
     return found
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of each text that teach, one after the other."""
+def _window_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The windows of each text that teach, one after the other: `most` at most."""
     for batch in batches:
         for chunk in chunks(batch.column("text")):
             windows, of, _ = windows_of(chunk)
             many = np.bincount(of, minlength=len(chunk.bounds) - 1)
             nth = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
             # Evenly spread over the whole text.
-            step = -(-many // WINDOWS_PER_TEXT)
+            step = -(-many // most)
             take = np.flatnonzero(nth % np.maximum(step, 1)[of] == 0)
             ends = np.cumsum(np.bincount(of[take], minlength=len(many)))
             body = [w.tobytes() for w in np.split(windows[take], ends[:-1])]
@@ -78,8 +78,9 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.record_batch([part.column("id"), part.column("place"), pa.array(body, pa.binary())], names=["id", "place", "bytes"])
 
 
-def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageModel:
-    """Learn from texts with a language that are not held out; at most `per_language` texts of each, first by hash."""
+def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, per_text: int = WINDOWS_PER_TEXT) -> LanguageModel:
+    """Learn from texts with a language that are not held out; at most `per_language` texts of each, first by hash, and
+    `per_text` windows of each text, spread evenly over all of it."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, 0))
     # Repeated rows of an id and language count once, so that no window or sample grows with them.
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct()
@@ -95,7 +96,7 @@ def fit(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> LanguageMode
     drawn = drawn.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "place")
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(drawn), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("label"))).select("id", "place", "text")
-    windows = texts.mapInArrow(_window_batches, schema_with(texts, ("text",), "bytes binary"))
+    windows = texts.mapInArrow(partial(_window_batches, most=per_text), schema_with(texts, ("text",), "bytes binary"))
     # One row of an id and language, the same one whatever their order.
     rows = windows.groupBy("id", "place").agg(F.min("bytes").alias("bytes")).select("place", "bytes").collect()
     size = WINDOW + _REACH - 1

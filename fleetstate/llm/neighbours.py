@@ -2,13 +2,15 @@
 
 Vectors of equal label (not null) and equal length link if their cosine, in double precision, reaches the threshold.
 Pivots, drawn by hash from large groups, part a group into the cells of their nearest pivot. On the unit sphere the
-threshold is a chord r. By the triangle inequality a vector at distance d from its own pivot has no neighbour in the cell
-of a pivot farther than d + 2r, so it is replicated only to cells nearer than that, and of each two cells only to one.
-Cells then join on their own: a cell is cut into blocks by hash, each pair of blocks is a task of bounded size that
-returns a count per vector and the links that span its components, never all pairs.
+threshold is a chord r. Between the cells of two pivots lies the plane of what is equally far from both; by the triangle inequality
+a vector farther than r from it has no neighbour on its other side. So it is replicated only to cells whose plane is nearer
+than that (in many dimensions these are far fewer than the cells whose pivot is near), and of each two cells only to one.
+Cells then join on their own, their own vectors with each other and with replicas: these are cut into blocks by hash, and each
+pair of blocks is a task of bounded size that returns a count per vector and the links that span its components, never all
+pairs.
 
 Equal vectors of a label are joined once, as a class with a size. Vectors that are null, zero or empty, or hold null or
-non-finite components, or have no label, link with nothing: 0 links, a component of their own. Repeated rows, and rows
+non-finite components, or have no label, link with nothing: 0 links, a component of their own. An empty table gives no rows. Repeated rows, and rows
 that share an id, are vectors of their own. A null id is passed over as a component's name unless there is no other.
 Other columns are ignored.
 """
@@ -52,14 +54,16 @@ def _cells(batches, pivots, chord: float):
             if centre is None:
                 out.append(part.assign(cell=0, own=True))
                 continue
+            apart = np.sqrt(np.maximum(2 - 2 * centre @ centre.T, 0))
             for lo in range(0, len(part), 4096):
                 piece = part.iloc[lo : lo + 4096]
-                far = np.sqrt(np.maximum(2 - 2 * _unit(piece["v"]) @ centre.T, 0))
-                home = far.argmin(axis=1)
-                nearest = far[np.arange(len(piece)), home]
-                # 1e-6 for the rounding of distances: it only replicates more.
-                reach = far <= (nearest + 2 * chord + 1e-6)[:, None]
-                reach &= np.arange(far.shape[1])[None, :] < home[:, None]
+                squares = np.maximum(2 - 2 * _unit(piece["v"]) @ centre.T, 0)
+                home = squares.argmin(axis=1)
+                nearest = squares[np.arange(len(piece)), home]
+                # Distance to the plane between two cells is the difference of squares over twice that of the pivots. 1e-6 for
+                # rounding: it only replicates more.
+                reach = squares - nearest[:, None] <= 2 * apart[home] * (chord + 1e-6) + 1e-6
+                reach &= np.arange(squares.shape[1])[None, :] < home[:, None]
                 row, cell = np.nonzero(reach)
                 out.append(piece.assign(cell=home, own=True))
                 out.append(piece.iloc[row].assign(cell=cell, own=False))
@@ -72,7 +76,7 @@ def _join_blocks(key, rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     one, two = key[3], key[4]
     rows = rows.sort_values(["block", "cid"], ignore_index=True)
     split = int((rows["block"] == one).sum()) if one != two else 0
-    unit, own = _unit(rows["v"]), rows["own"].to_numpy()
+    unit = _unit(rows["v"])
     size, many = rows["n"].to_numpy(), len(rows)
     links, forest = np.zeros(many, dtype=np.int64), Forest(many)
     left = np.arange(split if one != two else many)
@@ -85,7 +89,6 @@ def _join_blocks(key, rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
             a, b = (np.asarray(rows["v"][k], dtype=np.float64) for k in (at[i], split + j))
             cos[i, j] = np.dot(a, b) / (np.sqrt(np.dot(a, a)) * np.sqrt(np.dot(b, b)))
         near = cos >= threshold
-        near &= own[at][:, None] | own[right][None, :]
         if one == two:
             near &= np.arange(many)[None, :] > at[:, None]
         if near.any():
@@ -104,6 +107,23 @@ def _join_blocks(key, rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     )
 
 
+def _tiles(cells: DataFrame) -> DataFrame:
+    """Each vector with every pair of blocks that it is compared in: blocks of a cell's own vectors, numbered first, with each
+    other, and with blocks of replicas."""
+    place = ["label", "size", "cell"]
+    blocks = lambda met: F.ceil(F.count(F.when(met, 1)) / BLOCK_ROWS).cast("int")
+    many = cells.groupBy(*place).agg(blocks(F.col("own")).alias("own_blocks"), blocks(~F.col("own")).alias("more_blocks"))
+    hashed = F.xxhash64("cid")
+    block = F.when(F.col("own"), F.pmod(hashed, F.col("own_blocks"))).otherwise(
+        F.col("own_blocks") + F.pmod(hashed, F.greatest("more_blocks", F.lit(1)))
+    )
+    last = F.when(F.col("own"), F.col("own_blocks") + F.col("more_blocks")).otherwise(F.col("own_blocks")) - 1
+    # A cell may have replicas alone: they are own somewhere else, and meet there.
+    cut = cells.join(many.filter("own_blocks > 0"), place).withColumn("block", block.cast("int"))
+    tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    return tiles.select(*place, F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "cid", "n", "v")
+
+
 def _draw_pivots(classes: DataFrame, groups: DataFrame) -> dict:
     """Unit pivots for each group of more than a block: a share of its vectors by hash, MOST_PIVOTS in all at most."""
     large = groups.filter(F.col("count") > BLOCK_ROWS)
@@ -142,13 +162,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             f"label {kinds['label']}, size int, cell int, own boolean, cid string, n bigint, v {kinds['v']}",
         )
     )
-    place = ["label", "size", "cell"]
-    blocks = cells.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    cut = cells.join(blocks, place).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select(
-        *place, F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "own", "cid", "n", "v"
-    )
+    place, tiles = ["label", "size", "cell"], _tiles(cells)
     joined = settle(
         tiles.groupBy(*place, "one", "two").applyInPandas(partial(_join_blocks, threshold=threshold), "a string, b string, links bigint")
     )

@@ -11,6 +11,7 @@ each chunk, and answers in the order it was asked: counts of the first words, an
 parts of a sum P(w|uv) lie in the shards of u, v and w, so a chunk puts it together, and adds up its texts. Every word
 of a chunk comes before something, so the answers hold the counts of all its words. First words with a great share of all
 tokens, the start of a text too, are split over several shards by the second; a chunk asks all of these and adds up what they count.
+At order 3 frequent pairs are contexts of their own, split by the third word; at higher orders a pair is not split.
 
 A null text is empty; an empty one has its end only. Repeated rows are texts of their own, and count twice in training.
 Without training texts all scores are 0. Words are told apart by 64 bits of hash. Other columns are ignored.
@@ -19,6 +20,7 @@ Without training texts all scores are 0. Words are told apart by 64 bits of hash
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -34,9 +36,10 @@ DISCOUNT = 0.75
 #: Words of the longest n-grams of the query.
 ORDER = 3
 #: Bytes of text in a chunk, training tokens of a shard.
-CHUNK, SHARD_TOKENS = 1 << 23, 1_500_000
-#: First words with a greater share of the training tokens are split over shards.
-HOT_SHARE = 1 / 2048
+CHUNK, SHARD_TOKENS = 1 << 23, 3_000_000
+#: Contexts with a greater share of the training tokens, or that would fill a greater part of a shard, are split over shards in
+#: such parts. Bytes of text to a token, for a first guess of their number.
+HOT_SHARE, HOT_PART, BYTES_OF_TOKEN = 1 / 2048, 1 / 16, 6
 #: Keys of the start of a text, as a context, and of its end, as a token.
 START, END = U64(0x5354415254), U64(0x454E44)
 FOLDS, FOLD = 7, 2
@@ -48,9 +51,10 @@ _KINDS = [np.dtype(c) for c in ("u1", "u2", "u4", "u8", "i8")]
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers as compressed bytes."""
+    """Arrays of whole numbers as compressed bytes: of wide ones first all lowest bytes, then the next."""
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), _KINDS.index(a.dtype)))], dtype=np.int64)
-    body = b"".join([head.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if a.itemsize > 2 and len(a) else a.tobytes() for a in arrays)
+    body = b"".join([head.tobytes(), *planes])
     return np.int64(len(body)).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
 
 
@@ -60,8 +64,10 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     head = np.frombuffer(body, np.int64, 2 * many, 8).reshape(many, 2)
     out, at = [], 8 + 16 * many
     for n, kind in head.tolist():
-        out.append(np.frombuffer(body, _KINDS[kind], n, at))
-        at += n * _KINDS[kind].itemsize
+        size = _KINDS[kind].itemsize
+        planes = np.frombuffer(body, np.uint8, n * size, at)
+        out.append(planes.view(_KINDS[kind]) if size < 3 else np.ascontiguousarray(planes.reshape(size, n).T).view(_KINDS[kind]).reshape(n))
+        at += n * size
     return out
 
 
@@ -80,10 +86,24 @@ class _Level:
         self.node = node.astype(np.int32)
 
 
+@dataclass(frozen=True)
+class _Hot:
+    """Contexts with a great share of the tokens, by name, over how many shards each is split, and those of them that are pairs."""
+
+    names: np.ndarray
+    splits: np.ndarray
+    pairs: np.ndarray
+
+
+def pair_names(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Names of pairs of words, as contexts."""
+    return mix(one * U64(0x9E3779B97F4A7C15) + mix(two ^ U64(0x50414952)))
+
+
 class _Layout:
     """The n-grams of a chunk, level by level, by shard and by their words, the same way whenever it is worked out."""
 
-    def __init__(self, chunk: Chunk, order: int, shards: int, hot: np.ndarray, splits: np.ndarray):
+    def __init__(self, chunk: Chunk, order: int, shards: int, hot: _Hot):
         starts, ends, cuts = chunk.words(SPACED)
         self.sizes = np.diff(cuts)
         texts, n = len(self.sizes), len(starts)
@@ -99,37 +119,52 @@ class _Layout:
         before = np.full(n + texts, words, dtype=np.int64)
         before[of + 1] = place  # the place after a word is in the same text, as each text has an end
         del of, place
-        pair, node = np.unique(before * (words + 2) + self.token, return_inverse=True)
-        del before
-        context, word = np.divmod(pair, words + 2)
+        nth = np.arange(n + texts) - np.repeat(np.cumsum(self.sizes + 1) - self.sizes - 1, self.sizes + 1)
+        # Where a hot pair goes before, it is a context like a word, and the n-gram of three is a pair of the first level.
+        self.extra, pairs = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        if order == 3 and len(hot.pairs):
+            at = np.flatnonzero(nth >= 1)
+            name = pair_names(self.names[before[at - 1]], self.names[before[at]])
+            found = np.minimum(np.searchsorted(hot.pairs, name), len(hot.pairs) - 1)
+            inside = hot.pairs[found] == name
+            self.extra = at[inside]
+            present, pairs = np.unique(found[inside], return_inverse=True)
+            self.names = np.concatenate([self.names, hot.pairs[present]])
+        size = len(self.names)
+        codes = np.concatenate([before * size + self.token, (words + 2 + pairs) * size + self.token[self.extra]])
+        pair, node = np.unique(codes, return_inverse=True)
+        del before, codes, pairs
+        context, word = np.divmod(pair, size)
         del pair
-        # Shards: by the first word; for hot ones also by the second.
+        # Shards: by the context; for hot ones also by the word.
         home = (mix(self.names) % U64(shards)).astype(np.int64)
-        split = np.ones(words + 2, dtype=np.int64)
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, self.names), len(hot) - 1)
-            split = np.where(hot[at] == self.names, splits[at], 1)
+        split = np.ones(size, dtype=np.int64)
+        if len(hot.names):
+            at = np.minimum(np.searchsorted(hot.names, self.names), len(hot.names) - 1)
+            split = np.where(hot.names[at] == self.names, hot.splits[at], 1)
         shard = (home[context] + (mix(self.names[word] ^ U64(0xA5)) % split[context].astype(U64)).astype(np.int64)) % shards
         # A context is asked about in all its shards, also where it has no pair.
-        asked, many = np.flatnonzero(np.bincount(context, minlength=words + 2)), split
+        asked, many = np.flatnonzero(np.bincount(context, minlength=size)), split
         every = np.repeat(asked, many[asked])
-        nth = np.arange(len(every)) - np.repeat(np.cumsum(many[asked]) - many[asked], many[asked])
-        where = (home[every] + nth) % shards
+        part = np.arange(len(every)) - np.repeat(np.cumsum(many[asked]) - many[asked], many[asked])
+        where = (home[every] + part) % shards
         by = np.lexsort((every, where))
         self.context, self.context_shard = every[by], where[by]
-        by = np.argsort(shard, kind="stable")  # pairs are by first and second word already
+        by = np.argsort(shard, kind="stable")  # pairs are by context and word already
         rank = np.empty(len(by), dtype=np.int64)
         rank[by] = np.arange(len(by))
-        slot = self.context_shard * (words + 2) + self.context
-        parent = np.searchsorted(slot, shard[by] * (words + 2) + context[by])
-        self.levels = [_Level(word[by], shard[by], parent, None, rank[node])]
+        slot = self.context_shard * size + self.context
+        parent = np.searchsorted(slot, shard[by] * size + context[by])
+        self.words, self.extra_node = words, rank[node[n + texts :]]
+        self.levels = [_Level(word[by], shard[by], parent, None, rank[node[: n + texts]])]
         del rank, node, context, word, shard, by, parent
         # A longer n-gram goes where the one without its last word is; a text's first tokens have none.
-        nth = np.arange(n + texts) - np.repeat(np.cumsum(self.sizes + 1) - self.sizes - 1, self.sizes + 1)
+        plain = np.ones(n + texts, dtype=bool)
+        plain[self.extra] = False
         for least in range(1, order - 1):
-            last, at = self.levels[-1], np.flatnonzero(nth >= least)
-            gram, index = np.unique(last.node[at - 1].astype(np.int64) * (words + 2) + self.token[at], return_inverse=True)
-            parent, word = np.divmod(gram, words + 2)
+            last, at = self.levels[-1], np.flatnonzero((nth >= least) & plain)
+            gram, index = np.unique(last.node[at - 1].astype(np.int64) * size + self.token[at], return_inverse=True)
+            parent, word = np.divmod(gram, size)
             suffix = np.empty(len(gram), dtype=np.int32)
             suffix[index] = last.node[at]
             node = np.full(n + texts, -1, dtype=np.int32)
@@ -141,6 +176,7 @@ class _Layout:
         their last words' places and training counts."""
         taught = learn[self.text]
         counts = [np.bincount(x.node[taught & (x.node >= 0)], minlength=len(x.word)) for x in self.levels]
+        counts[0] += np.bincount(self.extra_node[taught[self.extra]], minlength=len(counts[0]))
         for shard in np.unique(self.context_shard).tolist():
             lo, hi = np.searchsorted(self.context_shard, [shard, shard + 1])
             spans = [tuple(np.searchsorted(x.shard, [shard, shard + 1])) for x in self.levels]
@@ -168,7 +204,6 @@ def _chunk_id(batch_ids: np.ndarray, chunk: Chunk) -> int:
 
 def _question_batches(batches: Iterator[pa.RecordBatch], order: int, shards: int, hot, keep: bool, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("id", id_type), ("held", pa.bool_())]))
-    words, splits = hot.value
     for batch in batches:
         numbers = batch.column("row").to_numpy()
         held = batch.column("held").to_numpy(zero_copy_only=False)
@@ -181,51 +216,60 @@ def _question_batches(batches: Iterator[pa.RecordBatch], order: int, shards: int
                 columns = [pa.array([name]), pa.array([-1], pa.int32()), pa.array([body], pa.binary()), pa.array([texts], kind)]
                 yield pa.record_batch(columns, names=["chunk", "part", "body", "texts"])
                 continue
-            for shard, body in _Layout(chunk, order, shards, words, splits).questions(~held[chunk.rows]):
+            for shard, body in _Layout(chunk, order, shards, hot.value).questions(~held[chunk.rows]):
                 columns = [pa.array([name]), pa.array([shard], pa.int32()), pa.array([body], pa.binary())]
                 yield pa.record_batch(columns, names=["chunk", "part", "body"])
 
 
 def _answer(rows: pd.DataFrame, hot) -> pd.DataFrame:
-    """One shard: build the trie from all questions, then answer each. One row more says how many words it counts."""
-    asked = [_unpack(b) for b in rows["body"]]
-    depth = (len(asked[0]) - 2) // 3
-    context = np.concatenate([_names(q[0]) for q in asked])
-    words = [_names(q[1]) for q in asked]
-    shift = np.cumsum([0] + [len(w) for w in words])
-    words = np.concatenate(words)
-    index = [np.concatenate([q[3 + 3 * i] + at for q, at in zip(asked, shift)]) for i in range(depth)]
-    many = [np.concatenate([q[2 + 3 * i] for q in asked]) for i in range(depth)]
-    count = [np.concatenate([q[4 + 3 * i] for q in asked]) for i in range(depth)]
-    # Where each question's contexts and n-grams end, to part the answers again.
-    ends = [np.cumsum([len(q[0]) for q in asked])] + [np.cumsum([len(q[3 + 3 * i]) for q in asked]) for i in range(depth)]
-    del asked
-    used = np.zeros(len(words), dtype=bool)
-    for i, n in zip(index, count):
-        used[i[n > 0]] = True
-    own = np.unique(np.repeat(context, many[0])[count[0] > 0])
-    trie = Trie(own, np.unique(words[used]), DISCOUNT)
-    place, words = trie.roots.find(context), trie.words.find(words)
-    out = []
+    """One shard: build the trie level by level from all questions, which are unpacked one at a time, and answer each. One
+    row more says how many words it counts."""
+    bodies = rows["body"].tolist()
+    depth = (len(_unpack(bodies[0])) - 2) // 3
+    own, used = [], []
+    for body in bodies:
+        context, names, many, index, count, *deeper = _unpack(body)
+        own.append(np.unique(np.repeat(_names(context), many)[count > 0]))
+        taught = np.zeros(len(names), dtype=bool)
+        for i, n in zip([index, *deeper[1::3]], [count, *deeper[2::3]]):
+            taught[i[n > 0]] = True
+        used.append(_names(names)[taught])
+    own = np.unique(np.concatenate(own))
+    trie = Trie(own, np.unique(np.concatenate(used)), DISCOUNT)
+    del used
+    words, place, out = [], [], [[] for _ in bodies]
+    for body in bodies:
+        context, names = _unpack(body)[:2]
+        words.append(trie.words.find(_names(names)).astype(np.int32))
+        place.append(trie.roots.find(_names(context)).astype(np.int32))
     for i in range(depth):
-        parent, word = np.repeat(place, many[i]), words[index[i]]
-        seen = np.flatnonzero(count[i])
-        trie.grow(parent[seen], word[seen], count[i][seen])
+        keys, counts = [], []
+        for body, at, word in zip(bodies, place, words):
+            many, index, count = _unpack(body)[2 + 3 * i : 5 + 3 * i]
+            seen = np.flatnonzero(count)
+            keys.append(np.repeat(at, many)[seen].astype(U64) * U64(trie.size) + word[index[seen]].astype(U64))
+            counts.append(count[seen])
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        trie.grow(keys, counts)
+        del keys, counts
         level = trie.levels[i]
-        if i:
-            out.append(np.split(np.where(place >= 0, level.weight[place] if len(level.weight) else 0, 0).astype(np.uint16), ends[i][:-1]))
-        else:
-            out += [np.split(x, ends[0][:-1]) for x in trie.contexts(place)]
-        place = trie.find(i, parent, word)
-        out.append(np.split(np.where(place >= 0, level.code[place] if len(level.code) else 0, 0).astype(np.uint16), ends[i + 1][:-1]))
-        del parent, word
-    own = own[(own != START) & ~np.isin(own, hot.value[0])]
+        for nth, body in enumerate(bodies):
+            many, index, _ = _unpack(body)[2 + 3 * i : 5 + 3 * i]
+            at = place[nth]
+            if i:
+                out[nth].append(np.where(at >= 0, level.weight[at] if len(level.weight) else 0, 0).astype(np.uint16))
+            else:
+                out[nth] += [_small(x) for x in trie.contexts(at)]
+            found = trie.find(i, at, many, words[nth][index])
+            out[nth].append(np.where(found >= 0, level.code[found] if len(level.code) else 0, 0).astype(np.uint16))
+            place[nth] = found.astype(np.int32)
+    own = own[(own != START) & ~np.isin(own, hot.value.names)]
     part = int(rows["part"].iloc[0])
     return pd.DataFrame(
         {
             "chunk": [*rows["chunk"], -1 - part],
             "part": np.array([*rows["part"], -2], dtype=np.int32),
-            "body": [*(_pack(_small(total), _small(n), *codes) for total, n, *codes in zip(*out)), _pack(np.array([len(own)], dtype=np.int64))],
+            "body": [*(_pack(*answers) for answers in out), _pack(np.array([len(own)], dtype=np.int64))],
         }
     )
 
@@ -239,28 +283,34 @@ def _sum_texts(rows: pd.DataFrame, order: int, shards: int, hot, tokens: int, en
         return pd.DataFrame({"id": [None], "held": [None], "n_tokens": [0], "n_known": [0], "base": [0.0], "score": [0.0], "words": [n]})
     data, sizes = _unpack(rows["body"].iloc[0])
     bounds = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
-    layout = _Layout(Chunk(slice(0, len(sizes)), data, bounds), order, shards, *hot.value)
+    layout = _Layout(Chunk(slice(0, len(sizes)), data, bounds), order, shards, hot.value)
     answers = [np.concatenate(a) for a in zip(*(_unpack(b) for b in rows["body"].iloc[1:]))]
-    n, texts = len(layout.names), len(sizes)
-    # Counts and numbers of successors by word; a hot one's come in parts.
+    n, words, texts = len(layout.names), layout.words, len(sizes)
+    # Counts and numbers of successors by context; a hot one's come in parts.
     place, pairs = layout.context, layout.levels[0]
     total, many = np.bincount(place, answers[0], n), np.bincount(place, answers[1], n)
-    alone = total.copy()
-    alone[n - 1] = ends  # the end is no context
+    alone = total[: words + 2].copy()
+    alone[words + 1] = ends  # the end is no context
     unigram = np.maximum(alone, 1) / (tokens + 1)
     before, after = place[pairs.parent], unigram[pairs.word]
     base = np.maximum(total[before], 1)
     # A shard's probabilities are those in its own part of a context.
     kept = chances(answers[2]) * answers[0][pairs.parent]
     chance = np.where(total[before] > 0, (kept + DISCOUNT * many[before] * after) / base, after)
+    if len(layout.extra):  # what follows a hot pair falls back on what follows its second word
+        longer, index = np.unique(layout.extra_node, return_index=True)
+        shorter = chance[pairs.node[layout.extra[index]]]
+        of = before[longer]
+        chance[longer] = np.where(total[of] > 0, (kept[longer] + DISCOUNT * many[of] * shorter) / base[longer], shorter)
     logs = np.log10(chance)[pairs.node]
+    logs[layout.extra] = np.log10(chance)[layout.extra_node]
     for level, weight, code in zip(layout.levels[1:], answers[3::2], answers[4::2]):
         shorter, left = chance[level.suffix], chances(weight)[level.parent]
         chance = np.where(left > 0, chances(code) + left * shorter, shorter)
         have = level.node >= 0
         logs[have] = np.log10(chance)[level.node[have]]
-    word_logs = np.where(np.arange(n) < n - 2, np.log10(alone + 1), 0.0)
-    known = ((alone > 0) & (np.arange(n) < n - 2)).astype(np.int64)
+    word_logs = np.where(np.arange(words + 2) < words, np.log10(alone + 1), 0.0)
+    known = ((alone > 0) & (np.arange(words + 2) < words)).astype(np.int64)
     entries = rows["texts"].iloc[0]
     return pd.DataFrame(
         {
@@ -275,57 +325,79 @@ def _sum_texts(rows: pd.DataFrame, order: int, shards: int, hot, tokens: int, en
     )
 
 
-def _hot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training tokens and texts, and the words with a great share of a chunk's tokens."""
+def _hot_batches(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
+    """Training tokens and texts, and the words and pairs of words with a great share of a chunk's tokens."""
     for batch in batches:
         held = batch.column("held").to_numpy(zero_copy_only=False)
         for chunk in chunks(batch.column("text")):
             starts, ends, cuts = chunk.words(SPACED)
             learn = ~held[chunk.rows]
             sizes = np.diff(cuts)
-            hashes = span_hashes(chunk.data, starts, ends)[np.repeat(learn, sizes)]
-            tokens = len(hashes) + int(learn.sum())
-            words, counts = np.unique(hashes, return_counts=True)
-            many = counts >= HOT_SHARE / 2 * tokens
+            taught = np.repeat(learn, sizes)
+            hashes = span_hashes(chunk.data, starts, ends)
+            before = np.concatenate([[START], hashes[:-1]]).astype(U64)[: len(hashes)]
+            before[cuts[:-1][sizes > 0]] = START
+            tokens = int(taught.sum() + learn.sum())
+            found, counts, is_pair = [], [], []
+            for pair, names in ((False, hashes[taught]), (True, pair_names(before, hashes)[taught])):
+                names, n = np.unique(names, return_counts=True)
+                some = n >= share / 2 * tokens
+                found.append(names[some])
+                counts.append(n[some])
+                is_pair.append(np.full(int(some.sum()), pair))
+            rows = sum(map(len, found))
             yield pa.record_batch(
                 [
-                    pa.array(np.append(words[many], U64(0)).view(np.int64)),
-                    pa.array(np.append(counts[many], 0)),
-                    pa.array(np.append(np.zeros(int(many.sum()), np.int64), tokens)),
-                    pa.array(np.append(np.zeros(int(many.sum()), np.int64), int(learn.sum()))),
+                    pa.array(np.append(np.concatenate(found), U64(0)).view(np.int64)),
+                    pa.array(np.append(np.concatenate(is_pair), False)),
+                    pa.array(np.append(np.concatenate(counts), 0)),
+                    pa.array(np.append(np.zeros(rows, np.int64), tokens)),
+                    pa.array(np.append(np.zeros(rows, np.int64), int(learn.sum()))),
                 ],
-                names=["word", "n", "tokens", "texts"],
+                names=["word", "pair", "n", "tokens", "texts"],
             )
 
 
-def _splits(often: list[tuple[int, int]], texts: int, tokens: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts with a great share of all tokens, rising, and over how many shards each is split: the frequent words, and the
+def _splits(often: list[tuple[int, int]], texts: int, tokens: int, shards: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts with a great share of all tokens, rising, and over how many shards each is split: frequent words and pairs, and the
     start of a text, which comes before as many tokens as there are texts."""
-    if texts and texts >= HOT_SHARE * tokens:
+    if texts and texts >= share * tokens:
         often = [*often, (int(START), texts)]
     often = sorted(often)
-    splits = [min(shards, 1 + int(n * shards / tokens * 2)) for _, n in often]
+    splits = [min(shards, 1 + int(n * shards / tokens / HOT_PART)) for _, n in often]
     return np.array([w for w, _ in often], dtype=U64), np.array(splits, dtype=np.int64)
 
 
-def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS, order: int = 2) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); texts that are `held` out teach nothing."""
+def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); texts that are `held` out teach nothing.
+
+    `docs` is read three times. Each time the texts of a partition are put in order of id and hash, so that the chunks are
+    the same ones, whatever order the rows come in.
+    """
     if order < 2:
         raise ValueError(f"order {order}: a model has contexts of one word at least")
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema["doc_id"].dataType
     rows = docs.select("doc_id", held.alias("held"), F.col("text").cast("string").alias("text"))
-    counted = settle(rows.select("held", "text").mapInArrow(_hot_batches, "word bigint, n bigint, tokens bigint, texts bigint"))
+    # A context that would fill a part of a shard is hot. Shards are known by their size only once tokens are counted.
+    size = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    share = min(HOT_SHARE, HOT_PART * shard_tokens / max(1, size / BYTES_OF_TOKEN))
+    counting = rows.select("held", "text").mapInArrow(
+        partial(_hot_batches, share=share), "word bigint, pair boolean, n bigint, tokens bigint, texts bigint"
+    )
+    counted = settle(counting)
     sums = counted.agg(F.sum("tokens").alias("tokens"), F.sum("texts").alias("texts")).first()
     tokens, texts = int(sums["tokens"] or 0), int(sums["texts"] or 0)
     shards = max(1, -(-tokens // shard_tokens))
-    # By their share there are fewer than 2 / HOT_SHARE of these words, whatever the corpus.
-    often = counted.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_SHARE * tokens)
-    words, splits = _splits([(int(U64(r["word"] % (1 << 64))), r["n"]) for r in often.collect()], texts, tokens, shards)
-    hot = docs.sparkSession.sparkContext.broadcast((words, splits))
-
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    # By their share there are fewer than 2 / share of the words, and as many pairs: some hundred bytes for each shard.
+    often = counted.filter("n > 0").groupBy("word", "pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= share * tokens)
+    found = [(int(U64(r["word"] % (1 << 64))), r["pair"], r["n"]) for r in often.collect() if order == 3 or not r["pair"]]
+    names, splits = _splits([(w, n) for w, _, n in found], texts, tokens, shards, share)
+    pairs = np.sort(np.array([w for w, pair, _ in found if pair], dtype=U64))
+    hot = docs.sparkSession.sparkContext.broadcast(_Hot(names, splits, pairs))
+
+    numbered = rows.sortWithinPartitions("doc_id", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     ask = partial(_question_batches, order=order, shards=shards, hot=hot, id_type=to_arrow_type(kind))
     questions = numbered.mapInArrow(partial(ask, keep=False), "chunk bigint, part int, body binary")
     answers = questions.groupBy("part").applyInPandas(partial(_answer, hot=hot), "chunk bigint, part int, body binary")
@@ -333,10 +405,11 @@ def score_texts(docs: DataFrame, held: Column, shard_tokens: int = SHARD_TOKENS,
     kept = numbered.mapInArrow(partial(ask, keep=True), schema)
     together = kept.unionByName(answers, allowMissingColumns=True)
     out = f"id {kind.simpleString()}, held boolean, n_tokens bigint, n_known bigint, base double, score double, words bigint"
-    found = settle(together.groupBy("chunk").applyInPandas(partial(_sum_texts, order=order, shards=shards, hot=hot, tokens=tokens, ends=texts), out))
-    distinct = int(found.agg(F.sum("words")).first()[0] or 0) + int((words != START).sum()) + int(texts > 0)
+    scored = settle(together.groupBy("chunk").applyInPandas(partial(_sum_texts, order=order, shards=shards, hot=hot, tokens=tokens, ends=texts), out))
+    hot_words = int(((names != START) & ~np.isin(names, pairs)).sum())
+    distinct = int(scored.agg(F.sum("words")).first()[0] or 0) + hot_words + int(texts > 0)
     spread = float(np.log10(tokens + distinct + 1))
-    return found.filter("held is not null").select(
+    return scored.filter("held is not null").select(
         F.col("id").alias("doc_id"),
         F.col("held").alias("held_out"),
         "n_tokens",

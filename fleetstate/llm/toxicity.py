@@ -246,7 +246,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # At most two times per_class short rows: small enough to send to every task, so no text is shuffled.
     found = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).drop("id")
-    return found.dropDuplicates(["doc_id"]).drop("doc_id"), sizes
+    # Of several texts of one id that of the least hash, whatever the order of rows.
+    one = found.groupBy("doc_id", "y", "w", "part").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("text", "y", "w", "part"), sizes
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:

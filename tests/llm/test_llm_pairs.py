@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import collections
 import random
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fleetstate.llm import neighbours, simhash
 from fleetstate.llm.components import Forest, components
@@ -85,6 +87,30 @@ def test_vectors_equal_brute_force(spark, monkeypatch, block):
     assert got == brute_vectors(rows)
 
 
+def test_compared_pairs_in_64_dimensions_are_under_half_of_all(spark, monkeypatch):
+    """Pivots pay in many dimensions too, and the cells lose no link."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter("label < 3")
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in table.select("vec_id", "embedding", "label").collect()]
+    assert len(rows[0][1]) == 64 and len(rows) > 400
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 4)
+    pairs, real = [], neighbours._tiles
+
+    def counted(cells):
+        tiles = real(cells)
+        sides = tiles.groupBy("label", "size", "cell", "one", "two").agg(
+            F.count(F.when(F.col("block") == F.col("one"), 1)).alias("a"), F.count(F.when(F.col("block") == F.col("two"), 1)).alias("b")
+        )
+        pairs.extend(r.a * (r.a - 1) // 2 if r.one == r.two else r.a * r.b for r in sides.collect())
+        return tiles
+
+    monkeypatch.setattr(neighbours, "_tiles", counted)
+    found = neighbours.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    sizes = collections.Counter(label for *_, label in rows)
+    assert sum(pairs) < sum(n * (n - 1) // 2 for n in sizes.values()) / 2
+    got = sorted((False, r.vec_id, r.n_links, False, r.component_id) for r in found)
+    assert got == brute_vectors(rows)
+
+
 def test_no_vectors(spark):
     assert neighbours.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 

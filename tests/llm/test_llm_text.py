@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import math
 import random
 import re
@@ -151,8 +152,71 @@ def test_names_are_replaced_before_their_full_form():
     assert found[0]["entity"] == found[1]["entity"] and found[2]["entity"] == found[4]["entity"]
 
 
+def test_names_in_any_case_and_script():
+    s = pii.Surrogates(b"k" * 32)
+    text, found = s.replace("Mr Garcia left. GARCIA spoke, garcia too. Mr. O'Neil, Dr. McDonald and Dr Łuż; Мария Иванова, Mrs Jane Doe.")
+    assert not re.search(r"garcia|neil|mcdonald|łuż|мария|иванова|jane|doe", text, re.IGNORECASE)
+    names = [text[e["start"] : e["stop"]] for e in found]
+    assert names[1] == names[0].upper() and names[2] == names[0].lower() and len({e["entity"] for e in found[:3]}) == 1
+    assert re.fullmatch(r"[A-Z]'[A-Z][a-z]{3}", names[3]) and re.fullmatch(r"[A-Z][a-z][A-Z][a-z]{5}", names[4])
+    assert names[7].endswith("ова") and names[8].endswith("e")
+    # Endings keep to themselves, so that no two names meet.
+    words = [a + b + c for a in ("Kov", "Mar", "Lin", "Ann", "Bor") for b in ("", "al", "in") for c in ("", "a", "e", "o", "ska", "ski", "k")]
+    assert len({pii._name_word(s.permuter, w) for w in words}) == len(set(words))
+
+
+def test_passwords_of_signs_are_replaced():
+    s = pii.Surrogates(b"k" * 32)
+    for secret in ("######", "!@#$%^&*", "密码密码密码", "a#####"):
+        text, found = s.replace(f"password={secret}")
+        assert len(found) == 1 and secret not in text and text != f"password={secret}"
+    signs = ["".join(x) for x in itertools.product("#!?", repeat=4)]
+    assert len({pii._secret(s.permuter, x) for x in signs}) == len(signs)
+
+
+def test_calling_codes_tell_numbers_apart():
+    s = pii.Surrogates(b"k" * 32)
+    text, found = s.replace("+44 20 1234 5678, +49 20 1234 5678, 0049 20 12345678, +1 (212) 555-0123, 212-555-0123")
+    assert [e["type"] for e in found] == ["phone"] * 5
+    who = [e["entity"] for e in found]
+    assert who[0] != who[1] == who[2] and who[3] == who[4]
+    out = [text[e["start"] : e["stop"]] for e in found]
+    assert out[0].startswith("+44 ") and out[1].startswith("+49 ") and out[2].startswith("0049 ")
+    assert re.sub(r"\D", "", out[0])[2:] != re.sub(r"\D", "", out[1])[2:] == re.sub(r"\D", "", out[2])[4:]
+
+
+def test_accounts_long_addresses_and_numbers_that_are_none():
+    s = pii.Surrogates(b"k" * 32)
+    text, found = s.replace("DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432 from 2001:db8::ff00:42:8329, 2001:DB8:0:0:0:ff00:42:8329")
+    assert [e["type"] for e in found] == ["account", "account", "address6", "address6"]
+    out = [text[e["start"] : e["stop"]] for e in found]
+    assert all(pii._is_account(x) for x in out[:2]) and out[0].startswith("DE") and not re.search("3704|WEST|8329", text)
+    assert out[2] == out[3] and out[2].startswith("2001:") and found[2]["entity"] == found[3]["entity"]
+    clean = "order 1234567890123 at 1700000000000 ms, 12:30:45, aa:bb:cc:dd:ee:ff, std::vector, XX12 3456, a::b"
+    assert s.replace(clean)[0] == clean
+
+
+def test_plain_detector_finds_nothing_that_was_left(spark):
+    """A second, plain look: whitespace-separated words of the given documents that hold an address, a card or a long number."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    s, left = pii.Surrogates(b"k" * 32), []
+    for (text,) in rows:
+        new, _ = s.replace(text or "")
+        known = set(new.split())
+        for word in (text or "").split():
+            bare = word.strip(".,;:!?()\"'")
+            numbers = bare.replace(".", "")
+            email = bare.count("@") == 1 and "." in bare.split("@")[1].strip(".")
+            address = bare.count(".") == 3 and all(x.isascii() and x.isdigit() and int(x) < 256 and str(int(x)) == x for x in bare.split("."))
+            card = numbers == bare and bare.isascii() and bare.isdigit() and 13 <= len(bare) <= 19 and pii._luhn(bare[:-1]) == int(bare[-1])
+            if (email or address or card) and word in known:
+                left.append(word)
+    assert left == []
+
+
 def test_surrogates_over_a_corpus(spark):
-    rows = [(i, f"a{i}@b.example.org 10.0.{i}.1 4{i:015d} +49 (30) 555-{1000 + i}", "e") for i in range(60)]
+    card = lambda i: f"4{i:014d}{pii._luhn(f'4{i:014d}')}"
+    rows = [(i, f"a{i}@b.example.org 10.0.{i}.1 {card(i)} +{44 + i % 2} (30) 555-{1000 + i}", "e") for i in range(60)]
     rows += [(None, None, "e"), (1, "", "e"), (2, "x" * 100_000 + " a1@b.example.org", "e")] + rows[:2]
     df = spark.createDataFrame(rows, "doc_id long, text string, entities string")
     found = pii.with_surrogates(df, "key")
