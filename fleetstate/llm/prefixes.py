@@ -424,3 +424,32 @@ def prefix_nodes(sequences: DataFrame, depth: int = DEPTH, rows: int = SLICE_ROW
 def op11_prefix_trie(spark, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return prefix_nodes(lent(settle(turn_rows(turns))))
+
+
+ORACLE_OP11 = r"""
+WITH t AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (  -- the last two bits of crc32, bit by bit
+  SELECT conv_id, turns, conv_id - conv_id % 20 AS lender,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+  FROM t),
+s AS (
+  SELECT c.conv_id, list_concat(coalesce(l.turns[1:c.h], []), c.turns[c.h + 1:]) AS seq
+  FROM c LEFT JOIN t l ON l.conv_id = c.lender),
+p AS (SELECT conv_id, len(seq) AS size, unnest(range(0, len(seq) + 1)) AS d, seq FROM s),
+n AS (
+  SELECT d, seq[:d] AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends_sha256,
+    any_value(CASE WHEN d > 0 THEN len(regexp_extract_all(seq[d]['text'], '[^\x20\x09-\x0D]+')) ELSE 0 END) AS words
+  FROM p GROUP BY d, seq[:d]),
+k AS (SELECT d - 1 AS d, node[:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.node = n.node),
+b AS (
+  SELECT a.d, a.node, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.words) AS saved_tokens
+  FROM f a JOIN (SELECT *, unnest(range(0, d + 1)) AS above FROM f) x ON a.d = x.above AND a.node = x.node[:x.above] GROUP BY a.d, a.node)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN b ON b.d = f.d AND b.node = f.node LEFT JOIN f up ON up.d = f.d - 1 AND up.node = f.node[:f.d - 1]
+"""

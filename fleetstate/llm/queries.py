@@ -12,7 +12,7 @@ from .neighbours import ORACLE_OP1, op1_embedding_near_dedup
 from .packing import op12_best_fit_packing
 from .pii import op8_pii_surrogates
 from .pieces import op9_sentencepiece
-from .prefixes import op11_prefix_trie
+from .prefixes import ORACLE_OP11, op11_prefix_trie
 from .scoring import op10_lm_scoring
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
@@ -40,4 +40,5 @@ ORACLE = {
     "op2_benchmark_decontamination": ORACLE_OP2,
     "op5_line_dedup": ORACLE_OP5,
     "op7_chat_formatting": ORACLE_OP7,
+    "op11_prefix_trie": ORACLE_OP11,
 }
