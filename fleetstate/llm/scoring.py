@@ -36,7 +36,7 @@ DISCOUNT = 0.75
 #: Words of the longest n-grams of the query.
 ORDER = 3
 #: Bytes of text in a chunk, training tokens of a shard.
-CHUNK, SHARD_TOKENS = 1 << 23, 3_000_000
+CHUNK, SHARD_TOKENS = 1 << 24, 3_000_000
 #: Contexts with a greater share of the training tokens, or that would fill a greater part of a shard, are split over shards in
 #: such parts. Bytes of text to a token, for a first guess of their number.
 HOT_SHARE, HOT_PART, BYTES_OF_TOKEN = 1 / 2048, 1 / 16, 6
@@ -50,23 +50,23 @@ _ROWS = "chunk bigint, part int, body binary, texts array<struct<id: {id}, held:
 _KINDS = [np.dtype(c) for c in ("u1", "u2", "u4", "u8", "i8")]
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers as compressed bytes: of wide ones first all lowest bytes, then the next."""
-    head = np.array([len(arrays), *(x for a in arrays for x in (len(a), _KINDS.index(a.dtype)))], dtype=np.int64)
-    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if a.itemsize > 2 and len(a) else a.tobytes() for a in arrays)
+def _pack(*arrays: np.ndarray, wide: int = 4) -> bytes:
+    """Arrays of whole numbers as compressed bytes: of those `wide` bytes or more wide first all lowest bytes, then the next."""
+    head = np.array([len(arrays), wide, *(x for a in arrays for x in (len(a), _KINDS.index(a.dtype)))], dtype=np.int64)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if a.itemsize >= wide and len(a) else a.tobytes() for a in arrays)
     body = b"".join([head.tobytes(), *planes])
     return np.int64(len(body)).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
     body = pa.decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), codec="zstd", asbytes=True)
-    many = int(np.frombuffer(body, np.int64, 1)[0])
-    head = np.frombuffer(body, np.int64, 2 * many, 8).reshape(many, 2)
-    out, at = [], 8 + 16 * many
+    many, wide = np.frombuffer(body, np.int64, 2).tolist()
+    head = np.frombuffer(body, np.int64, 2 * many, 16).reshape(many, 2)
+    out, at = [], 16 + 16 * many
     for n, kind in head.tolist():
         size = _KINDS[kind].itemsize
         planes = np.frombuffer(body, np.uint8, n * size, at)
-        out.append(planes.view(_KINDS[kind]) if size < 3 else np.ascontiguousarray(planes.reshape(size, n).T).view(_KINDS[kind]).reshape(n))
+        out.append(planes.view(_KINDS[kind]) if size < max(2, wide) else np.ascontiguousarray(planes.reshape(size, n).T).view(_KINDS[kind]).reshape(n))
         at += n * size
     return out
 
@@ -82,10 +82,34 @@ class _Level:
     and without their first (`suffix`), all by shard, parent and word; `node` has the place of each token's, or -1."""
 
     def __init__(self, word: np.ndarray, shard: np.ndarray, parent: np.ndarray, suffix: np.ndarray | None, node: np.ndarray):
-        self.word, self.shard, self.parent, self.suffix = word.astype(np.int32), shard.astype(np.int32), parent, suffix
+        self.word, self.shard, self.parent, self.suffix = word.astype(np.int32), shard.astype(np.int32), parent.astype(np.int32), suffix
         self.node = node.astype(np.int32)
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, rising, and the place of each value among them, in less memory than numpy's own."""
+    by = np.argsort(codes).astype(np.int32)
+    codes = codes[by]  # sorted
+    new = np.append(True, codes[1:] != codes[:-1])[: len(codes)]
+    place = np.empty(len(codes), dtype=np.int32)
+    place[by] = np.cumsum(new, dtype=np.int32) - 1
+    return codes[new], place
+
+
+def _words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different words by hash, rising; the place of each word of the chunk among them; words of each text)."""
+    hashes, sizes, lo = [], [], 0
+    while lo < len(chunk.bounds) - 1:  # some texts at a time
+        hi = max(lo + 1, int(np.searchsorted(chunk.bounds, chunk.bounds[lo] + (1 << 20), side="right")) - 1)
+        data = chunk.data[chunk.bounds[lo] : chunk.bounds[hi]]
+        starts, ends, cuts = Chunk(slice(lo, hi), data, chunk.bounds[lo : hi + 1] - chunk.bounds[lo]).words(SPACED)
+        hashes.append(span_hashes(data, starts, ends))
+        sizes.append(np.diff(cuts))
+        lo = hi
+    keys, place = _distinct(np.concatenate([np.empty(0, dtype=U64), *hashes]))
+    return keys, place, np.concatenate([np.empty(0, dtype=np.int64), *sizes])
+
+
 @dataclass(frozen=True)
 class _Hot:
     """Contexts with a great share of the tokens, by name, over how many shards each is split, and those of them that are pairs."""
@@ -103,23 +127,25 @@ def pair_names(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 class _Layout:
     """The n-grams of a chunk, level by level, by shard and by their words, the same way whenever it is worked out."""
 
-    def __init__(self, chunk: Chunk, order: int, shards: int, hot: _Hot):
-        starts, ends, cuts = chunk.words(SPACED)
-        self.sizes = np.diff(cuts)
-        texts, n = len(self.sizes), len(starts)
-        keys, place = np.unique(span_hashes(chunk.data, starts, ends), return_inverse=True)
-        del starts, ends
-        words = len(keys)
+    @classmethod
+    def of(cls, chunk: Chunk, order: int, shards: int, hot: _Hot) -> _Layout:
+        return cls(*_words(chunk), order, shards, hot)
+
+    def __init__(self, keys: np.ndarray, place: np.ndarray, sizes: np.ndarray, order: int, shards: int, hot: _Hot):
+        """`keys`: the different words, rising; `place`: which of them each word of the texts is; `sizes`: words of each text."""
+        self.sizes = sizes
+        texts, n, words = len(sizes), len(place), len(keys)
         self.names = np.concatenate([keys, [START, END]]).astype(U64)
         # One token after the other: a text's first follows the start, its last is the end.
         self.text = np.repeat(np.arange(texts, dtype=np.int32), self.sizes + 1)
-        of = np.arange(n) + np.repeat(np.arange(texts), self.sizes)
         self.token = np.full(n + texts, words + 1, dtype=np.int32)
+        before = np.full(n + texts, words, dtype=np.int32)
+        of = np.arange(n, dtype=np.int32) + np.repeat(np.arange(texts, dtype=np.int32), self.sizes)
         self.token[of] = place
-        before = np.full(n + texts, words, dtype=np.int64)
         before[of + 1] = place  # the place after a word is in the same text, as each text has an end
         del of, place
-        nth = np.arange(n + texts) - np.repeat(np.cumsum(self.sizes + 1) - self.sizes - 1, self.sizes + 1)
+        first = np.cumsum(self.sizes + 1) - self.sizes - 1
+        nth = np.arange(n + texts, dtype=np.int32) - np.repeat(first.astype(np.int32), self.sizes + 1)
         # Where a hot pair goes before, it is a context like a word, and the n-gram of three is a pair of the first level.
         self.extra, pairs = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         if order == 3 and len(hot.pairs):
@@ -131,10 +157,14 @@ class _Layout:
             present, pairs = np.unique(found[inside], return_inverse=True)
             self.names = np.concatenate([self.names, hot.pairs[present]])
         size = len(self.names)
-        codes = np.concatenate([before * size + self.token, (words + 2 + pairs) * size + self.token[self.extra]])
-        pair, node = np.unique(codes, return_inverse=True)
-        del before, codes, pairs
-        context, word = np.divmod(pair, size)
+        codes = np.concatenate([before, (words + 2 + pairs).astype(np.int32)]).astype(np.int64)
+        del before, pairs
+        codes *= size
+        codes[: n + texts] += self.token
+        codes[n + texts :] += self.token[self.extra]
+        pair, node = _distinct(codes)
+        del codes
+        context, word = (pair // size).astype(np.int32), (pair % size).astype(np.int32)
         del pair
         # Shards: by the context; for hot ones also by the word.
         home = (mix(self.names) % U64(shards)).astype(np.int64)
@@ -151,8 +181,8 @@ class _Layout:
         by = np.lexsort((every, where))
         self.context, self.context_shard = every[by], where[by]
         by = np.argsort(shard, kind="stable")  # pairs are by context and word already
-        rank = np.empty(len(by), dtype=np.int64)
-        rank[by] = np.arange(len(by))
+        rank = np.empty(len(by), dtype=np.int32)
+        rank[by] = np.arange(len(by), dtype=np.int32)
         slot = self.context_shard * size + self.context
         parent = np.searchsorted(slot, shard[by] * size + context[by])
         self.words, self.extra_node = words, rank[node[n + texts :]]
@@ -162,10 +192,15 @@ class _Layout:
         plain = np.ones(n + texts, dtype=bool)
         plain[self.extra] = False
         for least in range(1, order - 1):
-            last, at = self.levels[-1], np.flatnonzero((nth >= least) & plain)
-            gram, index = np.unique(last.node[at - 1].astype(np.int64) * size + self.token[at], return_inverse=True)
-            parent, word = np.divmod(gram, size)
-            suffix = np.empty(len(gram), dtype=np.int32)
+            last, at = self.levels[-1], np.flatnonzero((nth >= least) & plain).astype(np.int32)
+            codes = last.node[at - 1].astype(np.int64)
+            codes *= size
+            codes += self.token[at]
+            gram, index = _distinct(codes)
+            del codes
+            parent, word = (gram // size).astype(np.int32), (gram % size).astype(np.int32)
+            del gram
+            suffix = np.empty(len(word), dtype=np.int32)
             suffix[index] = last.node[at]
             node = np.full(n + texts, -1, dtype=np.int32)
             node[at] = index
@@ -185,7 +220,7 @@ class _Layout:
             for x, n, (a, b) in zip(self.levels, counts, spans):
                 body += [_small(np.bincount(x.parent[a:b] - lo, minlength=hi - lo)), _small(place[at : at + b - a]), _small(n[a:b])]
                 lo, hi, at = a, b, at + b - a
-            yield shard, _pack(*body)
+            yield shard, _pack(*body, wide=2)
 
 
 def _steps(names: np.ndarray) -> np.ndarray:
@@ -209,14 +244,14 @@ def _question_batches(batches: Iterator[pa.RecordBatch], order: int, shards: int
         held = batch.column("held").to_numpy(zero_copy_only=False)
         for chunk in chunks(batch.column("text"), most=CHUNK):
             name = _chunk_id(numbers, chunk)
-            if keep:  # the text, which is smaller than its layout
+            if keep:  # the text, which is smaller than its words' hashes and numbers, and than its layout
                 ids = batch.column("doc_id").slice(chunk.rows.start, len(chunk.bounds) - 1).to_pylist()
                 body = _pack(chunk.data, _small(np.diff(chunk.bounds)))
                 texts = [{"id": i, "held": bool(h)} for i, h in zip(ids, held[chunk.rows])]
                 columns = [pa.array([name]), pa.array([-1], pa.int32()), pa.array([body], pa.binary()), pa.array([texts], kind)]
                 yield pa.record_batch(columns, names=["chunk", "part", "body", "texts"])
                 continue
-            for shard, body in _Layout(chunk, order, shards, hot.value).questions(~held[chunk.rows]):
+            for shard, body in _Layout.of(chunk, order, shards, hot.value).questions(~held[chunk.rows]):
                 columns = [pa.array([name]), pa.array([shard], pa.int32()), pa.array([body], pa.binary())]
                 yield pa.record_batch(columns, names=["chunk", "part", "body"])
 
@@ -243,9 +278,10 @@ def _answer(rows: pd.DataFrame, hot) -> pd.DataFrame:
         words.append(trie.words.find(_names(names)).astype(np.int32))
         place.append(trie.roots.find(_names(context)).astype(np.int32))
     for i in range(depth):
-        keys, counts = [], []
+        keys, counts, asked = [], [], []
         for body, at, word in zip(bodies, place, words):
             many, index, count = _unpack(body)[2 + 3 * i : 5 + 3 * i]
+            asked.append((many.copy(), index.copy()))  # not with all of the body that they lie in
             seen = np.flatnonzero(count)
             keys.append(np.repeat(at, many)[seen].astype(U64) * U64(trie.size) + word[index[seen]].astype(U64))
             counts.append(count[seen])
@@ -253,8 +289,7 @@ def _answer(rows: pd.DataFrame, hot) -> pd.DataFrame:
         trie.grow(keys, counts)
         del keys, counts
         level = trie.levels[i]
-        for nth, body in enumerate(bodies):
-            many, index, _ = _unpack(body)[2 + 3 * i : 5 + 3 * i]
+        for nth, (many, index) in enumerate(asked):
             at = place[nth]
             if i:
                 out[nth].append(np.where(at >= 0, level.weight[at] if len(level.weight) else 0, 0).astype(np.uint16))
@@ -283,7 +318,8 @@ def _sum_texts(rows: pd.DataFrame, order: int, shards: int, hot, tokens: int, en
         return pd.DataFrame({"id": [None], "held": [None], "n_tokens": [0], "n_known": [0], "base": [0.0], "score": [0.0], "words": [n]})
     data, sizes = _unpack(rows["body"].iloc[0])
     bounds = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
-    layout = _Layout(Chunk(slice(0, len(sizes)), data, bounds), order, shards, hot.value)
+    layout = _Layout.of(Chunk(slice(0, len(sizes)), data, bounds), order, shards, hot.value)
+    del data
     answers = [np.concatenate(a) for a in zip(*(_unpack(b) for b in rows["body"].iloc[1:]))]
     n, words, texts = len(layout.names), layout.words, len(sizes)
     # Counts and numbers of successors by context; a hot one's come in parts.

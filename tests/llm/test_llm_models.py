@@ -241,7 +241,7 @@ def test_start_of_many_short_texts_is_split():
     words, splits = scoring._splits([(9, 1200)], texts=len(texts), tokens=1600, shards=8, share=scoring.HOT_SHARE)
     assert words.tolist() == [9, int(scoring.START)] and splits.tolist() == [8, 8]
     (chunk,) = chunks(pa.array(texts))
-    layout = scoring._Layout(chunk, 3, 8, hot(words, splits))
+    layout = scoring._Layout.of(chunk, 3, 8, hot(words, splits))
     pairs = layout.levels[0]
     start = layout.names[layout.context[pairs.parent]] == scoring.START
     assert start.sum() == 400 and np.bincount(pairs.shard[start], minlength=8).max() < 100
@@ -261,7 +261,7 @@ def test_hot_pairs_are_split_and_shards_are_level():
             found += [(w % (1 << 64), p, n) for w, p, n, *_ in zip(*(c.to_pylist() for c in rows.columns)) if n and (pair or not p)]
         names, splits = scoring._splits([(w, n) for w, _, n in found], len(texts), tokens, shards, scoring.HOT_PART / shards)
         (chunk,) = chunks(pa.array(texts), most=1 << 30)
-        layout = scoring._Layout(chunk, 3, shards, hot(names, splits, sorted(w for w, p, _ in found if p)))
+        layout = scoring._Layout.of(chunk, 3, shards, hot(names, splits, sorted(w for w, p, _ in found if p)))
         load = sum(np.bincount(level.shard, minlength=shards) for level in layout.levels)
         assert (load.max() / load.mean() <= 1.5) == pair, load.max() / load.mean()
 
