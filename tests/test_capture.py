@@ -379,3 +379,17 @@ def test_what_cannot_be_used_is_said(spark, tmp_path, caplog):
     (folder / "broken.json").write_text(json.dumps({"captured_at": TEN.isoformat(), "park_id": 6, "park_name": "A", "payload": "{"}) + "\n")
     land_captures(spark, str(folder), str(tmp_path / "raw"), str(tmp_path / "check")).awaitTermination()
     assert "no usable row" in caplog.text and not (tmp_path / "raw").exists()
+
+
+def test_landed_stream_on_a_cluster_uses_the_shared_folder_that_is_set(spark, tmp_path, monkeypatch):
+    from fleetstate import session
+    from workload.registry import REGISTRY
+
+    rows = [(i, TEN + dt.timedelta(minutes=20 * i), i % 3, "click", float(i)) for i in range(12)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    base = session.shared_base
+    monkeypatch.setattr(session, "shared_base", lambda master, *rest: base("spark://host:7077", *rest))
+    found = REGISTRY["landed_stream"](spark, str(tmp_path)).collect()
+    hours = {(r[1].replace(minute=0), r[2]) for r in rows}
+    assert len(found) == len(hours) and {(r.captured_at, r.ride_id) for r in found} == hours

@@ -85,8 +85,10 @@ class Frames:
 
     def landed_stream(self) -> DataFrame:
         """Two batches of answers land one after the other and are captured by the file stream, each by a run of its own; then
-        a stream that has lost its checkpoint captures both again. What the store then holds is kept, the rest goes."""
-        with work_folder(self.spark) as work:
+        a stream that has lost its checkpoint captures both again. What the store then holds is kept, the rest goes.
+
+        A spark.checkpoint.dir that is set is one that all executors share, whatever file system its name is of."""
+        with work_folder(self.spark, self.spark.conf.get("spark.checkpoint.dir", None)) as work:
             landing, store = f"{work}/landing", f"{work}/store"
             for batch in mapping.hourly_payloads(self.spark, self.sf_dir):
                 batch.write.mode("append").json(landing)
