@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +129,15 @@ SPACED = byte_table(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
 ALNUM = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
+def released(batches: Iterator[pa.RecordBatch], work: Callable, **more) -> Iterator[pa.RecordBatch]:
+    """What `work` yields; then the memory that it has freed goes back to the machine. Workers outlive their tasks, and would keep
+    it beside the next stage."""
+    yield from work(batches, **more)
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class Chunk:
     """Some whole texts of a batch as one run of bytes. `rows` are their places in the batch."""
 

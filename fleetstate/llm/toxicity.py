@@ -25,9 +25,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .boost import Trees, fit_isotonic, fit_trees
-from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, first_by_hash, held_out, prefix_hashes, schema_with, settle, table
+from .common import ALNUM, LOWER, SPACED, U64, Chunk, chunks, first_by_hash, held_out, prefix_hashes, released, schema_with, settle, table
 
 #: Documents of each class in the training sample, words and stems in the lexicon: bounds of what meets on the driver.
 SAMPLE_PER_CLASS, LEXICON_SIZE = 12_000, 1_500
@@ -277,10 +278,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     return Model(lexicon, trees, fit_isotonic(trees.raw(x[part == 2]), y[part == 2], w[part == 2]), sizes[1] / total)
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _score_batches(batches: Iterator[pa.RecordBatch], model, inside: int = -1) -> Iterator[pa.RecordBatch]:
+    """The text is in `_text`, or, so that it need not come twice, in field `inside` of `row`."""
     for batch in batches:
         rest = [n for n in batch.schema.names if n != "_text"]
-        for chunk in chunks(batch.column("_text"), lower=False):
+        for chunk in chunks(batch.column("_text") if inside < 0 else batch.column("row").field(inside), lower=False):
             scores = model.value.score(features(chunk, model.value.lexicon))
             part = batch.slice(chunk.rows.start, len(scores))
             yield pa.record_batch([*(part.column(n) for n in rest), pa.array(scores)], names=[*rest, "score"])
@@ -291,15 +293,19 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in ("text", "score", "predicted", "_text")]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("string").alias("_text"))
-    scored = rows.mapInArrow(partial(_score_batches, model=sent), schema_with(rows, ("_text",), "score double"))
+    scored = rows.mapInArrow(partial(released, work=_score_batches, model=sent), schema_with(rows, ("_text",), "score double"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs` that score under one half."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    scored = toxicity_scores(docs.select(row.alias("row"), F.col("text").cast("string").alias("text")), model)
-    return scored.filter("predicted = 0").select("row.*")
+    if "text" not in docs.columns or not isinstance(docs.schema["text"].dataType, StringType):
+        scored = toxicity_scores(docs.select(row.alias("row"), F.col("text").cast("string").alias("text")), model)
+        return scored.filter("predicted = 0").select("row.*")
+    sent, rows = docs.sparkSession.sparkContext.broadcast(model), docs.select(row.alias("row"))
+    score = partial(released, work=_score_batches, model=sent, inside=docs.columns.index("text"))
+    return rows.mapInArrow(score, schema_with(rows, (), "score double")).filter("score < 0.5").select("row.*")
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

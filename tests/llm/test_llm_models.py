@@ -83,6 +83,20 @@ def test_toxicity_on_held_out_documents(spark, toxic_corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in scored.items() if r.predicted == 0}
 
 
+def test_dropping_toxic_texts_sends_each_text_once(spark, toxic_corpus):
+    docs, labels = toxic_corpus[:2]
+    model = toxicity.fit(docs, labels)
+    wide = docs.withColumn("more.of", F.lit(1))
+    kept = toxicity.drop_toxic(wide, model)
+    assert kept.dtypes == wide.dtypes and "_text" not in kept._jdf.queryExecution().toString()
+    scores = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, model).collect()}
+    expected = sorted((r.doc_id, r.text) for r in docs.collect() if scores[r.doc_id] < 0.5)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == expected
+    binary = docs.select("doc_id", F.col("text").cast("binary").alias("text"))  # cast for the score only
+    rows = toxicity.drop_toxic(binary, model)
+    assert rows.dtypes == binary.dtypes and sorted((r.doc_id, bytes(r.text).decode()) for r in rows.collect()) == expected
+
+
 def test_toxicity_of_odd_texts(spark, toxic_corpus):
     odd = spark.createDataFrame(ODD, "doc_id long, text string")
     for labels in (toxic_corpus[1], toxic_corpus[1].filter("toxic = 0"), toxic_corpus[1].limit(0)):
