@@ -26,16 +26,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, _powers, chunks, mix, schema_with, span_hashes, table
+from .common import U64, _powers, chunks, mix, released, schema_with, span_hashes, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text for which the lattice of distinct words is laid out at once.
 LATTICE_BYTES = 3 << 20
 #: Longer words are walked one by one.
 LONG_WORD = 256
+#: Distinct words of a lattice: 16 bits number them.
+WORDS = 1 << 16
 #: Log weight of a byte of a character that the vocabulary lacks.
 BYTE_WEIGHT = -20.0
 _SPACE = 0x20
+#: The slot of a hash: the highest 20 bits of a product.
+_SPREAD, _SLOT = U64(0x9FB21C651E98DF25), U64(44)
 _RESULT = ("ids", "n_pieces", "lossless")
 
 
@@ -82,22 +86,34 @@ class Vocabulary:
             self.bytes = np.frombuffer(b"".join(self.pieces), dtype=np.uint8)
             self.offsets = np.concatenate([[0], np.cumsum(lengths)])
             ids = np.flatnonzero(np.isfinite(self.weight) & (lengths > 0))
-            spans = span_hashes(self.bytes, self.offsets[:-1][ids], self.offsets[1:][ids])
-            order = np.argsort(spans)
+            starts, ends = self.offsets[:-1][ids], self.offsets[1:][ids]
+            power, inverse = _powers(len(self.bytes) + 1)
+            sums = np.zeros(len(self.bytes) + 1, dtype=U64)
+            np.cumsum((self.bytes.astype(U64) + U64(1)) * power[: len(self.bytes)], out=sums[1:])
+            spans = (sums[ends] - sums[starts]) * inverse[starts]
+            order = np.lexsort((spans, spans * _SPREAD >> _SLOT))
             self.keys, self.key_ids = spans[order], ids[order].astype(np.int32)
-            if (self.keys[1:] == self.keys[:-1]).any():
+            if len(np.unique(spans)) < len(spans):
                 raise ValueError("two pieces are equal or share a hash")
-            self.seen = np.zeros(1 << 20, dtype=bool)
-            self.seen[self.keys >> U64(44)] = True
+            # By slot: whether it has keys, and where they begin.
+            slots, first = np.unique(self.keys * _SPREAD >> _SLOT, return_index=True)
+            self.seen, self.slot = np.zeros(1 << 20, dtype=bool), np.zeros(1 << 20, dtype=np.int32)
+            self.seen[slots], self.slot[slots] = True, first
+            self.longest_slot = int(np.diff(np.append(first, len(self.keys))).max(initial=1))
             self.sizes = np.unique(lengths[ids])
             self.of = {self.pieces[i]: (int(i), float(self.weight[i])) for i in ids}
         return self
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in `hashes` that are pieces, and the pieces' ids."""
-        maybe = np.flatnonzero(self.seen[hashes >> U64(44)])
-        at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
-        hit = self.keys[at] == hashes[maybe]
+        """Places in `hashes` (sums of bytes by powers of the hash base) that are pieces, and the pieces' ids."""
+        slots = hashes * _SPREAD >> _SLOT
+        maybe = np.flatnonzero(self.seen[slots])
+        hashes, at = hashes[maybe], self.slot[slots[maybe]]
+        hit = self.keys[at] == hashes
+        for _ in range(self.longest_slot - 1):
+            left = np.flatnonzero(~hit)
+            at[left] = np.minimum(at[left] + 1, len(self.keys) - 1)
+            hit[left] = self.keys[at[left]] == hashes[left]
         return maybe[hit], self.key_ids[at[hit]]
 
 
@@ -109,84 +125,90 @@ def _uniform(row_seed: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (mix(row_seed ^ mix(place.astype(U64) + U64(1))) >> U64(11)).astype(np.float64) * 2.0**-53
 
 
+def _spelled(vocab: Vocabulary, data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to characters that are no piece."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    width = np.diff(np.append(lead, len(data)))
+    known = np.array([bytes([b]) in vocab.of for b in range(256)])[data[lead]]
+    wide = np.flatnonzero(width > 1)
+    power, inverse = _powers(int(width.max(initial=1)) + 1)
+    chars = np.zeros(len(wide), dtype=U64)
+    for i in range(int(width.max(initial=1))):
+        more = np.flatnonzero(width[wide] > i)
+        chars[more] += (data[lead[wide[more]] + i].astype(U64) + U64(1)) * power[i]
+    known[wide] = False
+    known[wide[vocab.find(chars)[0]]] = True
+    return np.repeat(~known, width)
+
+
 class _Lattice:
-    """All paths through some distinct words laid end to end, with the forward weights and, by end, the edges."""
-
-    def __init__(self, vocab: Vocabulary, data: np.ndarray, starts: np.ndarray):
-        n = len(data)
-        stops = np.append(starts[1:], n)
-        word = np.repeat(np.arange(len(starts)), stops - starts)
-        power, inverse = _powers(n + 1)
-        sums = np.zeros(n + 1, dtype=U64)
-        np.cumsum((data.astype(U64) + U64(1)) * power[:n], out=sums[1:])
-        begin, end, piece = [], [], []
-        room = stops[word] - np.arange(n)
-        for size in vocab.sizes.tolist():
-            places = np.flatnonzero(room >= size)
-            if not len(places):
-                break
-            hit, ids = vocab.find(mix((sums[places + size] - sums[places]) * inverse[places]))
-            begin.append(places[hit])
-            end.append(places[hit] + size)
-            piece.append(ids)
-        # Characters that are no piece: an edge for each of their bytes.
-        lead = np.flatnonzero((data & 0xC0) != 0x80)
-        width = np.diff(np.append(lead, n))
-        known = np.zeros(n, dtype=bool)
-        wide = np.zeros(n, dtype=np.int64)
-        wide[lead] = width
-        for b, e in zip(begin, end):
-            if len(b) and e[0] - b[0] <= 4:  # the pieces of one size
-                known[b[wide[b] == e[0] - b[0]]] = True
-        spelled = np.flatnonzero(np.repeat(~known[lead], width)) if len(lead) else lead
-        begin.append(spelled)
-        end.append(spelled + 1)
-        piece.append(vocab.byte_ids[data[spelled]])
-        self.begin, self.end, self.piece = np.concatenate(begin), np.concatenate(end), np.concatenate(piece)
-        weight = vocab.weight[self.piece]
-        weight[~np.isfinite(weight)] = BYTE_WEIGHT
-        # Places are numbered by word and place in it; a word's first place is its own, so ends never meet starts.
-        base = starts[word[self.begin]]
-        depth = self.end - base
-        order = np.argsort(depth * (n + 1) + self.end)
-        self._forward(n, order, depth[order], weight, starts)
-        self._by_end(n, weight)
-
-    def _forward(self, n: int, order, depth, weight, starts) -> None:
-        # total[e] for the end e of an edge; a start that is a word's first place has weight 0.
-        self.first = np.zeros(n + 1, dtype=bool)
-        self.first[starts] = True
-        self.total = np.full(n + 1, -np.inf)
-        cuts = np.flatnonzero(np.diff(depth)) + 1
-        for part in np.split(order, cuts) if len(order) else []:
-            b, e = self.begin[part], self.end[part]
-            x = np.where(self.first[b], 0.0, self.total[b]) + weight[part]
-            head = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
-            top = np.maximum.reduceat(x, head)
-            top[~np.isfinite(top)] = 0.0
-            near = np.exp(x - np.repeat(top, np.diff(np.append(head, len(x)))))
-            with np.errstate(divide="ignore"):
-                self.total[e[head]] = top + np.log(np.add.reduceat(near, head))
-
-    def _by_end(self, n: int, weight) -> None:
-        with np.errstate(invalid="ignore"):
-            share = np.exp(np.where(self.first[self.begin], 0.0, self.total[self.begin]) + weight - self.total[self.end])
-        share[~np.isfinite(share)] = 0.0
-        order = np.argsort(self.end * (n + 1) + self.begin)
-        order = order[share[order] > 0]
-        self.begin, self.end, self.piece, share = self.begin[order], self.end[order], self.piece[order], share[order]
-        head = np.flatnonzero(np.append(True, self.end[1:] != self.end[:-1])) if len(order) else np.empty(0, np.int64)
-        upto = np.cumsum(share)
-        before = np.repeat(upto[head] - share[head], np.diff(np.append(head, len(order))))
-        rank = np.zeros(n + 1, dtype=np.int64)
-        rank[self.end[head]] = np.arange(len(head))
-        self.rank, self.head, self.tail = rank, head, np.append(head[1:], len(order)) - 1
-        # The share is counted from the end's first edge; ends are whole numbers apart.
-        self.bound = np.minimum(upto - before, 1.0) + rank[self.end]
-
-    def draw(self, ends: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge for each end."""
-        r = self.rank[ends]
+    """All paths through some distinct words, no more than WORDS, the longest first, with the edges by end.
+
+    The words are gone through side by side: the ends after the same number of bytes of all words that long are together, in
+    order of word. So what leads to them is worked out for all at once, from what the ends before them have.
+    """
+
+    def __init__(self, vocab: Vocabulary, data: np.ndarray, spelled: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        deepest = int(sizes[0])
+        ends = np.searchsorted(-sizes, -np.arange(deepest + 1), side="right")  # words of so many bytes or more
+        ends[0] = 0
+        self.base = np.cumsum(ends) - ends
+        power, inverse = _powers(deepest + 1)
+        steps = vocab.sizes[::-1].tolist()
+        sums, totals = [np.zeros(len(starts), dtype=U64)], [np.zeros(len(starts))]
+        heads, counts, bounds, pieces, lengths, edges = [], [], [], [], [], 0
+        for depth in range(1, deepest + 1):
+            n = int(ends[depth])
+            byte = data[starts[:n] + (depth - 1)]
+            row = sums[-1][:n] + (byte.astype(U64) + U64(1)) * power[depth - 1]
+            words, ids, ways, size = [], [], [], []
+            for step in steps:  # the longest first: edges of an end are by where they begin
+                if step > depth:
+                    continue
+                word, found = vocab.find((row - sums[depth - step][:n]) * inverse[depth - step])
+                words.append(word)
+                ids.append(found)
+                ways.append(totals[depth - step][word] + vocab.weight[found])
+                size.append(np.full(len(word), step, dtype=np.uint8))
+            word = np.flatnonzero(spelled[starts[:n] + (depth - 1)])
+            if len(word):
+                words.append(word)
+                ids.append(vocab.byte_ids[byte[word]])
+                ways.append(totals[depth - 1][word] + BYTE_WEIGHT)
+                size.append(np.ones(len(word), dtype=np.uint8))
+            word, way = np.concatenate(words).astype(np.uint16), np.concatenate(ways)
+            by = np.argsort(word, kind="stable")
+            by = by[way[by] > -np.inf]
+            word, way = word[by], way[by]
+            count = np.bincount(word, minlength=n)
+            total = np.full(n, -np.inf)
+            if len(by):
+                some = np.flatnonzero(count)
+                head, many = (np.cumsum(count) - count)[some], count[some]
+                top = np.maximum.reduceat(way, head)
+                share = np.exp(way - np.repeat(top, many))
+                whole = np.add.reduceat(share, head)
+                total[some] = top + np.log(whole)
+                share /= np.repeat(whole, many)
+                upto = np.cumsum(share)
+                # The share is counted from the end's first edge; ends are whole numbers apart.
+                upto -= np.repeat(upto[head] - share[head], many)
+                bounds.append(np.minimum(upto, 1.0) + (word + self.base[depth]))
+                pieces.append(np.concatenate(ids)[by])
+                lengths.append(np.concatenate(size)[by])
+            heads.append(edges + np.cumsum(count) - count)
+            counts.append(count)
+            edges += len(by)
+            sums.append(row)
+            totals.append(total)
+            if depth >= steps[0]:
+                sums[depth - steps[0]] = totals[depth - steps[0]] = None  # no piece begins there any more
+        self.bound, self.piece, self.length = np.concatenate(bounds), np.concatenate(pieces), np.concatenate(lengths)
+        self.head, self.tail = np.concatenate(heads), np.concatenate(heads) + np.concatenate(counts) - 1
+
+    def draw(self, word: np.ndarray, depth: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """An edge for the end after `depth` bytes of each word."""
+        r = self.base[depth] + word
         at = np.searchsorted(self.bound, r + u, side="right")
         return np.clip(at, self.head[r], self.tail[r])
 
@@ -247,24 +269,28 @@ def encode_chunk(vocab: Vocabulary, data: np.ndarray, bounds: np.ndarray, seeds:
     short = np.flatnonzero(~long)
     _, where, word = np.unique(span_hashes(data, starts, stops)[short], return_index=True, return_inverse=True)
     sizes = (stops - starts)[short][where]
-    laid = np.concatenate([[0], np.cumsum(sizes)])
-    take = np.repeat(starts[short][where] - laid[:-1], sizes) + np.arange(laid[-1])
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    longest = np.argsort(-sizes, kind="stable")
+    nth = np.empty(len(longest), dtype=np.int64)
+    nth[longest] = np.arange(len(longest))
+    where, sizes, word = starts[short][where][longest], sizes[longest], nth[word]
+    by_word = np.argsort(word, kind="stable")  # so that draws go through a lattice from front to back
+    steps: list[tuple[int, np.ndarray, np.ndarray]] = []
     count = np.zeros(len(starts), dtype=np.int64)
-    if len(short):
-        lattice = _Lattice(vocab, data[take], laid[:-1])
-        by_word = np.argsort(word)  # so that draws go through the lattice from front to back
-        live, word = short[by_word], word[by_word]
-        at, first = laid[1:][word], laid[:-1][word]
-        base = starts[live] - bounds[row[live]] - first  # a lattice place to a place of the text
-        seed = seeds[row[live]]
+    spelled = _spelled(vocab, data)
+    for first in range(0, len(sizes), WORDS):
+        some = slice(first, first + WORDS)
+        lattice = _Lattice(vocab, data, spelled, where[some], sizes[some])
+        here = by_word[slice(*np.searchsorted(word[by_word], [first, first + WORDS]))]
+        live, at = short[here], word[here] - first
+        depth, base, seed = sizes[word[here]], starts[live] - bounds[row[live]], seeds[row[live]]
+        k = 0
         while len(live):
-            edge = lattice.draw(at, _uniform(seed, at + base))
-            steps.append((live, lattice.piece[edge]))
+            edge = lattice.draw(at, depth, _uniform(seed, base + depth))
+            steps.append((k, live, lattice.piece[edge]))
             count[live] += 1
-            at = lattice.begin[edge]
-            go = at > first
-            live, at, base, seed, first = live[go], at[go], base[go], seed[go], first[go]
+            depth = depth - lattice.length[edge]
+            go = depth > 0
+            live, at, depth, base, seed, k = live[go], at[go], depth[go], base[go], seed[go], k + 1
     walked = {}
     for i in np.flatnonzero(long).tolist():
         place = int(starts[i] - bounds[row[i]])
@@ -272,7 +298,7 @@ def encode_chunk(vocab: Vocabulary, data: np.ndarray, bounds: np.ndarray, seeds:
         count[i] = len(walked[i])
     upto = np.concatenate([[0], np.cumsum(count)])
     ids = np.empty(upto[-1], dtype=np.int32)
-    for k, (live, piece) in enumerate(steps):
+    for k, live, piece in steps:
         ids[upto[live + 1] - 1 - k] = piece
     for i, found in walked.items():
         ids[upto[i] : upto[i + 1]] = found
@@ -332,7 +358,7 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, sharpness: float
         F.xxhash64(F.lit(seed).cast("bigint"), F.col(f"`{key}`").cast("string")).alias("_seed"),
     )
     more = "ids array<int>, n_pieces bigint, lossless boolean"
-    return rows.mapInArrow(partial(_encode_batches, vocab=vocab), schema_with(rows, ("_text", "_seed"), more))
+    return rows.mapInArrow(partial(released, work=_encode_batches, vocab=vocab), schema_with(rows, ("_text", "_seed"), more))
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], vocab) -> Iterator[pa.RecordBatch]:

@@ -267,6 +267,27 @@ def test_pieces_are_drawn_by_their_weights(vocabulary, word):
         assert pieces._walk(vocabulary, word, int(seeds[i]), 0) == ids[cuts[i] : cuts[i + 1]].tolist()
 
 
+def test_pieces_of_very_many_words_take_little_memory(vocabulary):
+    rng = np.random.default_rng(3)
+    n = pieces.WORDS + 5000  # more than a lattice holds
+    letters = rng.choice(np.frombuffer(b"etaoinshrdlu", np.uint8), (n, 8))
+    letters[:, 0] = ord(" ")
+    data, seeds = letters.reshape(-1), np.array([7919], dtype=np.uint64)
+    pieces.encode_chunk(vocabulary, data[:800], np.array([0, 800]), seeds)
+    tracemalloc.start()
+    ids, cuts = pieces.encode_chunk(vocabulary, data, np.array([0, len(data)]), seeds)
+    most = tracemalloc.get_traced_memory()[1] / len(data)
+    tracemalloc.stop()
+    assert most < 200
+    back, _ = pieces.decode_ids(vocabulary, ids, cuts)
+    assert back.tobytes() == data[1:].tobytes()
+    for i in range(0, n, 997):  # the same as word by word, whatever lattice a word is in
+        walked = pieces._walk(vocabulary, data[8 * i : 8 * i + 8].tobytes(), 7919, 8 * i)
+        ends = np.cumsum(vocabulary.lengths[ids])
+        a, b = np.searchsorted(ends, [8 * i, 8 * i + 8], side="right") if i else (0, np.searchsorted(ends, 8, side="right"))
+        assert walked == ids[a:b].tolist()
+
+
 def piece_rows():
     odd = ["hello  world ▁x\n\t é漢字🙂 ", "", None, " ", "   lead", "a" * 1000 + " ñ" * 50, "x" * 299, "▁", "\x00\x7f", "🙂" * 200]
     return [(i, t) for i, t in enumerate(odd)] + [(None, "text"), (3, " "), (0, odd[0])]
