@@ -100,27 +100,46 @@ class EliasFano:
         out = np.where(known > 0, place - known + 1, 0)
         return np.minimum(np.where(top > int(zeros[-1]), self.n, out), self.n)
 
+    def _buckets(self, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first value with high bits `top` and of the one after the last: the set bits behind the zero that ends
+        the bucket before are counted where they lie."""
+        lo = self._bucket(top)
+        place = lo + top
+        word, off = np.minimum(place >> 6, len(self.high) - 1), (place & 63).astype(U64)
+        zeros = ~(self.high[word] >> off) & (~U64(0) >> off)
+        run = np.bitwise_count((zeros & -zeros) - U64(1)).astype(np.int64)
+        on = np.flatnonzero((zeros == 0) | (place >> 6 != word))  # a bucket that goes on into the next word
+        stop = np.minimum(lo + run, self.n)
+        stop[on] = self._bucket(top[on] + 1)
+        return lo, stop
+
     def find(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None) -> np.ndarray:
-        """Place of each value, -1 where there is none; among the places from `begin` to before `end` if given."""
-        if not self.n or not len(x):
-            return np.full(len(x), -1, dtype=np.int64)
+        """Place of each value, -1 where there is none; among the places from `begin` to before `end` if given. Values of the
+        sequence within a bucket are distinct."""
+        out = np.full(len(x), -1, dtype=np.int64)
+        if not self.n:
+            return out
+        for at in _blocks(len(x)):
+            out[at] = self._find(x[at], begin if np.isscalar(begin) else begin[at], None if end is None else end[at])
+        return out
+
+    def _find(self, x: np.ndarray, begin: np.ndarray | int, end: np.ndarray | None) -> np.ndarray:
+        out = np.full(len(x), -1, dtype=np.int64)
         limit = int(self.high.size) * 64
         top = np.minimum(x >> U64(self.width), U64(limit)).astype(np.int64)
-        want = x & _bits(self.width)
-        lo, stop = np.maximum(self._bucket(top), begin), self._bucket(top + 1)
-        stop = stop if end is None else np.minimum(stop, end)
-        hi = stop.copy()
-        while True:  # the first value in the bucket whose low bits are not less
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                break
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self._low(mid) < want[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
-        found = lo < stop
-        found[found] = self._low(lo[found]) == want[found]
-        return np.where(found, lo, -1)
+        lo, hi = self._buckets(top)
+        lo, hi = np.maximum(lo, begin), hi if end is None else np.minimum(hi, end)
+        left = np.flatnonzero(lo < hi)
+        lo, hi, want = lo[left], hi[left], x[left] & _bits(self.width)
+        while len(left):
+            mid = (lo + hi) >> 1
+            low = self._low(mid)
+            same, less = low == want, low < want
+            out[left[same]] = mid[same]
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+            go = np.flatnonzero((lo < hi) & ~same)
+            left, lo, hi, want = left[go], lo[go], hi[go], want[go]
+        return out
 
     def arrays(self) -> list[np.ndarray]:
         return [self.low, self.high, self.ones]

@@ -165,6 +165,22 @@ def test_elias_fano_equals_search():
         assert levels.find(asked).tolist() == [places.get(int(x), -1) for x in asked]
 
 
+def test_elias_fano_reads_few_values_a_search(monkeypatch):
+    r = np.random.default_rng(5)
+    values = np.unique(r.integers(0, 1 << 40, 20000).astype(np.uint64))
+    near = np.uint64(1 << 39) + np.arange(1000, dtype=np.uint64)  # one bucket, over many words of the unary bits
+    for rows in (values, np.unique(np.concatenate([values, near]))):
+        levels, read, low = EliasFano.build(rows, 1 << 40), [], EliasFano._low
+        monkeypatch.setattr(EliasFano, "_low", lambda self, i: read.append(len(i)) or low(self, i))
+        assert (levels.find(rows) == np.arange(len(rows))).all()
+        assert (levels.find(rows, np.zeros(len(rows), np.int64), np.arange(len(rows))) == -1).all()  # the end is before the value
+        monkeypatch.setattr(EliasFano, "_low", low)
+        missing = near + np.uint64(1000)
+        assert (levels.find(missing) == np.where(np.isin(missing, rows), np.searchsorted(rows, missing), -1)).all()
+        if len(rows) == len(values):
+            assert sum(read) < 2 * 1.8 * len(rows)
+
+
 def scores_by_hand(rows):
     split = lambda t: [*(t or "").encode().lower().split(), None]
     count, pair, context, after = (collections.Counter() for _ in range(4))
