@@ -269,7 +269,7 @@ def test_pieces_are_drawn_by_their_weights(vocabulary, word):
 
 def test_pieces_of_very_many_words_take_little_memory(vocabulary):
     rng = np.random.default_rng(3)
-    n = pieces.WORDS + 5000  # more than a lattice holds
+    n = 70_000  # more than a lattice holds
     letters = rng.choice(np.frombuffer(b"etaoinshrdlu", np.uint8), (n, 8))
     letters[:, 0] = ord(" ")
     data, seeds = letters.reshape(-1), np.array([7919], dtype=np.uint64)
